@@ -11,8 +11,11 @@ Pieces then take their places by rank in their length, in one distributed pass.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -23,18 +26,25 @@ from pyspark.sql import functions as F
 from broadloom.llm.common import stored
 
 CAPACITY = 2048
-ROUNDS = 96
+#: Rounds of multiplicative weights, and the shares of each length's demand that they may cover.
+ROUNDS = 64
+LP_SHARES = (0.5, 0.25, 0.0)
 #: Ranks of pieces of a length are counted in so many parts, each ordered on its own.
 RANK_PARTS = 256
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 1_000_000
+#: Final sigma and dotted I are lowered by context; \\x1c-\\x1f separate words for Python alone.
+_ODD = re.compile("[\u03a3\u0130\x1c-\x1f]")
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordTokens:
-    """Token ids of texts under a tokenizer file that splits texts into words; remembers words' ids.
+    """Token ids of texts under a tokenizer file that drops white space; remembers the ids of words.
 
-    The file's own normaliser and model are used on each word that is new; words are
-    independent under its pre-tokenizer, so a text's ids are its words' ids in turn.
+    A word is what stands between white space. The file's pre-tokenizer never joins
+    over white space, so a text's ids are its words' ids in turn; the file's own
+    model is run on each word that is new, many in one call. Texts whose lower-casing
+    depends on more than the single character, or whose separators Python and the
+    tokenizer see differently, go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -43,22 +53,32 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.words: dict[str, bytes] = {}
-        self.split = regex.compile(_SPLIT)
-
-    def __call__(self, text: str) -> np.ndarray:
-        norm = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
-        found = self.split.findall(norm)
+        self.parts = regex.compile(_SPLIT)
+
+    def _learn(self, fresh: list[str]) -> None:
+        for i in range(0, len(fresh), 1000):
+            some = fresh[i : i + 1000]
+            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ends = np.cumsum([len(self.parts.findall(w)) for w in some])
+            at = [0, *np.searchsorted(np.array(got.word_ids, np.int64), ends).tolist()]
+            ids = np.array(got.ids, "<u4")
+            self.words.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, at, at[1:], strict=False))
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        split: list[list[str] | None] = []
+        for text in texts:
+            low = text.lower()
+            plain = not _ODD.search(text) and (text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", low)))
+            split.append(low.split() if plain else None)
         if len(self.words) > _CACHE_WORDS:
             self.words = {}
-        known = self.words
-        try:
-            data = b"".join(map(known.__getitem__, found))
-        except KeyError:
-            fresh = list({w for w in found if w not in known})
-            for w, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-            data = b"".join(map(known.__getitem__, found))
-        return np.frombuffer(data, "<u4")
+        fresh = set().union(*[s for s in split if s]).difference(self.words)
+        self._learn(sorted(fresh))
+        get = self.words.__getitem__
+        return [
+            np.frombuffer(b"".join(map(get, words)), "<u4") if words is not None else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+            for text, words in zip(texts, split, strict=True)
+        ]
 
 
 _PIECES = "doc_key long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -77,8 +97,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         for batch in batches:
             rows = []
             keys, ids = batch.column("doc_key").to_pylist(), batch.column("doc_id").to_pylist()
-            for key, doc_id, text in zip(keys, ids, batch.column("text"), strict=True):
-                got = np.concatenate([tokens(text.as_py() or ""), end])
+            texts = ((x.as_py() or "") for x in batch.column("text"))
+            got_all = (got for some in iter(lambda: list(islice(texts, 256)), []) for got in tokens(some))
+            for key, doc_id, got in zip(keys, ids, got_all, strict=True):
+                got = np.concatenate([got, end])
                 for piece, start in enumerate(range(0, len(got), capacity)):
                     part = got[start : start + capacity]
                     rows.append((key, doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
@@ -91,30 +113,34 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
 
 def price(values: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacity: int) -> np.ndarray:
-    """How often each length stands in the configuration of greatest value, by knapsack dynamic programming.
+    """How often each length stands in the configuration of greatest value, at most ``limits`` times each.
 
-    best[c] is the greatest value of lengths that sum to at most c. A length that
-    would stand more often than ``limits`` allows is cut back to it.
+    Bounded knapsack by dynamic programming over the capacity: a length's limit is
+    split into bundles of 1, 2, 4, .. pieces, each of which is taken or not.
     """
+    bundles = []
+    for k, n in enumerate(lengths.tolist()):
+        left, size = min(int(limits[k]), capacity // n), 1
+        while left > 0:
+            size = min(size, left)
+            bundles.append((k, size))
+            left -= size
+            size *= 2
     best = np.zeros(capacity + 1)
-    pick = np.full(capacity + 1, -1)
-    for c in range(int(lengths[0]), capacity + 1):
-        fits = np.searchsorted(lengths, c, side="right")
-        total = best[c - lengths[:fits]] + values[:fits]
-        k = int(total.argmax())
-        if total[k] > best[c - 1]:
-            best[c], pick[c] = total[k], k
-        else:
-            best[c] = best[c - 1]
-    counts = np.zeros(len(lengths), np.int64)
-    c = capacity
-    while c >= lengths[0]:
-        if pick[c] < 0:
-            c -= 1
-        else:
-            counts[pick[c]] += 1
-            c -= int(lengths[pick[c]])
-    return np.minimum(counts, limits)
+    taken = np.zeros((len(bundles), capacity + 1), bool)
+    for i, (k, size) in enumerate(bundles):
+        w = int(lengths[k]) * size
+        with_it = best[: capacity + 1 - w] + values[k] * size
+        better = with_it > best[w:]
+        taken[i, w:] = better
+        best[w:] = np.where(better, with_it, best[w:])
+    counts, c = np.zeros(len(lengths), np.int64), capacity
+    for i in range(len(bundles) - 1, -1, -1):
+        if taken[i, c]:
+            k, size = bundles[i]
+            counts[k] += size
+            c -= int(lengths[k]) * size
+    return counts
 
 
 def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
@@ -139,41 +165,54 @@ def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple
     return plans
 
 
-def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[np.ndarray, int]]:
-    """Configurations with their multiplicities that hold every piece of the histogram exactly once.
+def _cover(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, share: float, rate: float) -> list[tuple[np.ndarray, int]]:
+    """Multiplicative weights on the covering program, each round taken down to whole numbers; then best fit.
 
-    Multiplicative weights: each round adds a share of the priced configuration to
-    the fractional solution and lowers the weights of the lengths it covers, by
-    their share of the demand. The solution is scaled to the demand, rounded down,
-    and what is left is packed by best fit.
+    The price of a length is its part of a sequence times exp(-rate x the part of
+    its demand that is covered). Each round adds the priced configuration, as often
+    as an equal part of the sequences and ``share`` of each demand allow.
     """
-    if not len(lengths):
-        return []
-    weights = np.full(len(lengths), 1.0) * lengths / capacity
     left = demand.astype(np.int64).copy()
+    open_ = np.floor(left * share).astype(np.int64)
     plans: list[tuple[np.ndarray, int]] = []
-    total = float((demand * lengths).sum()) / capacity
-    share = max(1.0, total / rounds)
-    covered = np.zeros(len(lengths))
+    most = int(np.ceil(share * (demand * lengths).sum() / capacity / rounds))
     for _ in range(rounds):
-        live = left > 0
-        if not live.any() or (left * lengths).sum() <= 4 * capacity:
+        live = open_ > 0
+        if not live.any():
             break
+        covered = 1 - left[live] / demand[live]
         counts = np.zeros(len(lengths), np.int64)
-        counts[live] = price(weights[live], lengths[live], left[live], capacity)
+        counts[live] = price(lengths[live] / capacity * np.exp(-rate * covered), lengths[live], open_[live], capacity)
         used = counts > 0
-        if not used.any():
+        if (counts * lengths).sum() < capacity:
             break
-        times = int(min((left[used] // counts[used]).min(), np.ceil(share)))
+        times = int(min((open_[used] // counts[used]).min(), most))
         plans.append((counts, times))
         left -= counts * times
-        covered += counts * times
-        # a length covered faster than the others loses weight, one that lags gains
-        done = covered / demand
-        weights = lengths / capacity * np.exp(-0.05 * (done - (covered * lengths).sum() / (demand * lengths).sum()))
+        open_ -= counts * times
     return plans + best_fit(lengths, left, capacity)
 
 
+def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = 4.0) -> list[tuple[np.ndarray, int]]:
+    """Configurations with their multiplicities that hold every piece of the histogram exactly once.
+
+    The shares of the demand left to the program are tried from the largest; what is
+    left of every length goes to best fit, which fills the last gaps. The first
+    result at the lower bound is taken, else the one of fewest sequences.
+    """
+    if not len(lengths):
+        return []
+    bound = -(-int((lengths * demand).sum()) // capacity)
+    found = None
+    for share in LP_SHARES:
+        plans = _cover(lengths, demand, capacity, rounds, share, rate)
+        if found is None or sum(n for _, n in plans) < sum(n for _, n in found):
+            found = plans
+        if sum(n for _, n in found) == bound:
+            break
+    return found
+
+
 def _slots(plans: list[tuple[np.ndarray, int]], lengths: np.ndarray) -> dict[int, np.ndarray]:
     """Per length the rows (first rank, first sequence, pieces in each sequence, offset of the first)."""
     slots: dict[int, list] = {int(n): [] for n in lengths}
