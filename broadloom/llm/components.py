@@ -45,9 +45,12 @@ def compare_blocks(
     compare: Callable[[pa.Table, np.ndarray | None], dict[str, np.ndarray]],
     schema: str,
     block_rows: int,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Runs ``compare(rows, second)`` over every pair of blocks; it returns columns of result rows.
 
+    Wide ``facts`` (one row per member) are joined only to rows of lists of two or more.
+
     ``second`` is None where a block meets itself, else the mask of rows of the second block.
     """
     order = [*keys, "block_lo", "block_hi"]
@@ -66,7 +69,8 @@ def compare_blocks(
             if out:
                 yield pa.RecordBatch.from_pydict({k: np.concatenate(v) for k, v in out.items()})
 
-    rows = block_pairs(postings, keys, member, block_rows).select(*order, "in_hi", member, *payload)
+    rows = block_pairs(postings, keys, member, block_rows)
+    rows = (rows if facts is None else rows.join(facts, member)).select(*order, "in_hi", member, *payload)
     return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from broadloom.llm import exact_dedup, language_id, packing, secrets, simhash
+from broadloom.llm import embedding_dedup, exact_dedup, language_id, packing, secrets, simhash
 
 QUERIES = {
+    "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
     "op4_simhash": simhash.op4_simhash,
     "op5_secrets": secrets.op5_secrets,
     "op6_packing": packing.op6_packing,
