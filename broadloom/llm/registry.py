@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from broadloom.llm import embedding_dedup, exact_dedup, language_id, packing, secrets, simhash
+from broadloom.llm import bpe, embedding_dedup, exact_dedup, language_id, packing, secrets, simhash, warc
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
+    "op3_bpe": bpe.op3_bpe,
     "op4_simhash": simhash.op4_simhash,
     "op5_secrets": secrets.op5_secrets,
     "op6_packing": packing.op6_packing,
     "op7_language_id": language_id.op7_language_id,
+    "op8_warc": warc.op8_warc,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
-SQL = {**exact_dedup.SQL, **secrets.SQL}
+SQL = {**exact_dedup.SQL, **warc.SQL}
