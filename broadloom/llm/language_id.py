@@ -107,6 +107,9 @@ class LanguageModels:
     def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
         """``counts``: per language the distinct full-order n-grams (rows of code points) and how often each stands."""
         self.langs = sorted(counts)
+        self.limits = np.zeros((len(self.langs), 2))
+        if not self.langs:
+            return
         tables = [self._smooth(*counts[lang]) for lang in self.langs]
         size = 1 + max((len(np.unique(g[:, -1])) for g, _ in counts.values()), default=1)
         self.floor = floor = np.float32(np.log(1 / (size + 1)))
@@ -130,7 +133,6 @@ class LanguageModels:
             self.backoffs.append(back)
             self.keys.append(hashes)
             self.values.append(value.astype(np.float32))
-        self.limits = np.zeros((len(self.langs), 2), np.float64)
 
     @staticmethod
     def _smooth(grams: np.ndarray, n: np.ndarray) -> list[dict]:
@@ -273,10 +275,10 @@ def _decider(pickled: bytes):
     langs, limits = scorer.models.langs, scorer.models.limits
 
     def decide(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        if not langs:
+            return ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         got = scorer([t.as_py() for t in texts])
         h, n = got[:, :-1], got[:, -1]
-        if not langs:
-            return ["und"] * len(h), np.zeros(len(h)), np.ones(len(h), bool)
         best = h.argmin(axis=1)
         least = h[np.arange(len(h)), best]
         share = 1 / np.exp(-(h - least[:, None]) * np.minimum(n, 32)[:, None]).sum(axis=1)

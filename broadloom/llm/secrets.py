@@ -76,7 +76,7 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None, id_col: str =
     skip = ids.join(skip, "blob").filter(~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).select("doc_id", "blob")
     if ledger is not None:
         seen = ledger.filter(F.col("rules") == RULES_VERSION).select("blob")
-        skip = skip.union(ids.join(seen, "blob", "left_semi"))
+        skip = skip.unionByName(ids.join(seen, "blob", "left_semi"))
     tagged = lambda df: df.withColumn("id_tag", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     unseen = sized_join(tagged(paths), stored(tagged(skip).select("id_tag", "blob").distinct()), ["id_tag", "blob"], "left_anti")
     return unseen.select("blob", "text").mapInArrow(_scan, LEDGER).dropDuplicates(["blob"])
