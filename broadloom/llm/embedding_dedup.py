@@ -22,16 +22,23 @@ from broadloom.llm.components import compare_blocks, connected_components, fores
 
 THRESHOLD = 0.93
 #: Independent rotations, blocks of the product code, code vectors in each (so CODES ** BLOCKS
-#: filters for a rotation), and the cosine to exceed.
-ROTATIONS, BLOCKS, CODES, CAP = 6, 2, 256, 0.45
+#: filters for a rotation), and the share of directions that lie in a filter's cap.
+ROTATIONS, BLOCKS, CODES, CAP_SHARE = 6, 2, 256, 8e-5
 SEED = 20160331
 BLOCK_ROWS = 1024
 
 
+def cap_cosine(dim: int, share: float = CAP_SHARE) -> float:
+    """The cosine that a share of all directions exceeds, in ``dim`` dimensions."""
+    angle = np.linspace(0, np.pi, 200_001)
+    area = np.cumsum(np.sin(angle) ** max(dim - 2, 0))
+    return float(np.cos(angle[np.searchsorted(area, share * area[-1])]))
+
+
 class ProductCode:
     """One rotation and its code, for one dimension; equal for equal parameters."""
 
-    def __init__(self, dim: int, turn: int = 0, codes: int = CODES, cap: float = CAP):
+    def __init__(self, dim: int, turn: int = 0, codes: int = CODES, cap: float | None = None):
         rng = np.random.default_rng([SEED, dim, turn, codes])
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         self.parts = [p for p in np.array_split(np.arange(dim), BLOCKS) if len(p)]
@@ -39,19 +46,19 @@ class ProductCode:
         for p in self.parts:
             c = rng.standard_normal((codes, len(p)))
             self.codes.append(c / np.linalg.norm(c, axis=1)[:, None] / np.sqrt(len(self.parts)))
-        self.cap, self.size = cap, codes
+        self.cap, self.size = cap_cosine(dim) if cap is None else cap, codes
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) for every filter that a row of unit vectors exceeds, by row then filter.
 
         Partial sums over the first blocks go on only where the best code of the
-        blocks to come could still lift them over the cap. A row that exceeds no
-        direction has the one closest to it.
+        blocks to come could still lift them over the cap. Directions almost as
+        close as the closest count as exceeded, so that every row has some.
         """
         turned = unit @ self.rotation
         scores = [turned[:, p] @ c.T for p, c in zip(self.parts, self.codes, strict=True)]
         best = np.cumsum([s.max(axis=1) for s in scores[::-1]], axis=0)[::-1]
-        cap = np.minimum(self.cap, best[0] - 1e-9)
+        cap = np.minimum(self.cap, 0.98 * best[0])
         row, at, total = np.arange(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit))
         for k, s in enumerate(scores):
             rest = best[k + 1] if k + 1 < len(scores) else np.zeros(len(unit))
