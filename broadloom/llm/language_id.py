@@ -222,9 +222,13 @@ def fit(docs: DataFrame, max_fit_docs: int = MAX_FIT_DOCS) -> LanguageModels:
     """
     spark = docs.sparkSession
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    h = F.xxhash64("doc_id")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    picked = usable.select("lang", "doc_id", h.alias("h")).withColumn("r", rank).filter(F.col("r") <= max_fit_docs).select("lang", "doc_id", "r")
+    u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) / float(1 << 31)
+    ids = usable.select("lang", "doc_id", u.alias("u"))
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # of a frequent language about four times the sample comes to the ranking, however many rows it has
+    few = ids.join(sizes, "lang").filter(F.col("u") * F.col("n") < 4 * max_fit_docs)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("u", "doc_id"))
+    picked = few.withColumn("r", rank).filter(F.col("r") <= max_fit_docs).select("lang", "doc_id", "r")
     # bounded: max_fit_docs rows for each language
     sample = usable.join(F.broadcast(picked.distinct()), ["lang", "doc_id"]).select("lang", "text", (F.col("r") % 4 == 0).alias("check")).persist()
     counts: dict[str, tuple[list, list]] = {}
