@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from broadloom.llm import bpe, embedding_dedup, exact_dedup, language_id, packing, secrets, simhash, warc
+from broadloom.llm import bpe, embedding_dedup, exact_dedup, language_id, packing, quality, secrets, simhash, warc
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_language_id": language_id.op7_language_id,
     "op8_warc": warc.op8_warc,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_quality": quality.op10_quality,
 }
 
 SQL = {**exact_dedup.SQL, **warc.SQL}
