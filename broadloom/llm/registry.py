@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from broadloom.llm import bpe, embedding_dedup, exact_dedup, language_id, packing, quality, secrets, simhash, warc
+from broadloom.llm import bpe, embedding_dedup, exact_dedup, language_id, packing, quality, secrets, simhash, substring_dedup, warc
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_bpe": bpe.op3_bpe,
     "op4_simhash": simhash.op4_simhash,
     "op5_secrets": secrets.op5_secrets,
