@@ -42,14 +42,15 @@ def compare_blocks(
     keys: list[str],
     member: str,
     payload: list[str],
-    compare: Callable[[pa.Table, np.ndarray | None], dict[str, np.ndarray]],
+    prepare: Callable[[pa.Table], dict],
+    compare: Callable[[dict, slice, np.ndarray | None], dict[str, np.ndarray] | None],
     schema: str,
     block_rows: int,
     facts: DataFrame | None = None,
 ) -> DataFrame:
-    """Runs ``compare(rows, second)`` over every pair of blocks; it returns columns of result rows.
+    """Runs ``compare(prepared, rows, second)`` over every pair of blocks; it returns columns of result rows or None.
 
-    Wide ``facts`` (one row per member) are joined only to rows of lists of two or more.
+    ``prepare`` turns the table of many lists into arrays once; ``rows`` is the slice of one pair. Wide ``facts`` (one row per member) are joined only to rows of lists of two or more.
 
     ``second`` is None where a block meets itself, else the mask of rows of the second block.
     """
@@ -58,13 +59,14 @@ def compare_blocks(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in arrow_groups(batches, order):
             lo, hi, in_hi = (table.column(c).to_numpy() for c in ("block_lo", "block_hi", "in_hi"))
+            prepared = prepare(table)
             out: dict[str, list] = {}
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 if b - a > 1:
                     second = None if lo[a] == hi[a] else in_hi[a:b].astype(bool)
                     if second is not None and (second.all() or not second.any()):
                         continue
-                    for k, v in compare(table.slice(a, b - a), second).items():
+                    for k, v in (compare(prepared, slice(a, b), second) or {}).items():
                         out.setdefault(k, []).append(v)
             if out:
                 yield pa.RecordBatch.from_pydict({k: np.concatenate(v) for k, v in out.items()})

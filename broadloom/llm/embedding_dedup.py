@@ -23,7 +23,7 @@ from broadloom.llm.components import compare_blocks, connected_components, fores
 THRESHOLD = 0.93
 #: Independent rotations, blocks of the product code, code vectors in each (so CODES ** BLOCKS
 #: filters for a rotation), and the share of directions that lie in a filter's cap.
-ROTATIONS, BLOCKS, CODES, CAP_SHARE = 6, 2, 256, 8e-5
+ROTATIONS, BLOCKS, CODES, CAP_SHARE = 6, 2, 256, 2.5e-5
 SEED = 20160331
 BLOCK_ROWS = 1024
 
@@ -43,8 +43,9 @@ class ProductCode:
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         self.parts = [p for p in np.array_split(np.arange(dim), BLOCKS) if len(p)]
         self.codes = []
-        for p in self.parts:
-            c = rng.standard_normal((codes, len(p)))
+        for p in self.parts:  # few dimensions have few directions to tell apart
+            c = rng.standard_normal((min(codes, 2 * 4 ** min(len(p) - 1, 8)) // 2, len(p)))
+            c = np.concatenate([c, -c])
             self.codes.append(c / np.linalg.norm(c, axis=1)[:, None] / np.sqrt(len(self.parts)))
         self.cap, self.size = cap_cosine(dim) if cap is None else cap, codes
 
@@ -98,10 +99,6 @@ def _directions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "filters"])
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    return unit_rows(column.combine_chunks())[0]
-
-
 def _shared_before(filters: list[np.ndarray], at: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Whether rows ``first`` and ``second`` share a filter smaller than ``at``."""
     lower = [f[f < at] for f in filters]
@@ -116,26 +113,42 @@ def _shared_before(filters: list[np.ndarray], at: int, first: np.ndarray, second
     return (table[first] @ table[second].T) > 0
 
 
-def _compare(table: pa.Table, second: np.ndarray | None) -> dict[str, np.ndarray]:
-    ids, copies, unit = table.column("vec_id").to_numpy(), table.column("copies").to_numpy(), _matrix(table.column("vector"))
-    filters = [np.asarray(f) for f in table.column("filters").to_pylist()]
-    a, b = (np.arange(len(ids)),) * 2 if second is None else (np.flatnonzero(~second), np.flatnonzero(second))
+def _prepare(table: pa.Table) -> dict:
+    filters = table.column("filters").combine_chunks()
+    sizes = table.column("size").to_numpy()
+    out = {n: table.column(n).to_numpy() for n in ("vec_id", "copies", "filter")} | {"flat": filters.flatten().to_numpy(), "ends": np.append(0, np.cumsum(filters.value_lengths().to_numpy()))}
+    vectors = table.column("vector").combine_chunks()
+    out["unit"], out["size"] = {}, sizes
+    out["place"] = np.zeros(len(sizes), np.int64)
+    for n in np.unique(sizes):
+        at = np.flatnonzero(sizes == n)
+        out["place"][at] = np.arange(len(at))
+        out["unit"][int(n)] = unit_rows(vectors.take(pa.array(at)))[0]
+    return out
+
+
+def _compare(prepared: dict, rows: slice, second: np.ndarray | None) -> dict[str, np.ndarray] | None:
+    place = prepared["place"][rows.start]
+    unit = prepared["unit"][int(prepared["size"][rows.start])][place : place + rows.stop - rows.start]
+    a, b = (slice(None), slice(None)) if second is None else (~second, second)
     near = unit[a] @ unit[b].T >= THRESHOLD
     if second is None:
         np.fill_diagonal(near, False)
+    if not near.any():
+        return None
+    ids, copies, ends = prepared["vec_id"][rows], prepared["copies"][rows], prepared["ends"][rows.start : rows.stop + 1]
+    first, other = np.arange(len(ids))[a], np.arange(len(ids))[b]
+    filters = [prepared["flat"][i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
+    new = near & ~_shared_before(filters, int(prepared["filter"][rows.start]), first, other)
     links = np.zeros(len(ids), np.int64)
+    links[first] += new @ copies[other]
     whole = near
-    if near.any():
-        new = near & ~_shared_before(filters, int(table.column("filter")[0].as_py()), a, b)
-        links[a] += new @ copies[b]
-        if second is not None:
-            links[b] += copies[a] @ new
-            whole = np.zeros((len(ids), len(ids)), bool)
-            whole[np.ix_(a, b)] = near
-            whole[np.ix_(b, a)] = near.T
-    elif second is not None:
-        whole = np.zeros((len(ids), 1), bool)
-    src, dst = forest(ids, whole) if near.any() else (np.empty(0, np.int64),) * 2
+    if second is not None:
+        links[other] += copies[first] @ new
+        whole = np.zeros((len(ids), len(ids)), bool)
+        whole[np.ix_(first, other)] = near
+        whole[np.ix_(other, first)] = near.T
+    src, dst = forest(ids, whole)
     some = np.flatnonzero(links)
     return {"src": np.concatenate([src, ids[some]]), "dst": np.concatenate([dst, ids[some]]), "links": np.concatenate([np.zeros(len(src), np.int64), links[some]])}
 
@@ -160,7 +173,7 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     listed = stored(each.mapInArrow(_directions, f"label long, size long, vec_id long, copies long, vector {kind}, filters array<int>"))
     postings = listed.select("label", "size", "vec_id", F.explode("filters").alias("filter"))
     facts = listed.select("vec_id", "copies", "vector", "filters")
-    found = stored(compare_blocks(postings, ["label", "size", "filter"], "vec_id", ["copies", "vector", "filters"], _compare, "src long, dst long, links long", BLOCK_ROWS, facts))
+    found = stored(compare_blocks(postings, ["label", "size", "filter"], "vec_id", ["copies", "vector", "filters"], _prepare, _compare, "src long, dst long, links long", BLOCK_ROWS, facts))
     parts = connected_components(found.select("src", "dst"))
     links = found.groupBy(F.col("src").alias("first_id")).agg(F.sum("links").alias("links"))
     facts = (

@@ -85,19 +85,22 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def _compare(table: pa.Table, second: np.ndarray | None) -> dict[str, np.ndarray]:
-    fps = table.column("fp").to_numpy()
+def _compare(prepared: dict, rows: slice, second: np.ndarray | None) -> dict[str, np.ndarray] | None:
+    fps = prepared["fp"][rows]
     a, b = (fps, fps) if second is None else (fps[~second], fps[second])
     step = max(1, (1 << 18) // len(b))
     near = np.zeros((len(a), len(b)), dtype=bool)
     for i in range(0, len(a), step):
         x = (a[i : i + step, None] ^ b[None, :]).view(np.uint64)
         shared = (np.ascontiguousarray(x)[..., None].view(np.uint8) == 0).sum(axis=-1)
-        rows, cols = np.nonzero(shared >= POSITIONS - MAX_BITS)
-        good = np.bitwise_count(x[rows, cols]) <= MAX_BITS
-        near[i + rows[good], cols[good]] = True
+        at, cols = np.nonzero(shared >= POSITIONS - MAX_BITS)
+        good = np.bitwise_count(x[at, cols]) <= MAX_BITS
+        near[i + at[good], cols[good]] = True
     if second is None:
         np.fill_diagonal(near, False)
+    if not near.any():
+        return None
+    if second is None:
         ids, whole = a, near
     else:
         ids, whole = np.concatenate([a, b]), np.zeros((len(fps), len(fps)), dtype=bool)
@@ -116,7 +119,7 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
             key = F.shiftleft(key, 8).bitwiseOR(F.shiftright(F.col("fp"), 8 * p).bitwiseAND(F.lit(255).cast("long")))
         keys.append(key)
     postings = fps.select("fp", F.explode(F.array(*keys)).alias("list_key"))
-    return compare_blocks(postings, ["list_key"], "fp", [], _compare, "src long, dst long", BLOCK_ROWS)
+    return compare_blocks(postings, ["list_key"], "fp", [], lambda t: {"fp": t.column("fp").to_numpy()}, _compare, "src long, dst long", BLOCK_ROWS)
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
