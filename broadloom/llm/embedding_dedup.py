@@ -194,4 +194,19 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op1_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), part AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1)
+SELECT p.vec_id, coalesce(n.n_links, 0) AS n_links, p.component_id, p.vec_id = p.component_id AS kept FROM part p LEFT JOIN n USING (vec_id)
+"""
+}

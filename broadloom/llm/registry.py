@@ -17,4 +17,4 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
 }
 
-SQL = {**exact_dedup.SQL, **warc.SQL}
+SQL = {**embedding_dedup.SQL, **exact_dedup.SQL, **warc.SQL}
