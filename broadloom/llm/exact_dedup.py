@@ -116,9 +116,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     documents, _ = chunk_recipes(docs, id_col, text_col)
     rows = stored(documents.select("row_id", "doc_id", "text_sha256", F.xxhash64("recipe").alias("recipe_hash"), "recipe"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id")
-    groups = rows.groupBy("recipe_hash", "recipe", "text_sha256").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("group_size"))
-    return rows.join(groups, ["recipe_hash", "recipe", "text_sha256"]).select(
-        "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row_id") == F.col("first.row_id")).alias("kept"), "text_sha256"
+    keys = ["recipe_hash", "recipe", "text_sha256"]
+    groups = rows.groupBy(*keys).agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # only groups of two or more are joined back; stored, so that a large group can be split in the join
+    found = sized_join(rows, stored(groups), keys, "left")
+    alone = F.col("n").isNull()
+    return found.select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
+        F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("row_id") == F.col("first.row_id"))).alias("kept"),
+        "text_sha256",
     )
 
 
