@@ -72,8 +72,8 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None, id_col: str =
     """
     paths = _paths(docs, id_col, text_col)
     ids = stored(paths.select("doc_id", "blob"))
-    skip = ids.groupBy("blob").agg(F.min(F.struct("doc_id")).alias("first"))
-    skip = ids.join(skip, "blob").filter(~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).select("doc_id", "blob")
+    repeated = ids.groupBy("blob").agg(F.min(F.struct("doc_id")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("blob", "first")
+    skip = sized_join(ids, stored(repeated), ["blob"], "inner").filter(~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).select("doc_id", "blob")
     if ledger is not None:
         seen = ledger.filter(F.col("rules") == RULES_VERSION).select("blob")
         skip = skip.unionByName(ids.join(seen, "blob", "left_semi"))
@@ -108,8 +108,8 @@ def redact(docs: DataFrame) -> DataFrame:
     """
     kept, schema = docs.columns, docs.schema
     findings, _ = secret_scan(docs)
-    hit = stored(findings.filter(F.size("spans") > 0).select("blob", F.col("spans").alias("_spans")).dropDuplicates(["blob"]))
-    with_spans = sized_join(docs.withColumn("blob", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)), hit, ["blob"], "left")
+    hit = stored(findings.filter(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"]))
+    with_spans = sized_join(docs.withColumn("_blob", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)), hit, ["_blob"], "left")
     parts = F.aggregate(
         F.col("_spans"),
         F.struct(F.lit("").alias("done"), F.lit(0).alias("at")),
