@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from broadloom.llm.common import sized_join, stored
+
 LETTERS = re.compile(r"[^\W\d_]+")
 ORDER = 5
 DISCOUNT = 0.75
@@ -320,16 +322,11 @@ def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
 def keep_identified(docs: DataFrame, max_fit_docs: int = MAX_FIT_DOCS) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang and any others) whose language is not rejected, unchanged."""
     models = fit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter(~held_out()), max_fit_docs)
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(models))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decide = _decider(shared.value)
-        for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
-                yield part.filter(pa.array(~decide(part.column("text"))[2]))
-
-    return docs.mapInArrow(run, docs.schema)
+    # rows of one key have one text and so one decision; texts go to Python, only keys come back
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit("")))
+    found = identify(docs.select(key.alias("doc_id"), "text"), models)
+    gone = stored(found.filter("rejected").select(F.col("doc_id").alias("_key")).distinct())
+    return sized_join(docs.withColumn("_key", key), gone, ["_key"], "left_anti").select(*docs.columns)
 
 
 def held_out() -> F.Column:
