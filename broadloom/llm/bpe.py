@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -22,47 +24,24 @@ from pyspark.sql import functions as F
 
 #: Pre-tokens whose ids a task remembers; the memory is cleared when full.
 _CACHE_WORDS = 500_000
-_CACHE_BYTES = 64
+_CACHE_CHARS = 64
+# Fixed value: the pre-token pattern of the rank file, under which texts may be cut at single spaces.
+SPACE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_SPACES = re.compile(r"\s\s|^\s|\s$").search
 
 
 class RankQueue:
-    """Positions by merge rank; the lowest rank comes first, in it the leftmost position."""
+    """Buckets of positions by merge rank, and the bitmap words that mark the buckets in use.
+
+    ``low`` has a bit for each rank, ``mid`` one for each word of ``low``; the third
+    level, one for each word of ``mid``, is a local number of the merge. All are
+    empty between merges.
+    """
 
     def __init__(self, ranks: int):
         self.low = [0] * (ranks // 64 + 1)
         self.mid = [0] * (ranks // 4096 + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        a, b = rank >> 6, rank >> 12
-        self.low[a] |= 1 << (rank & 63)
-        self.mid[b] |= 1 << (a & 63)
-        self.top |= 1 << b
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        b = (self.top & -self.top).bit_length() - 1
-        word = self.mid[b]
-        a = (b << 6) + (word & -word).bit_length() - 1
-        word = self.low[a]
-        rank = (a << 6) + (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[a] &= ~(1 << (rank & 63))
-            if not self.low[a]:
-                self.mid[b] &= ~(1 << (a & 63))
-                if not self.mid[b]:
-                    self.top &= ~(1 << b)
-        return rank, position
+        self.buckets: list[list[int]] = [[] for _ in range(ranks)]
 
 
 class ByteBPE:
@@ -78,64 +57,112 @@ class ByteBPE:
         self.queue = RankQueue(size)
         self.split = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.by_space = pattern == SPACE_PATTERN
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token: merges the pair of lowest rank, leftmost first, until none is left."""
-        ranks, n = self.ranks, len(data)
-        if (whole := ranks.get(data)) is not None:
+        get = self.ranks.get
+        if (whole := get(data)) is not None:
             return [whole]
-        queue = self.queue
+        n = len(data)
+        low, mid, buckets, top = self.queue.low, self.queue.mid, self.queue.buckets, 0
         after = list(range(1, n + 1))  # where the part that begins here ends, and the next begins
         before = list(range(-1, n - 1))
-        pair = [-1] * n  # rank of the part that begins here joined with the next
-        get = ranks.get
-        for i in range(n - 1):
-            if (rank := get(data[i : i + 2])) is not None:
-                pair[i] = rank
-                queue.push(rank, i)
-        while (item := queue.pop()) is not None:
-            rank, i = item
+        pair = [get(data[i : i + 2], -1) for i in range(n - 1)]  # rank of the part that begins here joined with the next
+        pair.append(-1)
+        new = [(i, rank) for i, rank in enumerate(pair) if rank >= 0]
+        while True:
+            for i, rank in new:
+                bucket = buckets[rank]
+                if bucket:
+                    heappush(bucket, i)
+                else:
+                    bucket.append(i)
+                    a = rank >> 6
+                    if not low[a]:
+                        b = rank >> 12
+                        if not mid[b]:
+                            top |= 1 << b
+                        mid[b] |= 1 << (a & 63)
+                    low[a] |= 1 << (rank & 63)
+            if not top:
+                break
+            b = (top & -top).bit_length() - 1  # find-first-set on each level
+            word = mid[b]
+            a = (b << 6) + (word & -word).bit_length() - 1
+            word = low[a]
+            bit = word & -word
+            rank = (a << 6) + bit.bit_length() - 1
+            bucket = buckets[rank]
+            i = heappop(bucket)
+            if not bucket:
+                low[a] = word ^ bit
+                if word == bit:
+                    mid[b] ^= 1 << (a & 63)
+                    if not mid[b]:
+                        top ^= 1 << b
+            new = []
             if pair[i] != rank:
                 continue  # stale
             right = after[i]
             end = after[i] = after[right]
-            pair[right] = -1
+            pair[right] = pair[i] = -1
             if end < n:
                 before[end] = i
-                new = get(data[i : after[end]])
-                pair[i] = -1 if new is None else new
-                if new is not None:
-                    queue.push(new, i)
-            else:
-                pair[i] = -1
+                if (rank := get(data[i : after[end]], -1)) >= 0:
+                    pair[i] = rank
+                    new.append((i, rank))
             left = before[i]
             if left >= 0:
-                new = get(data[left:end])
-                pair[left] = -1 if new is None else new
-                if new is not None:
-                    queue.push(new, left)
+                rank = pair[left] = get(data[left:end], -1)
+                if rank >= 0:
+                    new.append((left, rank))
+        ranks = self.ranks
         out, i = [], 0
         while i < n:
             out.append(ranks[data[i : after[i]]])
             i = after[i]
         return out
 
+    def _ids(self, piece: str) -> bytes:
+        """Ids of a piece of text, as 32-bit numbers."""
+        out = []
+        words = self.words
+        for word in self.split.findall(piece):
+            ids = words.get(word)
+            if ids is None:
+                ids = array("I", self.merge(word.encode("utf-8", "surrogatepass"))).tobytes()
+                if len(word) <= _CACHE_CHARS:
+                    words[word] = ids
+            out.append(ids)
+        return b"".join(out)
+
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text, each match of the pattern by itself."""
-        found = self.split.findall(text)
+        """Ids of a whole text, each match of the pattern by itself.
+
+        With the pattern of the rank file no match goes on over a single space that
+        follows a letter, digit or sign, so texts without runs of white space are cut
+        at spaces, and the ids of short pieces remembered.
+        """
+        if self.by_space and not _SPACES(text):
+            first, *rest = text.split(" ")
+            found = [first, *map(" ".__add__, rest)] if first else list(map(" ".__add__, rest))
+        else:
+            found = self.split.findall(text)
         known = self.known
         try:
             data = b"".join(map(known.__getitem__, found))
         except KeyError:
             if len(known) > _CACHE_WORDS:
                 known.clear()
+            if len(self.words) > _CACHE_WORDS:
+                self.words.clear()
             long: dict[str, bytes] = {}
-            for word in set(found):
-                if word not in known:
-                    raw = word.encode("utf-8", "surrogatepass")
-                    (known if len(raw) <= _CACHE_BYTES else long)[word] = np.array(self.merge(raw), "<u4").tobytes()
+            for word in set(found).difference(known):
+                (known if len(word) <= _CACHE_CHARS else long)[word] = self._ids(word)
             data = b"".join([known[w] if w in known else long[w] for w in found])
-        return np.frombuffer(data, "<u4")
+        return np.frombuffer(data, np.uint32)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of a sequence of ids; an id outside the vocabulary is an IndexError."""
