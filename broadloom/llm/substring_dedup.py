@@ -17,6 +17,7 @@ passages with edits.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +35,7 @@ PASSAGE_WORDS = 50
 SIMILARITY = 0.8
 #: Shingles of the shortest passage.
 PASSAGE = PASSAGE_WORDS - SHINGLE_WORDS + 1
-#: Words of a block that is enough for a passage by itself: 41 of 46 shingles equal is a similarity of 0.804.
+#: Shingles of a block that is enough for a passage by itself: 41 of 46 shingles equal is a similarity of 0.804.
 BLOCK = 41
 #: Regions that are read for verification begin and end at multiples of this.
 GRID = 32
@@ -268,6 +269,77 @@ def best_stretch(found: np.ndarray, penalty: int) -> tuple[int, int]:
     return start, end
 
 
+def _longest(sums: np.ndarray, slack: int = 0) -> tuple[int, int]:
+    """The places i <= k farthest apart with sums[k] >= sums[i] - slack, by prefix minima."""
+    low = np.minimum.accumulate(sums)
+    first = np.searchsorted(-low, -(sums + slack), side="left")
+    k = int((np.arange(len(sums)) - first).argmax())
+    return int(first[k]), k
+
+
+def _places(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of ``a`` the first place in sorted ``b`` and the number of equal values."""
+    first = np.searchsorted(b, a, side="left")
+    return first, np.searchsorted(b, a, side="right") - first
+
+
+def _chain(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A longest chain of the pairs (i, j), rising in both; pairs come by rising i and falling j."""
+    if (np.diff(i) > 0).all() and (np.diff(j) > 0).all():
+        return i, j
+    tops: list[int] = []
+    last: list[int] = []
+    before = np.full(len(i), -1)
+    for n, y in enumerate(j.tolist()):
+        k = bisect_left(tops, y)
+        if k:
+            before[n] = last[k - 1]
+        tops[k : k + 1], last[k : k + 1] = [y], [n]
+    path, n = [], last[-1]
+    while n >= 0:
+        path.append(n)
+        n = int(before[n])
+    return i[path[::-1]], j[path[::-1]]
+
+
+def _stretches(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Stretches [start, end) of both sides that may be a passage, the longest first.
+
+    Along a chain of equal shingles a similarity of 0.8 is 9 x equal >= 4 x (both
+    lengths), a sum over the steps; the longest stretch of a sum that is not negative
+    is taken. Regions that repeat themselves have no chain of their own: there the
+    shingles of each side that the other has are scored, at least eight of nine.
+    """
+    order = np.argsort(b, kind="stable")
+    first, n = _places(a, b[order])
+    i = np.repeat(np.arange(len(a)), n)
+    j = order[np.repeat(first + n, n) - 1 - (np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n))] if len(i) <= 8 * (len(a) + len(b)) else None
+    if j is not None:
+        x, y = _chain(i, j)
+        sums = np.append(0, np.cumsum(9 - 4 * (np.diff(x) + np.diff(y))))
+        for k, m in (_longest(sums, 1), best_stretch_of(sums)):
+            yield int(x[k]), int(x[m]) + 1, int(y[k]), int(y[m]) + 1
+    found = n > 0
+    longest = lambda f, penalty: _longest(np.append(0, np.cumsum(np.where(f, 1, -penalty))))
+    for how, penalty in ((longest, 8), (best_stretch, 8), (best_stretch, 1 << 20)):
+        start, end = how(found, penalty)
+        yield start, end, *how(np.isin(b, a[start:end]), penalty)
+    if j is not None:  # runs of equal shingles on one diagonal
+        by = np.lexsort((i, j - i))
+        at, diagonal = i[by], (j - i)[by]
+        cut = np.flatnonzero((np.diff(diagonal) != 0) | (np.diff(at) != 1)) + 1
+        starts, ends = np.append(0, cut), np.append(cut, len(at))
+        k = int((ends - starts).argmax())
+        s, e = int(at[starts[k]]), int(at[ends[k] - 1]) + 1
+        yield s, e, s + int(diagonal[starts[k]]), e + int(diagonal[starts[k]])
+
+
+def best_stretch_of(sums: np.ndarray) -> tuple[int, int]:
+    """The places i <= k of the greatest sums[k] - sums[i]."""
+    k = int((sums - np.minimum.accumulate(sums)).argmax())
+    return int(sums[: k + 1].argmin()), k
+
+
 def _widened(start: int, end: int, size: int) -> tuple[int, int]:
     """A stretch that just misses a passage, made a passage long where the region has room."""
     start = max(0, start - max(0, PASSAGE - (end - start)))
@@ -275,26 +347,17 @@ def _widened(start: int, end: int, size: int) -> tuple[int, int]:
 
 
 def verify(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, float] | None:
-    """The passage that two regions share: [start, end) in shingles of each and the Jaccard similarity; None if there is none.
-
-    Shingles of each side that the other has are scored so that at least eight of
-    nine hold in a stretch (a similarity of 0.8); failing that, runs without a gap.
-    """
-    found = np.isin(a, b)
-    if np.count_nonzero(found) < BLOCK:
+    """The passage that two regions share: [start, end) in shingles of each and the Jaccard similarity; None if there is none."""
+    if min(len(a), len(b)) < PASSAGE or np.count_nonzero(np.isin(a, b)) < BLOCK:
         return None
-    for penalty in (8, 1 << 20):
-        start, end = best_stretch(found, penalty)
-        if end - start < BLOCK:
-            continue
-        s, e = best_stretch(np.isin(b, a[start:end]), penalty)
-        if e - s < BLOCK:
+    for start, end, s, e in _stretches(a, b):
+        if min(end - start, e - s) < BLOCK:
             continue
         (start, end), (s, e) = _widened(start, end, len(a)), _widened(s, e, len(b))
         x, y = np.unique(a[start:end]), np.unique(b[s:e])
         same = len(np.intersect1d(x, y, assume_unique=True))
         similarity = same / (len(x) + len(y) - same)
-        if min(end - start, e - s) >= PASSAGE and similarity >= SIMILARITY:
+        if similarity >= SIMILARITY:
             return start, end, s, e, similarity
     return None
 

@@ -33,6 +33,30 @@ def test_compact_windows_equal_brute_force():
     assert set(zip(left.tolist(), c.tolist(), right.tolist(), strict=True)) == want and len(want) > 10
 
 
+@pytest.mark.parametrize(("words", "edits"), [(50, 1), (80, 1), (88, 1), (100, 2), (150, 3), (200, 4), (300, 6)])
+@pytest.mark.parametrize("kind", ["change", "insert", "delete"])
+def test_verify_holds_edited_passages_against_brute_force(words, edits, kind):
+    rng = np.random.default_rng([words, edits])
+    fresh = lambda n: rng.integers(0, 1 << 60, n).astype(np.uint64).tolist()
+    one = fresh(words)
+    two, step = list(one), words // (edits + 1)
+    for k in range(edits, 0, -1):
+        two[k * step : k * step + (kind != "insert")] = fresh(int(kind != "delete"))
+    shingled = lambda w: substring_dedup._shingled(np.array(w, np.uint64))[: len(w) - 4]
+    a, b = shingled(fresh(60) + one + fresh(40)), shingled(fresh(7) + two + fresh(80))
+    x, y = set(shingled(one).tolist()), set(shingled(two).tolist())
+    whole = len(x & y) / len(x | y)
+    got = substring_dedup.verify(a, b)
+    if whole >= 0.8 and min(len(x), len(y)) >= 46:
+        start, end, s, e, similarity = got
+        assert similarity >= 0.8 and min(end - start, e - s) >= 46
+        assert end - start + e - s >= len(x) + len(y)  # no shorter than the planted passage
+    if got is not None:
+        start, end, s, e, similarity = got
+        x, y = set(a[start:end].tolist()), set(b[s:e].tolist())
+        assert len(x & y) / len(x | y) == pytest.approx(similarity)
+
+
 def test_substring_dedup(spark):
     rng = random.Random(4)
     fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
