@@ -1,17 +1,17 @@
 """Substring dedup by compact windows.
 
-For a hash function and a length t, every subsequence of at least t tokens has a
-min-hash; the compact windows (l, c, r) of a text stand for all of them: each
-subsequence inside [l, r] that holds c has the hash of token c. They come from
-the Cartesian tree of the hashes, cut to nodes that span t tokens or more, about
-2/(t+1) for each token. Texts that share a passage share a window hash. Windows
-are joined on it to the first window of their hash, joined again as intervals on
-a diagonal of a pair of texts, and the passages found are verified on shingles.
-
-Two kinds of tokens are hashed: runs of 35 words in windows of 16, so that every
-exact passage of 50 words gives a hash that only texts with 35 equal words share;
-and shingles of five words in windows of 46 under several hash functions, for
-passages with edits.
+Tokens are runs of 15 words (11 shingles of five words); of every 11 successive
+tokens the one of least hash is a window. They come from the Cartesian tree of
+the hashes, cut to nodes that span 11 tokens or more, about 2/12 for each token.
+Texts that share 25 words share a window hash. A passage of 50 words or more and
+a similarity of 0.8 has an unbroken run of 21 shingles (25 words): a changed,
+added or left out word costs nine shingles of both sides together, which 36 equal
+ones must pay for; so k edits leave 36 k in k + 1 runs, or 41 in two.
+
+Windows are joined on their hash to the first window of it, joined again as runs
+on a diagonal of a pair of texts, and regions around them are verified on
+shingles. Windows that share no passage with the first of their hash are compared
+with each other, in pairs of blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from broadloom.llm.common import stored
+from broadloom.llm.components import compare_blocks
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SHINGLE_WORDS = 5
@@ -50,8 +51,12 @@ class Hashing:
     seed: int
 
 
-LONG = Hashing(31, PASSAGE - 30, 1)
-SHORT = tuple(Hashing(1, PASSAGE, seed) for seed in (2, 3))
+SEED = Hashing(11, 11, 1)
+SEED_WORDS = SEED.shingles + SHINGLE_WORDS - 1
+#: Shingles to both sides of a window or run that are looked at.
+REACH = 2 * PASSAGE
+#: Windows of a hash that meet in one task.
+BLOCK_ROWS = 256
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PLACE_BITS = 28
 _CACHE_WORDS = 400_000
@@ -166,8 +171,8 @@ def _not_soon_after(own: np.ndarray, h: np.ndarray, place: np.ndarray) -> np.nda
     return keep
 
 
-#: A window in one number: kind, place, and the tokens to its left and right, up to REACH.
-REACH = 2 * PASSAGE
+#: A window's place, and how much farther on it was last repeated, in one number.
+_EXTENT_BITS = 28
 _PACKED = "hash long, doc_id long, pack long"
 
 
@@ -181,69 +186,63 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.append(0, np.cumsum(sizes)[:-1])
             of = np.repeat(np.arange(len(words)), sizes)
             ids = np.array(part.column("doc_id").to_pylist(), np.int64)
-            shingles = _shingled(np.concatenate(words))
-            for kind, how in enumerate((LONG, *SHORT)):
-                span = how.shingles + SHINGLE_WORDS - 1  # words of a token
-                if len(of) < span:
-                    continue
-                whole = np.flatnonzero(of[: len(of) - span + 1] == of[span - 1 :])  # tokens inside one text
-                tokens = (_runs(shingles, how.shingles) if how.shingles > 1 else shingles)[whole]
-                h, left, c, right = compact_windows(tokens, of[whole], how)
-                own = of[whole[c]]
-                place = whole[c] - starts[own]
-                fresh = _not_soon_after(own, h, place)
-                own, place, c, h, left, right = own[fresh], place[fresh], c[fresh], h[fresh], left[fresh], right[fresh]
-                pack = (((kind << 30) + place) << 14) + (np.minimum(c - left, REACH) << 7) + np.minimum(right - c, REACH)
-                yield pa.RecordBatch.from_arrays([pa.array(_mix(h + np.uint64(kind)).view(np.int64)), pa.array(ids[own]), pa.array(pack.astype(np.int64))], ["hash", "doc_id", "pack"])
-
-
-def _tied(rows: DataFrame, key: str) -> DataFrame:
-    """Rows (key, doc_id, pack) with ``f``, the first row of their key; the key's first document is left out.
-
-    Keys are reduced to their least and greatest document before they are joined
-    back; a key of one document goes no further.
-    """
-    shared = rows.groupBy(key).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).filter("top > low").select(key)
-    hit = stored(rows.join(shared, key))
-    first = stored(hit.groupBy(key).agg(F.min(F.struct("doc_id", "pack")).alias("f")))
-    return hit.join(first, key).filter(F.col("doc_id") > F.col("f.doc_id"))
+            if len(of) < SEED_WORDS:
+                continue
+            whole = np.flatnonzero(of[: len(of) - SEED_WORDS + 1] == of[SEED_WORDS - 1 :])  # tokens inside one text
+            tokens = _runs(_shingled(np.concatenate(words)), SEED.shingles)[whole]
+            h, _, c, _ = compact_windows(tokens, of[whole], SEED, bounds=False)
+            own = of[whole[c]]
+            place = whole[c] - starts[own]
+            fresh = _not_soon_after(own, h, place)
+            own, place, h = own[fresh], place[fresh], h[fresh]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[own]), pa.array((place << _EXTENT_BITS).astype(np.int64))], ["hash", "doc_id", "pack"])
+
 
+def _place(pack: F.Column) -> F.Column:
+    return F.shiftright(pack, _EXTENT_BITS).cast("int")
 
-def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(runs, open): what windows say at once, and what is to be verified.
 
-    ``runs`` (doc_id, rep_id, start_word, end_word, shift): windows of 35 equal words
-    on one diagonal of a pair of texts that overlap or touch are an interval of equal
-    words; those of a passage's length are found. ``open`` (doc_id, rep_id, a_lo,
-    a_hi, b_lo, b_hi), in shingles: shorter intervals, and, for pairs without a run,
-    windows of shingles that leave room for a passage on both sides at once.
+def _extent(pack: F.Column) -> F.Column:
+    return pack.bitwiseAND((1 << _EXTENT_BITS) - 1).cast("int")
+
+
+def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(windows, runs, open): windows of shared hashes, and what they say at once and what is to be verified.
+
+    ``windows`` (hash, doc_id, c, extent, rep_id, rep_c): every window of a hash that
+    two documents have, with the first document and place of the hash. ``runs``
+    (doc_id, rep_id, start_word, end_word, shift): windows on one diagonal of a pair
+    of texts that overlap or touch are an interval of equal words; those of a
+    passage's length are found. ``open`` (doc_id, rep_id, a_lo, a_hi, b_lo, b_hi), in
+    shingles: what lies around runs near each other that are not one such interval.
     """
     windows = stored(docs.select("doc_id", "text").mapInArrow(_windows, _PACKED))
-    part = lambda p, shift, bits: F.shiftright(p, shift).bitwiseAND((1 << bits) - 1).cast("int")
+    # keys are reduced to their least and greatest document before they are joined back
+    shared = windows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).filter("top > low").select("hash")
+    hit = stored(windows.join(shared, "hash"))
+    first = stored(hit.groupBy("hash").agg(F.min(F.struct("doc_id", "pack")).alias("f")))
     p, q = F.col("pack"), F.col("f.pack")
-    rows = stored(
-        _tied(windows, "hash").select(
-            "doc_id", F.col("f.doc_id").alias("rep_id"), F.shiftright(p, 44).cast("int").alias("kind"), part(p, 14, 30).alias("c"), (part(q, 14, 30) - part(p, 14, 30)).alias("shift"),
-            part(p, 7, 7).alias("x"), part(p, 0, 7).alias("y"), part(q, 7, 7).alias("fx"), part(q, 0, 7).alias("fy"),
-        )
-    )
-    words = LONG.shingles + SHINGLE_WORDS - 1
+    rows = stored(hit.join(first, "hash").select("hash", "doc_id", _place(p).alias("c"), _extent(p).alias("extent"), F.col("f.doc_id").alias("rep_id"), _place(q).alias("rep_c"), _extent(q).alias("rep_extent")))
     line = Window.partitionBy("doc_id", "rep_id", "shift").orderBy("c")
-    begins = F.coalesce((F.col("c") - F.lag("c").over(line) > words).cast("int"), F.lit(1))
+    begins = F.coalesce((F.col("c") - F.lag("c").over(line) > SEED_WORDS).cast("int"), F.lit(1))
+    repeats = F.greatest("extent", "rep_extent")
     runs = (
-        rows.filter("kind = 0").withColumn("begins", begins).withColumn("run", F.sum("begins").over(line))
-        .groupBy("doc_id", "rep_id", "shift", "run").agg(F.min("c").alias("start_word"), (F.max("c") + words).alias("end_word"), F.max("x").alias("x"), F.max("y").alias("y"), F.max("fx").alias("fx"), F.max("fy").alias("fy"))
+        rows.filter("doc_id > rep_id").withColumn("shift", F.col("rep_c") - F.col("c")).withColumn("begins", begins).withColumn("run", F.sum("begins").over(line))
+        .groupBy("doc_id", "rep_id", "shift", "run").agg(F.min("c").alias("start_word"), (F.max("c") + SEED_WORDS).alias("end_word"), F.max(F.col("c") + F.col("extent")).alias("a_last"), F.max(F.col("rep_c") + F.col("rep_extent")).alias("b_last"), F.max(repeats).alias("repeats"))
     )
-    runs = stored(runs)
+    near = Window.partitionBy("doc_id", "rep_id").orderBy("start_word", "shift")
+    a_end = F.col("a_last") + SEED_WORDS
+    runs = runs.withColumn("apart", F.coalesce((F.col("start_word") - F.max(a_end).over(near.rowsBetween(Window.unboundedPreceding, -1)) > REACH).cast("int"), F.lit(1)))
+    runs = stored(runs.withColumn("group", F.sum("apart").over(near.rowsBetween(Window.unboundedPreceding, 0))))
+    around = PASSAGE + F.floor((F.col("end_word") - F.col("start_word")) * 1.25).cast("int")
+    b_start = F.col("start_word") + F.col("shift")
     sure = F.col("end_word") - F.col("start_word") >= PASSAGE_WORDS
-    tied = runs.filter(sure)
-    box = lambda a, b, s: [(a - F.col("x")).alias("a_lo"), (b + F.col("y")).alias("a_hi"), (a + s - F.col("fx")).alias("b_lo"), (b + s + F.col("fy")).alias("b_hi")]
-    long = runs.filter(~sure).select("doc_id", "rep_id", *box(F.col("start_word"), F.col("end_word") - SHINGLE_WORDS, F.col("shift")))
-    room = F.least("x", "fx") + F.least("y", "fy") + 1 >= PASSAGE
-    short = rows.filter((F.col("kind") > 0) & room).join(tied.select("doc_id", "rep_id").distinct(), ["doc_id", "rep_id"], "left_anti")
-    short = short.select("doc_id", "rep_id", *box(F.col("c"), F.col("c"), F.col("shift")), F.floor(F.col("shift") / 8).alias("diagonal"), F.floor(F.col("c") / (4 * PASSAGE)).alias("stretch"))
-    short = short.groupBy("doc_id", "rep_id", "diagonal", "stretch").agg(*[f(n).alias(n) for n, f in (("a_lo", F.min), ("a_hi", F.max), ("b_lo", F.min), ("b_hi", F.max))]).drop("diagonal", "stretch")
-    return tied.select("doc_id", "rep_id", "start_word", "end_word", "shift"), long.unionByName(short)
+    open_ = (
+        runs.groupBy("doc_id", "rep_id", "group")
+        .agg(F.min(F.col("start_word") - around).alias("a_lo"), F.max(a_end + around).alias("a_hi"), F.min(b_start - around).alias("b_lo"), F.max(F.col("b_last") + SEED_WORDS + around).alias("b_hi"), F.count(F.lit(1)).alias("n"), F.min(sure & (F.col("repeats") == 0)).alias("sure"))
+        .filter("n > 1 OR NOT sure").drop("group", "n", "sure")
+    )
+    return rows, runs.filter(sure).select("doc_id", "rep_id", "start_word", "end_word", "shift"), open_
 
 
 def _region(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,39 +361,126 @@ def verify(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, float] | N
     return None
 
 
-_FOUND = "doc_id long, rep_id long, start_word int, end_word int, rep_start int, rep_end int, similarity double, key long, c int, failed boolean"
-_FOUND_ARROW = pa.schema(
-    {"doc_id": pa.int64(), "rep_id": pa.int64(), "start_word": pa.int32(), "end_word": pa.int32(), "rep_start": pa.int32(), "rep_end": pa.int32(), "similarity": pa.float64(), "key": pa.int64(), "c": pa.int32(), "failed": pa.bool_()}
-)
+def passages(a: np.ndarray, b: np.ndarray, pieces: list[tuple[int, int]]) -> tuple[list[tuple[int, int, int, int, float]], list[tuple[int, int]]]:
+    """Passages that ``pieces`` of a region share with another, and the pieces that are left."""
+    found, todo, left = [], list(pieces), []
+    while todo:
+        lo, hi = todo.pop()
+        if hi - lo < PASSAGE:
+            continue
+        if (got := verify(a[lo:hi], b)) is None:
+            left.append((lo, hi))
+            continue
+        start, end, s, e, similarity = got
+        found.append((lo + start, lo + end, s, e, similarity))
+        todo += [(lo, lo + start), (lo + end, hi)]
+    return found, left
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Verified passages, and the 45-word blocks of the first text's region for a second round."""
-    block = Hashing(BLOCK, PASSAGE - BLOCK + 1, 5)
+_NAMES = ["doc_id", "rep_id", "start_word", "end_word", "rep_start", "rep_end", "similarity"]
+_FOUND = "doc_id long, rep_id long, start_word int, end_word int, rep_start int, rep_end int, similarity double"
+
+
+def _columns(rows: list[tuple]) -> dict[str, np.ndarray]:
+    kinds = [np.int64, np.int64, *[np.int32] * 4, np.float64]
+    return {n: np.array([r[i] for r in rows], k) for i, (n, k) in enumerate(zip(_NAMES, kinds, strict=True))}
+
+
+def _row(doc: int, rep: int, lo: int, rep_lo: int, passage: tuple) -> tuple:
+    start, end, s, e, similarity = passage
     more = SHINGLE_WORDS - 1
+    return doc, rep, lo + start, lo + end + more, rep_lo + s, rep_lo + e + more, similarity
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n = batch.num_rows
-        doc, rep, lo, rlo = (batch.column(c).to_numpy() for c in ("doc_id", "rep_id", "lo", "rep_lo"))
-        flat_a, flat_b = (batch.column(c).flatten().to_numpy() for c in ("a", "b"))
-        ends_a, ends_b = (np.append(0, np.cumsum(batch.column(c).value_lengths().to_numpy())) for c in ("a", "b"))
-        hits = [verify(flat_a[i:j], flat_b[k:m]) for i, j, k, m in zip(ends_a[:-1], ends_a[1:], ends_b[:-1], ends_b[1:], strict=True)]
-        good = np.array([h is not None for h in hits], bool)
-        at = np.flatnonzero(good)
-        h = np.array([hits[i] for i in at], np.float64).reshape(-1, 5)
-        spans = h[:, :4].astype(np.int32)
-        own, its = lo[at].astype(np.int32), rlo[at].astype(np.int32)
-        columns = [doc[at], rep[at], own + spans[:, 0], own + spans[:, 1] + more, its + spans[:, 2], its + spans[:, 3] + more, h[:, 4]]
-        none = [pa.nulls(len(at), t) for t in (pa.int64(), pa.int32(), pa.bool_())]
-        yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), *none], schema=_FOUND_ARROW)
-        of = np.repeat(np.arange(n), np.diff(ends_a))
-        if len(of) >= BLOCK:
-            whole = np.flatnonzero(of[: len(of) - BLOCK + 1] == of[BLOCK - 1 :])
-            tokens = _runs(flat_a.view(np.uint32).astype(np.uint64), BLOCK)[whole]
-            key, _, c, _ = compact_windows(tokens, of[whole], block, bounds=False)
-            pair = of[whole[c]]
-            place = (lo[pair] + whole[c] - ends_a[pair]).astype(np.int32)
-            empty = [pa.nulls(len(c), t) for t in (*[pa.int32()] * 4, pa.float64())]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[pair]), pa.array(rep[pair]), *empty, pa.array(key.view(np.int64)), pa.array(place), pa.array(~good[pair])], schema=_FOUND_ARROW)
+        ids = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "rep_id", "lo", "rep_lo")), strict=True)
+        rows = []
+        for at, a, b in zip(ids, batch.column("a"), batch.column("b"), strict=True):
+            got = verify(a.values.to_numpy(), b.values.to_numpy())
+            rows += [_row(*at, got)] if got else []
+        yield pa.RecordBatch.from_pydict(_columns(rows))
+
+
+def _regions(table: pa.Table) -> dict:
+    shingles = table.column("shingles").combine_chunks()
+    flat, ends = shingles.flatten().to_numpy(), np.append(0, np.cumsum(shingles.value_lengths().to_numpy()))
+    return {"doc": table.column("doc_id").to_numpy(), "lo": table.column("lo").to_numpy(), "flat": flat, "ends": ends}
+
+
+def _in_common(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many places of each region have a shingle that each other region has."""
+    n = len(ends) - 1
+    code = np.unique(flat, return_inverse=True)[1]
+    pairs, places = np.unique(code * n + np.repeat(np.arange(n), np.diff(ends)), return_counts=True)
+    code, row = pairs // n, pairs % n
+    code = np.unique(code, return_inverse=True)[1]
+    often = np.bincount(code) > 1
+    label = np.cumsum(often) - 1
+    keep = often[code]
+    code, row, places = label[code[keep]], row[keep], places[keep]
+    common = np.zeros((n, n), np.float32)
+    for first in range(0, int(often.sum()), 8192):
+        lo, hi = np.searchsorted(code, [first, first + 8192])
+        counts = np.zeros((n, 8192), np.float32)
+        counts[row[lo:hi], code[lo:hi] - first] = places[lo:hi]
+        common += counts @ (counts > 0).astype(np.float32).T
+    return common
+
+
+def _meet(prepared: dict, rows: slice, second: np.ndarray | None) -> dict[str, np.ndarray] | None:
+    """Passages of regions of one hash with regions of earlier documents; what is found of a region is not looked for again."""
+    doc, lo, ends = prepared["doc"][rows], prepared["lo"][rows], prepared["ends"][rows.start : rows.stop + 1]
+    flat = prepared["flat"][ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    common = _in_common(flat, ends)
+    near = (common >= BLOCK) & (common.T >= BLOCK) & (doc[:, None] > doc[None, :])
+    if second is not None:
+        near &= second[:, None] ^ second[None, :]
+    out = []
+    for i in np.flatnonzero(near.any(axis=1)):
+        a = flat[ends[i] : ends[i + 1]]
+        pieces = [(0, len(a))]
+        partners = np.flatnonzero(near[i])
+        for j in partners[np.argsort(doc[partners], kind="stable")]:
+            found, pieces = passages(a, flat[ends[j] : ends[j + 1]], pieces)
+            out += [_row(int(doc[i]), int(doc[j]), int(lo[i]), int(lo[j]), f) for f in found]
+            if not pieces:
+                break
+    return _columns(out) if out else None
+
+
+def _cut(docs: DataFrame, regions: DataFrame) -> DataFrame:
+    """(region_doc, lo, hi, shingles) of the distinct ``regions`` (doc_id, lo, hi)."""
+    wanted = stored(regions.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("wanted")))  # bounded by the document's own length
+    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted")  # wanted grows with the table
+    return stored(texts.mapInArrow(_region, "region_doc long, lo int, hi int, shingles array<int>").dropDuplicates(["region_doc", "lo", "hi"]))
+
+
+def _down(c: F.Column) -> F.Column:
+    return (F.greatest(F.floor((c - 4) / GRID), F.lit(0)) * GRID).cast("int")
+
+
+def _up(c: F.Column) -> F.Column:
+    return (F.ceil((c + 5) / GRID) * GRID).cast("int")
+
+
+def _among_themselves(docs: DataFrame, rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Passages of windows that share none with the first window of their hash.
+
+    A window inside a passage of the first document is left to that; the others of
+    its hash, the first document's own further places too, meet in pairs of blocks.
+    """
+    r, t = rows.alias("r"), found.alias("t")
+    held = (F.col("r.doc_id") == F.col("t.doc_id")) & (F.col("r.rep_id") == F.col("t.rep_id")) & F.expr(f"r.c >= t.start_word AND r.c + {SHINGLE_WORDS} <= t.end_word")
+    alone = r.filter("doc_id > rep_id").join(t, held, "left_anti").unionByName(rows.filter("doc_id = rep_id AND c > rep_c"))
+    lo, hi = _down(F.col("c") - REACH), _up(F.col("c") + F.col("extent") + SEED.shingles + REACH)
+    alone = stored(alone.select("hash", "doc_id", lo.alias("lo"), hi.alias("hi")).distinct())
+    keys = alone.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).filter("top > low").select("hash")
+    alone = stored(alone.join(keys, "hash").withColumn("region", F.xxhash64("doc_id", "lo", "hi")))
+    cut = _cut(docs, alone.select("doc_id", "lo", "hi").distinct())
+    facts = cut.select(F.xxhash64(F.col("region_doc"), "lo", "hi").alias("region"), F.col("region_doc").alias("doc_id"), "lo", "shingles")
+    return compare_blocks(alone.select("hash", "region"), ["hash"], "region", ["doc_id", "lo", "shingles"], _regions, _meet, _FOUND, BLOCK_ROWS, facts)
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -402,36 +488,25 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     One row per document and passage, tied to an earlier document (smaller id) that
     holds it; words are runs without ASCII white space, A-Z lowered, ends exclusive.
-    Any passage of 50 or more words that stands exactly in two documents ties the
-    later one to some document. Passages with edits (Jaccard similarity of five-word
-    shingles of 0.8 or more) are found with the probability that one of the hash
-    functions agrees. Null, empty and shorter texts have no passage; null ids take
+    Any passage of 50 or more words that stands in two documents, exactly or with
+    edits (Jaccard similarity of five-word shingles of 0.8 or more), ties the later
+    one to some document. Null, empty and shorter texts have no passage; null ids take
     no part; rows of one id are one document, so repeated rows are not tied to each
     other. An empty table gives an empty result; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    runs, doubtful = candidates(rows)
-    down, up = (lambda c: (F.greatest(F.floor((F.col(c) - 4) / GRID), F.lit(0)) * GRID).cast("int")), (lambda c: (F.ceil((F.col(c) + 5) / GRID) * GRID).cast("int"))
-    pairs = stored(doubtful.select("doc_id", "rep_id", down("a_lo").alias("lo"), up("a_hi").alias("hi"), down("b_lo").alias("rep_lo"), up("b_hi").alias("rep_hi")).distinct())
-    regions = pairs.select("doc_id", "lo", "hi").union(pairs.select("rep_id", "rep_lo", "rep_hi")).distinct()
-    wanted = stored(regions.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("wanted")))  # bounded by the document's own length
-    texts = rows.join(wanted, "doc_id").select("doc_id", "text", "wanted")  # wanted grows with the table
-    cut = stored(texts.mapInArrow(_region, "region_doc long, lo int, hi int, shingles array<int>").dropDuplicates(["region_doc", "lo", "hi"]))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    rows, runs, doubtful = candidates(docs)
+    pairs = stored(doubtful.select("doc_id", "rep_id", _down(F.col("a_lo")).alias("lo"), _up(F.col("a_hi")).alias("hi"), _down(F.col("b_lo")).alias("rep_lo"), _up(F.col("b_hi")).alias("rep_hi")).distinct())
+    cut = _cut(docs, pairs.select("doc_id", "lo", "hi").union(pairs.select("rep_id", "rep_lo", "rep_hi")).distinct())
     a = cut.select(F.col("region_doc").alias("doc_id"), "lo", "hi", F.col("shingles").alias("a"))
     b = cut.select(F.col("region_doc").alias("rep_id"), F.col("lo").alias("rep_lo"), F.col("hi").alias("rep_hi"), F.col("shingles").alias("b"))
     both = pairs.join(a, ["doc_id", "lo", "hi"]).join(b, ["rep_id", "rep_lo", "rep_hi"]).select("doc_id", "rep_id", "lo", "rep_lo", "a", "b")
     found = stored(both.mapInArrow(_verified, _FOUND))
-    names = ["doc_id", "rep_id", "start_word", "end_word", "rep_start", "rep_end", "similarity"]
     exact = runs.select("doc_id", "rep_id", "start_word", "end_word", (F.col("start_word") + F.col("shift")).alias("rep_start"), (F.col("end_word") + F.col("shift")).alias("rep_end"), F.lit(1.0).alias("similarity"))
-    first = exact.unionByName(found.filter("key IS NULL").select(*names))
-    # texts that share a window with a common first text but a passage only with each other
-    blocks = found.filter("key IS NOT NULL").groupBy("key", "doc_id").agg(F.min(F.col("c") * 2 + (~F.col("failed")).cast("int")).cast("long").alias("pack"))
-    words = BLOCK + SHINGLE_WORDS - 1
-    at, rep_at = (F.shiftright(c, 1).cast("int") for c in (F.col("pack"), F.col("f.pack")))
-    second = _tied(blocks, "key").filter((F.col("pack") % 2 == 0) | (F.col("f.pack") % 2 == 0)).select(
-        "doc_id", F.col("f.doc_id").alias("rep_id"), at.alias("start_word"), (at + words).alias("end_word"), rep_at.alias("rep_start"), (rep_at + words).alias("rep_end"), F.lit(1.0).alias("similarity")
-    )
-    return first.unionByName(second).distinct()
+    # runs that a verified passage holds are not said twice
+    held = F.expr("x.doc_id = y.doc_id AND x.rep_id = y.rep_id AND x.start_word >= y.start_word AND x.end_word <= y.end_word")
+    first = stored(found.unionByName(exact.alias("x").join(found.alias("y"), held, "left_anti")))
+    return first.unionByName(_among_themselves(docs, rows, first)).distinct()
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,6 +80,30 @@ def test_substring_dedup(spark):
     assert substring_dedup.substring_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def ties(spark, texts):
+    """(doc_id, rep_id) and the rows of the passages of some word lists."""
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    got = substring_dedup.substring_dedup(rows).collect()
+    for r in got:
+        a, b = texts[r.doc_id][r.start_word : r.end_word], texts[r.rep_id][r.rep_start : r.rep_end]
+        x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+        assert len(x & y) / len(x | y) == pytest.approx(r.similarity) and r.similarity >= 0.8 and min(len(a), len(b)) >= 50
+    return {(r.doc_id, r.rep_id) for r in got}, got
+
+
+def test_substring_dedup_compares_copies_behind_a_common_line(spark):
+    rng = random.Random(6)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    phrases = [fresh(30) for _ in range(20)]
+    texts = {k: fresh(60) + phrases[k] + fresh(60) for k in range(20)}  # the lines stand in earlier, unrelated texts
+    for k in range(20):
+        one = fresh(15) + phrases[k] + fresh(11)
+        two = list(one)
+        two[12] = "other"  # no 45 words on end are equal
+        texts |= {100 + k: fresh(50) + one + fresh(50), 200 + k: fresh(70) + two + fresh(30)}
+    assert ties(spark, texts)[0] == {(200 + k, 100 + k) for k in range(20)}
+
+
 def test_substring_dedup_finds_every_exact_passage(spark, sf_dir):
     path = f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet"
     texts = {r["doc_id"]: words_of(r["text"]) for r in table(path)}
