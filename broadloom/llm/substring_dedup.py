@@ -162,13 +162,17 @@ def compact_windows(hashes: np.ndarray, text_of: np.ndarray, how: Hashing, bound
     return hashes[nodes], np.array(left), nodes, np.array(right)
 
 
-def _not_soon_after(own: np.ndarray, h: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Which windows do not repeat one of their text that begins less than two passages before: of a line said over and over the first stays."""
+def _stretched(own: np.ndarray, h: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows (rising numbers) that stand for all, and how much farther on each was last repeated.
+
+    Of windows of one hash and text that each begin less than two passages after the
+    one before, the first stands for the stretch that they reach over.
+    """
     order = np.lexsort((place, h, own))
     soon = (np.diff(own[order]) == 0) & (h[order][1:] == h[order][:-1]) & (np.diff(place[order]) < 2 * PASSAGE)
-    keep = np.ones(len(own), bool)
-    keep[order[1:][soon]] = False
-    return keep
+    first, last = order[np.append(True, ~soon)[: len(order)]], order[np.append(~soon, True)[: len(order)]]
+    by = np.argsort(first)
+    return first[by], (place[last] - place[first])[by]
 
 
 #: A window's place, and how much farther on it was last repeated, in one number.
@@ -193,9 +197,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, _, c, _ = compact_windows(tokens, of[whole], SEED, bounds=False)
             own = of[whole[c]]
             place = whole[c] - starts[own]
-            fresh = _not_soon_after(own, h, place)
-            own, place, h = own[fresh], place[fresh], h[fresh]
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[own]), pa.array((place << _EXTENT_BITS).astype(np.int64))], ["hash", "doc_id", "pack"])
+            keep, extent = _stretched(own, h, place)
+            own, place, h = own[keep], place[keep], h[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[own]), pa.array(((place << _EXTENT_BITS) + extent).astype(np.int64))], ["hash", "doc_id", "pack"])
 
 
 def _place(pack: F.Column) -> F.Column:

@@ -104,6 +104,40 @@ def test_substring_dedup_compares_copies_behind_a_common_line(spark):
     assert ties(spark, texts)[0] == {(200 + k, 100 + k) for k in range(20)}
 
 
+def covered(got, doc_id, texts):
+    held = np.zeros(len(texts[doc_id]), bool)
+    for r in got:
+        if r.doc_id == doc_id:
+            held[r.start_word : r.end_word] = True
+    return held
+
+
+def test_substring_dedup_reports_repeated_stretches_whole(spark):
+    rng = random.Random(7)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    texts = {}
+    for k, n in enumerate((45, 60, 90)):
+        line = fresh(n)
+        texts |= {10 * k: fresh(30) + line * 100 + fresh(30), 10 * k + 1: fresh(80) + line * 100 + fresh(10)}
+    pairs, got = ties(spark, texts)
+    assert pairs == {(1, 0), (11, 10), (21, 20)}
+    for k, n in enumerate((45, 60, 90)):
+        held = covered(got, 10 * k + 1, texts)
+        assert held.sum() >= n * 100 and held[80 : 80 + n * 100].all()
+
+
+def test_substring_dedup_finds_passages_behind_a_repeated_line(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    texts, want = {}, set()
+    for k in range(30):
+        line, end = fresh(35 + k % 15), fresh(16)
+        twice, once = fresh(40) + line + fresh((20, 40, 300)[k % 3]) + line + end + fresh(40), fresh(60) + line + end + fresh(60)
+        texts |= dict(zip((100 * k, 100 * k + 1), (twice, once) if k % 2 else (once, twice), strict=True))
+        want.add((100 * k + 1, 100 * k))
+    assert ties(spark, texts)[0] == want
+
+
 def test_substring_dedup_finds_every_exact_passage(spark, sf_dir):
     path = f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet"
     texts = {r["doc_id"]: words_of(r["text"]) for r in table(path)}
