@@ -138,6 +138,22 @@ def test_substring_dedup_finds_passages_behind_a_repeated_line(spark):
     assert ties(spark, texts)[0] == want
 
 
+def test_substring_dedup_finds_further_passages_of_a_pair(spark):
+    rng = random.Random(9)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    texts = {}
+    for k, gap in enumerate((12, 30, 400)):
+        footer, edited, third = fresh(60), fresh(100), fresh(90)
+        other, last = list(edited), list(third)
+        other[50], last[45] = "other", "another"
+        texts |= {10 * k: fresh(20) + edited + fresh(gap) + third + fresh(gap) + footer, 10 * k + 1: fresh(40) + other + fresh(gap) + last + fresh(gap) + footer}
+    got = ties(spark, texts)[1]
+    for k, gap in enumerate((12, 30, 400)):
+        held = covered(got, 10 * k + 1, texts)
+        for start, n in ((40, 100), (140 + gap, 90), (230 + 2 * gap, 60)):
+            assert held[start : start + n].sum() > 0.6 * n
+
+
 def test_substring_dedup_finds_every_exact_passage(spark, sf_dir):
     path = f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet"
     texts = {r["doc_id"]: words_of(r["text"]) for r in table(path)}
