@@ -27,8 +27,9 @@ ORDER = 5
 DISCOUNT = 0.75
 #: Bound of the sample that the models are fitted and calibrated on: documents for each language.
 MAX_FIT_DOCS = 2000
-#: A rejected text lies this many standard deviations beyond its language's mean cross-entropy.
-REJECT_SIGMA = 8.0
+#: A rejected text lies this many times as far beyond its language's mean cross-entropy as the share REJECT_QUANTILE of
+#: calibration texts does; these have LONG_CHARS characters or more, if a language has any such.
+REJECT_TIMES, REJECT_QUANTILE, LONG_CHARS = 2.0, 0.98, 32
 _CACHE_WORDS = 300_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -249,8 +250,13 @@ def fit(docs: DataFrame, max_fit_docs: int = MAX_FIT_DOCS) -> LanguageModels:
     return models
 
 
+def _allowance(n: np.ndarray) -> np.ndarray:
+    """How many times as far as a long text one of ``n`` characters may lie from the mean."""
+    return np.sqrt(1 + LONG_CHARS / np.maximum(n, 1))
+
+
 def _calibrate(spark: SparkSession, models: LanguageModels, texts: DataFrame) -> np.ndarray:
-    """Per language mean and variance per character of the own-language cross-entropy on unfitted texts."""
+    """Per language mean of the own-language cross-entropy on unfitted texts, and how far beyond it a long text may lie."""
     shared = spark.sparkContext.broadcast(pickle.dumps(models))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,13 +270,16 @@ def _calibrate(spark: SparkSession, models: LanguageModels, texts: DataFrame) ->
             yield pa.RecordBatch.from_pydict({"lang": [langs[i] for i in keep], "h": own, "n": got[keep, -1]}, schema=pa.schema({"lang": pa.string(), "h": pa.float64(), "n": pa.float64()}))
 
     scored = texts.select("lang", "text").mapInArrow(run, "lang string, h double, n double")
-    mean = F.sum(F.col("h") * F.col("n")) / F.sum("n")
-    stats = {r["lang"]: r for r in scored.groupBy("lang").agg(mean.alias("mean"), F.avg("h").alias("flat"), F.sum(F.col("h") * F.col("h")).alias("hh"), F.count("h").alias("docs"), F.max("h").alias("worst")).collect()}
+    got = scored.toArrow()  # bounded: a quarter of max_fit_docs rows for each language
+    of, h, n = np.array(got.column("lang").to_pylist(), object), got.column("h").to_numpy(), got.column("n").to_numpy()
     limits = np.full((len(models.langs), 2), np.inf)
     for i, lang in enumerate(models.langs):
-        if (r := stats.get(lang)) is not None and r["docs"]:
-            spread = max(r["hh"] / r["docs"] - r["flat"] ** 2, 0.0) ** 0.5
-            limits[i] = r["mean"], max(REJECT_SIGMA * spread, r["worst"] - r["mean"], 0.25 * r["mean"])
+        mine = of == lang
+        mine = long if (long := mine & (n >= LONG_CHARS)).any() else mine
+        if mine.any():
+            mean = np.average(h[mine], weights=n[mine])
+            far = np.quantile((h[mine] - mean) / _allowance(n[mine]), REJECT_QUANTILE)
+            limits[i] = mean, max(REJECT_TIMES * far, 0.25 * mean)
     shared.unpersist()
     return limits
 
@@ -288,7 +297,7 @@ def _decider(pickled: bytes):
         best = h.argmin(axis=1)
         least = h[np.arange(len(h)), best]
         share = 1 / np.exp(-(h - least[:, None]) * np.minimum(n, 32)[:, None]).sum(axis=1)
-        room = limits[best, 1] * np.sqrt(np.maximum(1, 32 / np.maximum(n, 1)))
+        room = limits[best, 1] * _allowance(n)
         none = n == 0
         names = ["und" if x else langs[i] for x, i in zip(none, best, strict=True)]
         return names, np.where(none, 0.0, share), none | (least - limits[best, 0] > room)
@@ -304,7 +313,7 @@ def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
     per character (ties: the first by name), even when rejected. score: its share,
     with each language weighted by exp(-cross-entropy) of one character, sharpened
     by at most 32 characters. Rejection: the cross-entropy exceeds the language's
-    mean by more than its limit; texts of under 32 characters are given more room.
+    mean by more than its limit; the shorter a text, the more room it is given.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(models))
 

@@ -214,6 +214,25 @@ def test_language_id(spark, sf_dir):
     assert both.rejected.mean() < 0.02
 
 
+def test_language_id_rejects_foreign_and_random_texts(spark):
+    rng = random.Random(12)
+
+    def words(n):
+        parts = ["".join(rng.choices("bdfgklmnprstvz", k=1) + rng.choices("aeiou", k=1) + rng.choices(["", "n", "r", "s"], k=1)) for _ in range(25)]
+        return ["".join(rng.choices(parts, k=rng.randrange(1, 4))) for _ in range(n)]
+
+    one, two, foreign = words(300), words(300), words(300)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, " ".join(rng.choices((one, two)[i % 2], k=rng.randrange(8, 60))), "ab"[i % 2]) for i in range(1600)]
+    odd = [(2000 + i, "".join(rng.choices("qxjwy", k=rng.randrange(2, 12))), "ab"[i % 2]) for i in range(24)]  # short and odd, of both languages
+    bad = [(3000 + i, " ".join(rng.choices(foreign, k=40)), None) for i in range(100)]
+    bad += [(4000 + i, " ".join("".join(rng.choices(letters, k=6)) for _ in range(30)), None) for i in range(100)]
+    got = language_id.language_id(spark.createDataFrame(rows + odd + bad, "doc_id long, text string, lang string")).collect()
+    rejected = {r.doc_id for r in got if r.rejected}
+    assert sum(i < 2000 for i in rejected) <= 16
+    assert sum(3000 <= i < 4000 for i in rejected) >= 95 and sum(i >= 4000 for i in rejected) == 100
+
+
 def test_language_id_edges(docs):
     df, rows = docs
     got = {r.doc_id: r for r in language_id.language_id(df).collect()}
