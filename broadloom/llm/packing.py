@@ -165,12 +165,13 @@ def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple
     return plans
 
 
-def _cover(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, share: float, rate: float) -> list[tuple[np.ndarray, int]]:
+def _cover(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, share: float, rate: float, filled: bool = True) -> list[tuple[np.ndarray, int]]:
     """Multiplicative weights on the covering program, each round taken down to whole numbers; then best fit.
 
     The price of a length is its part of a sequence times exp(-rate x the part of
     its demand that is covered). Each round adds the priced configuration, as often
-    as an equal part of the sequences and ``share`` of each demand allow.
+    as an equal part of the sequences and ``share`` of each demand allow; with
+    ``filled`` the rounds end at the first one that leaves room in a sequence.
     """
     left = demand.astype(np.int64).copy()
     open_ = np.floor(left * share).astype(np.int64)
@@ -184,7 +185,7 @@ def _cover(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int,
         counts = np.zeros(len(lengths), np.int64)
         counts[live] = price(lengths[live] / capacity * np.exp(-rate * covered), lengths[live], open_[live], capacity)
         used = counts > 0
-        if (counts * lengths).sum() < capacity:
+        if filled and (counts * lengths).sum() < capacity:
             break
         times = int(min((open_[used] // counts[used]).min(), most))
         plans.append((counts, times))
@@ -197,15 +198,17 @@ def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY, rou
     """Configurations with their multiplicities that hold every piece of the histogram exactly once.
 
     The shares of the demand left to the program are tried from the largest; what is
-    left of every length goes to best fit, which fills the last gaps. The first
-    result at the lower bound is taken, else the one of fewest sequences.
+    left of every length goes to best fit, which fills the last gaps. Where that
+    leaves more than the lower bound, the shares and the whole demand are tried with
+    configurations of any fill. The first result at the bound is taken, else the one
+    of fewest sequences.
     """
     if not len(lengths):
         return []
     bound = -(-int((lengths * demand).sum()) // capacity)
     found = None
-    for share in LP_SHARES:
-        plans = _cover(lengths, demand, capacity, rounds, share, rate)
+    for share, filled in [*((s, True) for s in LP_SHARES), *((s, False) for s in (1.0, *LP_SHARES))]:
+        plans = _cover(lengths, demand, capacity, rounds, share, rate, filled)
         if found is None or sum(n for _, n in plans) < sum(n for _, n in found):
             found = plans
         if sum(n for _, n in found) == bound:

@@ -202,6 +202,14 @@ def test_packing_solver():
 # language ID
 
 
+@pytest.mark.parametrize("n", [100, 1000, 100_000])
+def test_packing_solver_without_full_sequences(n):
+    lengths, demand = np.array([500, 520, 1000]), np.array([n, n, n])
+    plans = packing.solve(lengths, demand)
+    assert (sum(c * k for c, k in plans) == demand).all() and all((c * lengths).sum() <= 2048 for c, _ in plans)
+    assert n <= sum(k for _, k in plans) <= n * 1.002  # no four pieces fit, so 3 n pieces need n sequences
+
+
 def test_language_id(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
     got = language_id.language_id(df).toPandas()
