@@ -147,12 +147,18 @@ def keys_equal(spark, sf_dir):
     return copy.unionByName(copies.missing_keys(copy, source).select(*copy.columns)).exceptAll(source.limit(0)).groupBy("source_file").agg(F.count("*").alias("n_rows"))
 
 
+def _payloads(parts, rows=10_000):
+    """Dictionary payloads: one of each brand's category, and its features in payloads of about ``rows`` at most."""
+    n = max(1, -(-parts.count() // rows))
+    features = parts.groupBy("p_brand", F.pmod(F.xxhash64("token"), F.lit(n)).alias("piece")).agg(F.collect_list(F.struct("token", F.col("p_name").alias("description"))).alias("features"))
+    brands = parts.select("p_brand").distinct().select(F.array(F.struct(F.col("p_brand").alias("name"))).alias("categories"), F.array(F.struct(F.lit("token").alias("name"))).alias("columns"))
+    return features.select("features").unionByName(brands, allowMissingColumns=True)
+
+
 def load_dictionary(spark, sf_dir):
     path, mapping = scratch(spark), scratch(spark)
     parts = table(spark, sf_dir, "part").select(F.concat(F.lit("Part_"), F.col("p_partkey").cast("string")).alias("token"), "p_name", "p_type", "p_brand")
-    one = parts.groupBy("p_brand").agg(F.collect_list(F.struct("token", F.col("p_name").alias("description"))).alias("features"))  # one payload file per brand
-    one = one.withColumn("categories", F.array(F.struct(F.col("p_brand").alias("name")))).withColumn("columns", F.array(F.struct(F.lit("token").alias("name"))))
-    one.drop("p_brand").write.option("maxRecordsPerFile", 1).json(path)
+    _payloads(parts).write.option("maxRecordsPerFile", 1).json(path)
     parts.select("token", F.concat(F.lit("feat_"), F.substring_index("token", "_", -1)).alias("column_name")).write.option("header", "true").csv(mapping)
     return copies.load_dictionary(spark, mapping, path, {"dataset": "parts", "version": "1"})["features"]
 

@@ -209,3 +209,12 @@ def test_trailing_split_equals_plain(spark):
         a = windows.trailing_sum(df, "k", "ts", "v", 3_000_000, closed).select("us", "v", "total")
         b = windows.trailing_sum_split(df, "k", "ts", "v", 3_000_000, closed, cell_us=5_000_000).select("us", "v", "total")
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_dictionary_payloads_are_bounded(spark):
+    from broadloom.queries import sources
+
+    parts = spark.range(4000).selectExpr("concat('Part_', id) token", "'n' p_name", "'t' p_type", "concat('b', id % 2) p_brand")
+    got = sources._payloads(parts, 500).collect()
+    sizes = [len(r.features) for r in got if r.features]
+    assert sum(sizes) == 4000 and max(sizes) <= 500 and sorted(c.name for r in got for c in r.categories or []) == ["b0", "b1"]
