@@ -3,9 +3,11 @@
 Documents become token pieces of at most ``capacity`` tokens. Only the histogram
 of piece lengths, of at most ``capacity`` rows, goes to the driver. There a
 configuration (a multiset of lengths that fits one sequence) is a column of a
-covering program, solved by multiplicative weights: weights on lengths rise where
-demand is unmet, and knapsack dynamic programming prices the best configuration.
-The solution is rounded down and the rest packed by best fit on the histogram.
+covering program over all of the demand, solved by multiplicative weights: the
+weight of a length falls as its demand is met, and knapsack dynamic programming
+prices, for every length, the best configuration that holds it. Columns gather
+fractional multiplicities, which are rounded down; what that leaves is covered
+again in whole steps, and best fit on the histogram packs the few pieces left.
 Pieces then take their places by rank in their length, in one distributed pass.
 """
 
@@ -14,6 +16,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import islice
 from unicodedata import is_normalized
 
@@ -26,11 +29,14 @@ from pyspark.sql import functions as F
 from broadloom.llm.common import stored
 
 CAPACITY = 2048
-#: Rounds of multiplicative weights, and the shares of each length's demand that they may cover.
-ROUNDS = 64
-LP_SHARES = (0.5, 0.25, 0.0)
-#: Ranks of pieces of a length are counted in so many parts, each ordered on its own.
-RANK_PARTS = 256
+#: Rounds of multiplicative weights in a pass over the program, the part of a length's demand that one round may cover, and passes.
+ROUNDS, ROUND_SHARE, PASSES = 63, 1 / 16, 4
+#: (rate of the weights, preference for long pieces, how far below the best price a column may lie), tried in turn.
+SETTINGS = ((3e-3, 1e-2, 1e-3), (2e-3, 6e-3, 1.5e-3), (0.1, 0.1, 0.03))
+#: A solution this close to the lower bound is taken without a further try.
+CLOSE = 1e-4
+#: Pieces of one length that are ranked in one group, about.
+RANK_ROWS = 200_000
 _CACHE_WORDS = 1_000_000
 #: Final sigma and dotted I are lowered by context; \\x1c-\\x1f separate words for Python alone.
 _ODD = re.compile("[\u03a3\u0130\x1c-\x1f]")
@@ -43,15 +49,15 @@ class WordTokens:
     A word is what stands between white space. The file's pre-tokenizer never joins
     over white space, so a text's ids are its words' ids in turn; the file's own
     model is run on each word that is new, many in one call. Texts whose lower-casing
-    depends on more than the single character, or whose separators Python and the
-    tokenizer see differently, go to the tokenizer whole.
+    depends on more than the single character, whose separators Python and the
+    tokenizer see differently, or that hold an added token, go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = tuple(t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values())
         self.words: dict[str, bytes] = {}
         self.parts = regex.compile(_SPLIT)
 
@@ -68,7 +74,7 @@ class WordTokens:
         split: list[list[str] | None] = []
         for text in texts:
             low = text.lower()
-            plain = not _ODD.search(text) and (text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", low)))
+            plain = not _ODD.search(text) and not any(a in low for a in self.added) and (text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", low)))
             split.append(low.split() if plain else None)
         if len(self.words) > _CACHE_WORDS:
             self.words = {}
@@ -112,38 +118,83 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     return scan.mapInArrow(run, _PIECES)
 
 
-def price(values: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacity: int) -> np.ndarray:
-    """How often each length stands in the configuration of greatest value, at most ``limits`` times each.
+def knapsack(values: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """The greatest value of a multiset of pieces for each room from 0 to ``capacity``; lengths rise."""
+    best = np.zeros(capacity + 1)
+    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+    for room in range(int(lengths[0]), capacity + 1):
+        n = fits[room]
+        best[room] = max(best[room - 1], (best[room - lengths[:n]] + values[:n]).max())
+    return best
+
 
-    Bounded knapsack by dynamic programming over the capacity: a length's limit is
-    split into bundles of 1, 2, 4, .. pieces, each of which is taken or not.
+def _column(first: int, lengths: np.ndarray, values: np.ndarray, open_: np.ndarray, allowed: np.ndarray, best: np.ndarray, need: float, capacity: int) -> dict[int, int] | None:
+    """The best configuration with a piece of ``first`` and lengths used at most ``allowed`` times; None if its value is below ``need``.
+
+    ``best`` prices each room; ``open_`` are the values with used-up lengths struck out.
     """
-    bundles = []
-    for k, n in enumerate(lengths.tolist()):
-        left, size = min(int(limits[k]), capacity // n), 1
-        while left > 0:
-            size = min(size, left)
-            bundles.append((k, size))
-            left -= size
-            size *= 2
-    best = np.zeros(capacity + 1)
-    taken = np.zeros((len(bundles), capacity + 1), bool)
-    for i, (k, size) in enumerate(bundles):
-        w = int(lengths[k]) * size
-        with_it = best[: capacity + 1 - w] + values[k] * size
-        better = with_it > best[w:]
-        taken[i, w:] = better
-        best[w:] = np.where(better, with_it, best[w:])
-    counts, c = np.zeros(len(lengths), np.int64), capacity
-    for i in range(len(bundles) - 1, -1, -1):
-        if taken[i, c]:
-            k, size = bundles[i]
-            counts[k] += size
-            c -= int(lengths[k]) * size
-    return counts
-
-
-def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    counts, room, value = {first: 1}, capacity - int(lengths[first]), values[first]
+    if value + best[room] < need:
+        return None
+    while room >= lengths[0]:
+        n = int(np.searchsorted(lengths, room, side="right"))
+        worth = best[room - lengths[:n]] + open_[:n]
+        k = int(worth.argmax())
+        while worth[k] > 0 and counts.get(k, 0) + 1 > allowed[k]:
+            worth[k] = -1
+            k = int(worth.argmax())
+        if worth[k] <= 0:
+            break
+        if value + worth[k] < need:
+            return None
+        counts[k] = counts.get(k, 0) + 1
+        value += values[k]
+        room -= int(lengths[k])
+    return counts if value >= need else None
+
+
+def cover(lengths: np.ndarray, demand: np.ndarray, capacity: int, rate: float, long_first: float, gap: float, whole: bool) -> dict[tuple[tuple[int, int], ...], float]:
+    """Columns ((length number, pieces), ..) of the covering program and how often each is taken.
+
+    The weight of a length is exp(-rate x the part of its demand that is covered); its
+    price is its part of a sequence times that weight, a little more for long pieces,
+    so that short ones stay to fill the last gaps. In a round the columns of all
+    lengths are priced by one knapsack, those within ``gap`` of the best are taken as
+    often as ROUND_SHARE of every demand allows, and weights change after. Demand is
+    never covered twice. With ``whole`` multiplicities are whole numbers.
+    """
+    total, left = demand.astype(np.float64), demand.astype(np.float64)
+    taken: dict[tuple[tuple[int, int], ...], float] = {}
+    for _ in range(ROUNDS):
+        live = np.flatnonzero(left >= 1)
+        if not len(live):
+            break
+        own = lengths[live]
+        values = own / capacity * np.exp(-rate * (1 - left[live] / total[live])) * (1 + long_first * own / capacity)
+        best = knapsack(values, own, capacity)
+        need = (1 - gap) * best[capacity]
+        allowed = np.minimum(np.maximum(total[live] * ROUND_SHARE, 1), left[live])
+        open_, found = values.copy(), False
+        for first in range(len(live) - 1, -1, -1):
+            while allowed[first] >= 1:
+                counts = _column(first, own, values, open_, allowed, best, need, capacity)
+                if counts is None:
+                    break
+                at, n = np.fromiter(counts, np.int64), np.fromiter(counts.values(), np.int64)
+                times = (allowed[at] / n).min()
+                times = float(np.floor(times)) if whole else float(times)
+                key = tuple(sorted((int(live[k]), c) for k, c in counts.items()))
+                taken[key] = taken.get(key, 0.0) + times
+                allowed[at] -= times * n
+                left[live[at]] -= times * n
+                open_[at[allowed[at] < 1]] = -np.inf
+                found = True
+        if not found:
+            break
+    return taken
+
+
+def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[tuple[tuple[int, int], ...], int]]:
     """Packs the counts ``left`` on the histogram: the longest length opens a sequence, the longest that fits follows.
 
     Each filled configuration is used as often as its counts allow, which uses up
@@ -151,94 +202,95 @@ def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple
     """
     plans, left = [], left.copy()
     while left.any():
-        counts = np.zeros(len(lengths), np.int64)
-        room = capacity
-        for k in range(len(lengths) - 1, -1, -1):
+        counts, room = [], capacity
+        for k in np.flatnonzero(left)[::-1]:
             take = min(int(left[k]), room // int(lengths[k]))
             if take:
-                counts[k] = take
+                counts.append((int(k), take))
                 room -= take * int(lengths[k])
-        used = counts > 0
-        times = int((left[used] // counts[used]).min())
-        plans.append((counts, times))
-        left -= counts * times
+        times = min(int(left[k]) // n for k, n in counts)
+        for k, n in counts:
+            left[k] -= n * times
+        plans.append((tuple(sorted(counts)), times))
     return plans
 
 
-def _cover(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, share: float, rate: float, filled: bool = True) -> list[tuple[np.ndarray, int]]:
-    """Multiplicative weights on the covering program, each round taken down to whole numbers; then best fit.
+@dataclass(frozen=True)
+class Packing:
+    """Configurations ((length number, pieces), ..) with their multiplicities, and how many sequences are columns of the program."""
 
-    The price of a length is its part of a sequence times exp(-rate x the part of
-    its demand that is covered). Each round adds the priced configuration, as often
-    as an equal part of the sequences and ``share`` of each demand allow; with
-    ``filled`` the rounds end at the first one that leaves room in a sequence.
-    """
-    left = demand.astype(np.int64).copy()
-    open_ = np.floor(left * share).astype(np.int64)
-    plans: list[tuple[np.ndarray, int]] = []
-    most = int(np.ceil(share * (demand * lengths).sum() / capacity / rounds))
-    for _ in range(rounds):
-        live = open_ > 0
-        if not live.any():
+    plans: list[tuple[tuple[tuple[int, int], ...], int]]
+    by_program: int
+
+    @property
+    def sequences(self) -> int:
+        return sum(times for _, times in self.plans)
+
+
+def _solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, setting: tuple[float, float, float]) -> Packing:
+    left = demand.astype(np.int64)
+    plans: list = []
+    for number in range(PASSES):
+        live = np.flatnonzero(left)
+        if not len(live):
             break
-        covered = 1 - left[live] / demand[live]
-        counts = np.zeros(len(lengths), np.int64)
-        counts[live] = price(lengths[live] / capacity * np.exp(-rate * covered), lengths[live], open_[live], capacity)
-        used = counts > 0
-        if filled and (counts * lengths).sum() < capacity:
+        columns = cover(lengths[live], left[live], capacity, *setting, whole=number > 0)
+        whole = [(tuple((int(live[k]), n) for k, n in key), int(times + 1e-9)) for key, times in columns.items() if times + 1e-9 >= 1]
+        for key, times in whole:
+            for k, n in key:
+                left[k] -= n * times
+        plans += whole
+        if not whole:
             break
-        times = int(min((open_[used] // counts[used]).min(), most))
-        plans.append((counts, times))
-        left -= counts * times
-        open_ -= counts * times
-    return plans + best_fit(lengths, left, capacity)
+    return Packing(plans + best_fit(lengths, left, capacity), sum(times for _, times in plans))
 
 
-def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = 4.0) -> list[tuple[np.ndarray, int]]:
-    """Configurations with their multiplicities that hold every piece of the histogram exactly once.
+def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY) -> Packing:
+    """Configurations that hold every piece of the histogram exactly once; ``lengths`` rise.
 
-    The shares of the demand left to the program are tried from the largest; what is
-    left of every length goes to best fit, which fills the last gaps. Where that
-    leaves more than the lower bound, the shares and the whole demand are tried with
-    configurations of any fill. The first result at the bound is taken, else the one
-    of fewest sequences.
+    The first pass of the program is fractional and over all of the demand; the
+    others are over what rounding down left. SETTINGS are tried in turn until the
+    sequences are as few as the lower bound (all tokens over the capacity) but for
+    CLOSE; else the fewest are taken.
     """
     if not len(lengths):
-        return []
+        return Packing([], 0)
     bound = -(-int((lengths * demand).sum()) // capacity)
     found = None
-    for share, filled in [*((s, True) for s in LP_SHARES), *((s, False) for s in (1.0, *LP_SHARES))]:
-        plans = _cover(lengths, demand, capacity, rounds, share, rate, filled)
-        if found is None or sum(n for _, n in plans) < sum(n for _, n in found):
-            found = plans
-        if sum(n for _, n in found) == bound:
+    for setting in SETTINGS:
+        got = _solve(lengths, demand, capacity, setting)
+        if found is None or got.sequences < found.sequences:
+            found = got
+        if found.sequences <= bound * (1 + CLOSE):
             break
     return found
 
 
-def _slots(plans: list[tuple[np.ndarray, int]], lengths: np.ndarray) -> dict[int, np.ndarray]:
+def _slots(packing: Packing, lengths: np.ndarray) -> dict[int, np.ndarray]:
     """Per length the rows (first rank, first sequence, pieces in each sequence, offset of the first)."""
     slots: dict[int, list] = {int(n): [] for n in lengths}
     ranks = dict.fromkeys(slots, 0)
     sequence = 0
-    for counts, times in plans:
+    for counts, times in packing.plans:
         offset = 0
-        for k in np.flatnonzero(counts)[::-1]:
+        for k, c in reversed(counts):
             n = int(lengths[k])
-            slots[n].append((ranks[n], sequence, int(counts[k]), offset))
-            ranks[n] += int(counts[k]) * times
-            offset += n * int(counts[k])
+            slots[n].append((ranks[n], sequence, c, offset))
+            ranks[n] += c * times
+            offset += n * c
         sequence += times
     return {n: np.array(rows, np.int64).reshape(-1, 4) for n, rows in slots.items()}
 
 
-def ranked(pieces: DataFrame) -> DataFrame:
+def ranked(pieces: DataFrame, histogram: list[tuple[int, int]], rows: int = RANK_ROWS) -> DataFrame:
     """``pieces`` (stored) with ``rank``, from 0 in each length, without one group for a frequent length.
 
-    Rows of a length are dealt over parts by hash; parts are counted, offsets summed
-    over at most RANK_PARTS counts, and rows numbered inside their part.
+    Rows of a length are dealt by hash over as many parts as its count asks for; parts
+    are counted, offsets summed over the parts, and rows numbered inside their part.
     """
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_key", "piece"), F.lit(RANK_PARTS)).cast("int"))
+    # bounded: a row for each length
+    parts = pieces.sparkSession.createDataFrame([(n, -(-count // rows)) for n, count in histogram], "length long, parts int")
+    dealt = pieces.join(F.broadcast(parts), "length").withColumn("part", F.pmod(F.xxhash64("doc_key", "piece"), F.col("parts")).cast("int")).drop("parts")
     counts = dealt.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -249,12 +301,14 @@ def ranked(pieces: DataFrame) -> DataFrame:
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (stored: doc_key, piece, length and others) with sequence_id and offset.
 
-    Every piece has one place; a sequence's pieces lie without gaps from 0. Only the
-    histogram is collected: at most ``capacity`` rows whatever the table's size.
+    Every piece has one place; a sequence's pieces lie without gaps from 0. Pieces
+    that fill a sequence have one of their own (numbers below 0). Only the histogram
+    of the others is collected: fewer than ``capacity`` rows whatever the table's size.
     """
-    histogram = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).orderBy("length").collect()
-    lengths = np.array([r["length"] for r in histogram], np.int64)
-    demand = np.array([r["n"] for r in histogram], np.int64)
+    alone = pieces.filter(F.col("length") == capacity).withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    others = pieces.filter(F.col("length") < capacity)
+    histogram = [(r["length"], r["n"]) for r in others.groupBy("length").agg(F.count(F.lit(1)).alias("n")).orderBy("length").collect()]
+    lengths, demand = np.array([n for n, _ in histogram], np.int64), np.array([c for _, c in histogram], np.int64)
     slots = pieces.sparkSession.sparkContext.broadcast(_slots(solve(lengths, demand, capacity), lengths))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,18 +316,20 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         for batch in batches:
             length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
-            for n in np.unique(length):
-                at = np.flatnonzero(length == n)
-                rows = table[int(n)]
+            order = np.argsort(length, kind="stable")
+            starts = np.flatnonzero(np.diff(length[order], prepend=-1))
+            for at in np.split(order, starts[1:]) if len(order) else []:
+                n = int(length[at[0]])
+                rows = table[n]
                 slot = rows[np.searchsorted(rows[:, 0], rank[at], side="right") - 1]
                 inner = rank[at] - slot[:, 0]
                 sequence[at] = slot[:, 1] + inner // slot[:, 2]
                 offset[at] = slot[:, 3] + inner % slot[:, 2] * n
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sequence), pa.array(offset)], [*batch.schema.names, "sequence_id", "offset"])
 
-    rows = ranked(pieces)
+    rows = ranked(others, histogram)
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", sequence_id long, offset long"
-    return rows.mapInArrow(run, schema).drop("rank")
+    return rows.mapInArrow(run, schema).drop("rank").unionByName(alone)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:

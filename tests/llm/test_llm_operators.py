@@ -170,14 +170,16 @@ def test_redaction(spark):
 # packing
 
 
-def test_packing(docs):
+def test_packing(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
 
     df, rows = docs
-    got = packing.pack_documents(df).toPandas()
+    odd = ["hello <|endoftext|> world", "<|ENDOFTEXT|>.", "a\x01b \x01", "x.,!y. z'''s. it's, we've... 3.5%, ½,", "ΑΣ. \x1c İ", "e\u0301, n\u0303."]
+    rows = rows + [(9500 + i, t, "en", "s", len(t)) for i, t in enumerate(odd)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = packing.pack_documents(df.withColumn("length", df.doc_id).withColumn("rank", df.doc_id)).toPandas()
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     want = []
     for r in rows:
         ids = [*tok.encode(r[1] or "", add_special_tokens=False).ids, 0]
@@ -190,24 +192,50 @@ def test_packing(docs):
     assert packing.pack_documents(df.limit(0)).count() == 0
 
 
-def test_packing_solver():
-    rng = np.random.default_rng(4)
-    lengths, demand = np.unique(rng.integers(1, 2049, 5000), return_counts=True)
-    plans = packing.solve(lengths, demand)
-    assert (sum(c * n for c, n in plans) == demand).all() and all((c * lengths).sum() <= 2048 for c, _ in plans)
-    best = packing.price(np.array([6.0, 5.0, 5.0]), np.array([6, 5, 5]), np.array([9, 1, 1]), 10)
-    assert best.tolist() == [0, 1, 1]
+def packed_right(lengths, demand, got):
+    held = np.zeros(len(lengths), np.int64)
+    for counts, times in got.plans:
+        assert times > 0 and sum(int(lengths[k]) * n for k, n in counts) <= packing.CAPACITY
+        for k, n in counts:
+            held[k] += n * times
+    return (held == demand).all()
 
 
-# language ID
+def lengths_of_documents(sf_dir):
+    import public_tokenizers
+
+    tokens = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    sizes = np.array([len(x) + 1 for x in tokens([r["text"] or "" for r in table(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")])])
+    return np.unique(sizes[sizes % packing.CAPACITY > 0] % packing.CAPACITY, return_counts=True)
+
+
+@pytest.mark.parametrize("times", [1, 100])
+def test_packing_comes_from_the_program(sf_dir, times):
+    lengths, demand = lengths_of_documents(sf_dir)
+    got = packing.solve(lengths, demand * times)
+    bound = -(-int((lengths * demand * times).sum()) // packing.CAPACITY)
+    assert packed_right(lengths, demand * times, got)
+    assert got.sequences <= bound * 1.0001 + 1 and got.by_program >= 0.98 * got.sequences
+
+
+def test_packing_solver():
+    rng = np.random.default_rng(4)
+    lengths, demand = np.unique(rng.integers(1, 2048, 5000), return_counts=True)
+    assert packed_right(lengths, demand, packing.solve(lengths, demand))
+    best = packing.knapsack(np.array([2.0, 5.0]), np.array([3, 5]), 11)
+    assert best.tolist() == [0, 0, 0, 2, 2, 5, 5, 5, 7, 7, 10, 10]
+    assert packing.solve(np.empty(0, np.int64), np.empty(0, np.int64)).sequences == 0
 
 
 @pytest.mark.parametrize("n", [100, 1000, 100_000])
 def test_packing_solver_without_full_sequences(n):
     lengths, demand = np.array([500, 520, 1000]), np.array([n, n, n])
-    plans = packing.solve(lengths, demand)
-    assert (sum(c * k for c, k in plans) == demand).all() and all((c * lengths).sum() <= 2048 for c, _ in plans)
-    assert n <= sum(k for _, k in plans) <= n * 1.002  # weights 1/4, 1/4, 1/2 fill no sequence beyond 1, so n is the least
+    got = packing.solve(lengths, demand)
+    assert packed_right(lengths, demand, got) and got.by_program >= 0.98 * n
+    assert n <= got.sequences <= n + 1  # weights 1/4, 1/4, 1/2 fill no sequence beyond 1, so n is the least
+
+
+# language ID
 
 
 def test_language_id(spark, sf_dir):
