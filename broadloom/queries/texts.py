@@ -90,12 +90,13 @@ def token_dispatch(spark, sf_dir):
     return tokens.select(*[c.alias(n) for n, c in T.dispatch(F.col("token")).items()]).groupBy("category", "item", "route").agg(F.count("*").alias("n"))
 
 
-_SECRET = "' Bearer abc.def-123 x ghp_' || repeat('a', 24) || ' AKIA' || repeat('B', 16)"
-
-
 def redact_secrets(spark, sf_dir):
-    """Events with values of secret shapes appended; assignments are covered by tests."""
-    text = F.concat(F.col("event_type"), F.lit(" Bearer abc.def-123 x ghp_" + "a" * 24 + " AKIA" + "B" * 16), F.lit(" "), F.col("event_id").cast("string"))
+    """Events with values of secret shapes: credentials, provider keys, and assignments in plain, quoted, JSON and escaped form."""
+    i = F.col("event_id").cast("string")
+    plain = F.concat(F.col("event_type"), F.lit(" Bearer abc.def-123 x ghp_" + "a" * 24 + " AKIA" + "B" * 16), F.lit(" "), i)
+    parts = ["my.api_key=k", "; X-Auth-Token: \"a b ", "\", --password p", " {\"secrets\": {\"a\": [1, \"}\"], \"b\": ", "}, \"n\": 1} {\\\"client_secret\\\": \\\"q ", "\\\"} end"]
+    assigned = F.concat(*[x for p in parts[:-1] for x in (F.lit(p), i)], F.lit(parts[-1]))
+    text = F.when(F.col("event_id") % 2 == 0, plain).otherwise(assigned)
     return table(spark, sf_dir, "events").select("event_id", T.redact(text).alias("redacted"))
 
 
@@ -137,7 +138,8 @@ SELECT api_class, method, CASE WHEN method = 'sendTextMessage' THEN 'sends_sms'
 SELECT category, item, CASE WHEN category IN ('RequestedPermissionList', 'UsedPermissionsList') THEN CASE WHEN starts_with(item, 'android.hardware.') OR starts_with(item, 'android.software.') THEN 'hardware' ELSE 'permission' END
  WHEN category = 'HardwareComponentsList' THEN 'hardware' WHEN category IN ('RestrictedApiList', 'SuspiciousApiList') THEN 'api' WHEN category = 'IntentFilterList' THEN 'intent'
  WHEN category IN ('ActivityList', 'ServiceList', 'BroadcastReceiverList') THEN 'component' WHEN category = 'URLDomainList' THEN 'url' ELSE 'unknown' END AS route, count(*) AS n FROM s GROUP BY 1, 2, 3""",
-    "redact_secrets": "SELECT event_id, event_type || ' Bearer <REDACTED> x <REDACTED_KEY> <REDACTED_KEY> ' || CAST(event_id AS VARCHAR) AS redacted FROM events",
+    "redact_secrets": """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type || ' Bearer <REDACTED> x <REDACTED_KEY> <REDACTED_KEY> ' || CAST(event_id AS VARCHAR)
+ ELSE 'my.api_key=<REDACTED>; X-Auth-Token: <REDACTED>, --password <REDACTED> {"secrets": <REDACTED>, "n": 1} {\\"client_secret\\": <REDACTED>} end' END AS redacted FROM events""",
     "redact_map_keys": "SELECT event_id, event_type AS kind, '<REDACTED>' AS api_key, '<REDACTED>' AS token FROM events",
     "keyword_search": "SELECT doc_id, source FROM documents WHERE contains(text, 'tion') OR contains(text, 'ung') OR contains(source, 'tion') OR contains(source, 'ung') ORDER BY doc_id DESC LIMIT 20",
 }

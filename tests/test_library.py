@@ -64,9 +64,16 @@ def test_redaction(spark):
         "Authorization: Bearer abc.def": "Authorization: <REDACTED> <REDACTED>",
         "sk-abcdefghijklmnop": "<REDACTED_KEY>",
         "nothing to see": "nothing to see",
+        '{"a": {"token": [1, {"b": "]"}], "c": 2}}': '{"a": {"token": <REDACTED>, "c": 2}}',
+        "secret=[1, {2": "secret=<REDACTED>",
+        "password='it\\'s' x": "password=<REDACTED> x",
+        "p" * 5000 + "token" + "q" * 5000 + "=abc&n=1": "p" * 5000 + "token" + "q" * 5000 + "=<REDACTED>&n=1",
+        'token="' + "a" * 20000: "token=<REDACTED>",
+        "tokens are good: yes": "tokens are good: yes",
+        '\\"my-secret\\": \\"a b\\", c': '\\"my-secret\\": <REDACTED>, c',
     }
     df = spark.createDataFrame(list(cases.items()), "t string, want string")
-    assert [(r.t, r.got) for r in df.select("t", T.redact(F.col("t")).alias("got"), "want").filter("got <> want").collect()] == []
+    assert [(r.t, r.got) for r in df.select("t", T.redact(F.col("t"), None).alias("got"), "want").filter("got <> want").collect()] == []
     assert col(spark.createDataFrame([("x" * 9000,)], "t string"), F.length(T.redact(F.col("t")))) == [6000]
 
 
