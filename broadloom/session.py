@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,16 @@ def session(name: str = "broadloom", **conf: str) -> SparkSession:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; a local one is set only where the setting is absent."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder under spark.checkpoint.dir.
+
+    Where that setting is absent a local folder is set, if driver and executors are one
+    process; on a cluster, whose machines do not share such a folder, that is an error.
+    """
+    context = spark.sparkContext
+    top = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not top:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
