@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from broadloom.session import scratch, table, write_read
 from broadloom.sources import copies, scans
-from broadloom.sources.views import SAMPLES_SQL, device_events, log_lines, samples
+from broadloom.sources.views import LOG_SQL, SAMPLES_SQL, device_events, log_lines, samples
 
 #: Rows of a table in scan order with their physical position, as the oracle sees them.
 _EV = "ev AS (SELECT *, row_number() OVER () - 1 AS row_number, 'events.parquet' AS source_file FROM events)"
@@ -18,7 +18,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_manifest(spark, sf_dir):
-    return scans.file_manifest(spark, sf_dir).select("file_name", "split_name", "bytes")
+    return scans.file_manifest(spark, sf_dir).select("file_name", "split_name", (F.col("bytes") > 0).alias("holds_bytes"))
 
 
 def ingest_provenance(spark, sf_dir):
@@ -64,7 +64,8 @@ def drop_loader_columns(spark, sf_dir):
 def log_scan(spark, sf_dir):
     path = scratch(spark)
     log_lines(table(spark, sf_dir, "events")).select("raw_line").write.text(path)
-    return scans.read_log(spark, path).groupBy("source_file").agg(F.count("*").alias("n_lines"), F.max("line_number").alias("last_line")).select("n_lines", "last_line")
+    lines = scans.read_log(spark, path)
+    return lines.agg(F.count("*").alias("n_lines"), F.countDistinct("source_file", "line_number").alias("n_places"), F.count_if(F.col("raw_line").startswith("unparsed")).alias("unparsed"), F.sum(F.length("raw_line")).alias("n_chars"))
 
 
 def predict_scan(spark, sf_dir):
@@ -91,8 +92,10 @@ def chunked_copy(spark, sf_dir):
 
 
 def copy_verify(spark, sf_dir):
+    """Reports of a whole copy and of one that lacks every eleventh order's lines."""
     source = table(spark, sf_dir, "lineitem")
-    return copies.copy_report(source, write_read(source), "lineitem")
+    short = copies.copy_report(source, write_read(source.filter(F.col("l_orderkey") % 11 != 0)), "lineitem_short")
+    return copies.copy_report(source, write_read(source), "lineitem").unionByName(short)
 
 
 _KEYS = ["l_orderkey", "l_linenumber"]
@@ -143,8 +146,18 @@ def recover_rows(spark, sf_dir):
 
 
 def keys_equal(spark, sf_dir):
+    """Keys of an incomplete copy with foreign and repeated rows against its source, counted by file, before and after recovery."""
     source, copy = _lines(spark, sf_dir)
-    return copy.unionByName(copies.missing_keys(copy, source).select(*copy.columns)).exceptAll(source.limit(0)).groupBy("source_file").agg(F.count("*").alias("n_rows"))
+    path, sound = scratch(spark), write_read(copy)
+    sound.write.parquet(path)
+    copies.recover(spark, write_read(source), path, "s", "s")
+    after = copies.keys_equal(spark.read.schema(source.schema).parquet(path), source)
+    extra = sound.filter(F.col("row_number") % 50 == 0)
+    broken = sound.unionByName(extra).unionByName(extra.withColumn("row_number", -F.col("row_number") - 1))
+    c, s = F.col("in_copy"), F.col("in_source")
+    return copies.key_differences(broken, source).groupBy("source_file").agg(
+        F.count_if(c == 0).alias("missing"), F.count_if(s == 0).alias("foreign"), F.count_if((s > 0) & (c > s)).alias("repeated"), F.lit(after).alias("equal_after_recovery")
+    )
 
 
 def _payloads(parts, rows=10_000):
@@ -194,7 +207,7 @@ SQL = {
     "replace_table": "SELECT * FROM nation",
     "grouped_replace_append": "SELECT * FROM orders",
     "chunked_copy": "SELECT * FROM part",
-    "copy_verify": "SELECT 'lineitem' AS table_name, count(*) AS source_rows, count(*) AS copied_rows, true AS verified FROM lineitem",
+    "copy_verify": "WITH n AS (SELECT count(*) AS a, count(*) FILTER (l_orderkey % 11 <> 0) AS b FROM lineitem) SELECT 'lineitem' AS table_name, a AS source_rows, a AS copied_rows, true AS verified FROM n UNION ALL SELECT 'lineitem_short', a, b, a = b FROM n",
     "key_inventory": "SELECT l_orderkey, l_linenumber, count(*) AS n, CASE WHEN l_orderkey IS NULL OR l_linenumber IS NULL THEN 'null' ELSE 'duplicate' END AS problem FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL",
     "foreign_keys": f"WITH {_LINES} SELECT source_file, -row_number - 1 AS row_number FROM src WHERE row_number % 50 = 0",
     "missing_keys": f"WITH {_LINES} SELECT source_file, row_number FROM src EXCEPT SELECT source_file, row_number FROM dst",
@@ -203,7 +216,11 @@ i AS (SELECT *, row_number - row_number() OVER (PARTITION BY source_file ORDER B
 SELECT source_file, min(row_number) AS first_row, max(row_number) AS last_row, count(*) AS n_rows FROM i GROUP BY source_file, island""",
     "key_range_filter": f"WITH {_LINES} SELECT source_file, row_number FROM src WHERE row_number % 11 = 0",
     "recover_rows": f"WITH {_LINES} SELECT source_file, row_number FROM src",
-    "keys_equal": f"WITH {_LINES} SELECT source_file, count(*) AS n_rows FROM src GROUP BY 1",
+    "keys_equal": f"""WITH {_LINES}, b AS (SELECT * FROM dst UNION ALL SELECT * FROM dst WHERE row_number % 50 = 0 UNION ALL SELECT -row_number - 1, source_file FROM dst WHERE row_number % 50 = 0),
+k AS (SELECT coalesce(s.source_file, c.source_file) AS source_file, coalesce(s.n, 0) AS s, coalesce(c.n, 0) AS c FROM (SELECT row_number, source_file, count(*) AS n FROM src GROUP BY 1, 2) s FULL JOIN (SELECT row_number, source_file, count(*) AS n FROM b GROUP BY 1, 2) c ON s.row_number = c.row_number AND s.source_file = c.source_file)
+SELECT source_file, count(*) FILTER (c = 0) AS missing, count(*) FILTER (s = 0) AS "foreign", count(*) FILTER (s > 0 AND c > s) AS repeated, true AS equal_after_recovery FROM k WHERE c <> s GROUP BY 1""",
+    "file_manifest": "SELECT name || '.parquet' AS file_name, CAST(NULL AS VARCHAR) AS split_name, true AS holds_bytes FROM (VALUES ('region'), ('nation'), ('customer'), ('supplier'), ('part'), ('orders'), ('lineitem'), ('events'), ('documents'), ('embeddings'), ('pages'), ('benchmark'), ('labels'), ('conversations')) AS t(name) WHERE EXISTS (SELECT 1 FROM orders)",
+    "log_scan": f"WITH {LOG_SQL} SELECT count(*) AS n_lines, count(*) AS n_places, count(*) FILTER (starts_with(raw_line, 'unparsed')) AS unparsed, CAST(sum(length(raw_line)) AS BIGINT) AS n_chars FROM lines",
     "load_log_table": "SELECT 'log' AS table_name, count(*) AS source_rows, count(*) AS copied_rows, true AS verified FROM events",
     "load_dictionary": "SELECT 'Part_' || CAST(p_partkey AS VARCHAR) AS token, 'feat_' || CAST(p_partkey AS VARCHAR) AS column_name, p_name AS description, 'parts' AS dataset, '1' AS version FROM part",
     "scored_output": "SELECT event_id, (CAST(round(value * 100) AS BIGINT) % 100) / 100.0::DOUBLE AS score FROM events",

@@ -31,6 +31,17 @@ def scratch(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it, whatever the case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from broadloom.session import write_read
+
 KEYS = ["source_file", "row_number"]
 
 
@@ -89,35 +91,50 @@ def in_ranges(df: DataFrame, ranges: DataFrame, width: int = 1024) -> DataFrame:
     return rows.join(pieces, hit, "left_semi").drop("_cell")
 
 
+def key_counts(copy: DataFrame, source: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """(keys, in_copy, in_source): how often each key stands in either table; one grouping of both, null equals null."""
+    tagged = lambda df, mine: df.select(*keys, F.lit(int(mine)).alias("c"), F.lit(int(not mine)).alias("s"))
+    return tagged(copy, True).unionByName(tagged(source, False)).groupBy(*keys).agg(F.sum("c").alias("in_copy"), F.sum("s").alias("in_source"))
+
+
+def key_differences(copy: DataFrame, source: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """The rows of ``key_counts`` that differ: foreign keys (in_source 0), missing ones (in_copy 0), unequal counts."""
+    return key_counts(copy, source, keys).filter("in_copy <> in_source")
+
+
 def keys_equal(a: DataFrame, b: DataFrame, keys: list[str] = KEYS) -> bool:
     """Whether both tables hold the same keys equally often."""
-    a, b = a.select(*keys), b.select(*keys)
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    return key_differences(a, b, keys).isEmpty()
 
 
 def recover(spark: SparkSession, source: DataFrame, path: str, fingerprint: str, expected: str, keys: list[str] = KEYS) -> dict[str, int]:
     """Appends to the copy at ``path`` the rows it lacks, and checks that the keys are equal after.
 
     Refuses another source than the expected one, null or repeated keys, and keys of
-    the copy that the source lacks. A second run appends nothing.
+    the copy that the source lacks; all that is read off one grouping of both tables'
+    keys, which is stored. A second run appends nothing.
     """
     if fingerprint != expected:
         raise ValueError("the source is not the expected snapshot")
     copy = spark.read.parquet(path)
-    for name, df in (("source", source), ("copy", copy)):
-        if not key_inventory(df, keys).isEmpty():
+    state = write_read(key_counts(copy, source, keys))
+    null = F.lit(False)
+    for k in keys:
+        null |= F.col(k).isNull()
+    found = state.agg(
+        F.count_if((null & (F.col("in_source") > 0)) | (F.col("in_source") > 1)).alias("source"), F.count_if((null & (F.col("in_copy") > 0)) | (F.col("in_copy") > 1)).alias("copy"),
+        F.count_if(F.col("in_source") == 0).alias("foreign"), F.count_if(F.col("in_copy") == 0).alias("missing"), F.coalesce(F.sum("in_copy"), F.lit(0)).alias("before"),
+    ).first()
+    for name in ("source", "copy"):
+        if found[name]:
             raise ValueError(f"null or repeated keys in the {name}")
-    if not foreign_keys(copy, source, keys).isEmpty():
+    if found["foreign"]:
         raise ValueError("the copy holds keys that the source lacks")
-    before = copy.count()
-    rows = source.join(missing_keys(copy, source, keys), keys, "left_semi")
-    n = rows.count()
-    if n:
-        rows.select(*copy.columns).write.mode("append").parquet(path)
-    after = spark.read.schema(copy.schema).parquet(path)
-    if after.count() != before + n or not keys_equal(after, source, keys):
-        raise ValueError("the copy does not equal the source after recovery")
-    return {"before": before, "appended": n, "after": before + n}
+    if found["missing"]:
+        source.join(state.filter("in_copy = 0").select(*keys), keys, "left_semi").select(*copy.columns).write.mode("append").parquet(path)
+        if not keys_equal(spark.read.schema(copy.schema).parquet(path), source, keys):
+            raise ValueError("the copy does not equal the source after recovery")
+    return {"before": found["before"], "appended": found["missing"], "after": found["before"] + found["missing"]}
 
 
 def load_dictionary(spark: SparkSession, mapping_csv: str, payload_json: str, stamp: dict[str, str]) -> dict[str, DataFrame]:
