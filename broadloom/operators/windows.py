@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from broadloom.session import free_names
+
 #: What each closed side adds to the lower and upper bound, in microseconds.
 CLOSED = {"left": (0, -1), "right": (1, 0), "both": (0, 0), "neither": (1, -1)}
 
@@ -21,20 +23,28 @@ def trailing_sum(df: DataFrame, key: str, ts: str, value: str, width_us: int, cl
     return df.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
 
 
-def trailing_sum_split(df: DataFrame, key: str, ts: str, value: str, width_us: int, closed: str = "left", name: str = "total", cell_us: int | None = None) -> DataFrame:
-    """``trailing_sum`` for hot keys: a key's time line is cut into cells, each with the last ``width`` of the one before.
+def trailing_sums_split(df: DataFrame, key: str, ts: str, value: str, width_us: int, closed: dict[str, str], cell_us: int | None = None) -> DataFrame:
+    """Adds a trailing sum for each ``name: closed side``, all from one split of the time line for hot keys.
 
+    A key's time line is cut into cells, each with the last ``width`` of the one before.
     Rows are copied to the next cell at most once, so a key that holds much of the
-    table is summed by as many tasks as it has cells.
+    table is summed by as many tasks as it has cells. The table is read and shuffled once.
     """
     cell_us = max(cell_us or 4 * width_us, width_us + 2)
-    at = micros(F.col(ts))
-    cell = F.floor(at / cell_us)
-    own = df.withColumn("_at", at).withColumn("_cell", cell).withColumn("_own", F.lit(True))
-    lent = own.filter(F.col("_at") >= (F.col("_cell") + 1) * cell_us - width_us - 1).withColumn("_cell", F.col("_cell") + 1).withColumn("_own", F.lit(False))
-    low, high = CLOSED[closed]
-    w = Window.partitionBy(key, "_cell").orderBy("_at").rangeBetween(-width_us + low, high)
-    return own.unionByName(lent).withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0))).filter("_own").drop("_at", "_cell", "_own")
+    at, cell, own = free_names(df, "at", "cell", "own")
+    t = micros(F.col(ts))
+    here = F.floor(t / cell_us)
+    lent = F.when(t >= (here + 1) * cell_us - width_us - 1, F.struct((here + 1).alias("cell"), F.lit(False).alias("own")))
+    places = F.array_compact(F.array(F.struct(here.alias("cell"), F.lit(True).alias("own")), lent))
+    rows = df.withColumn(at, t).withColumn(cell, F.explode(places)).withColumn(own, F.col(f"{cell}.own")).withColumn(cell, F.col(f"{cell}.cell"))
+    by = Window.partitionBy(key, cell).orderBy(at)
+    sums = {name: F.coalesce(F.sum(value).over(by.rangeBetween(-width_us + CLOSED[side][0], CLOSED[side][1])), F.lit(0)) for name, side in closed.items()}
+    return rows.withColumns(sums).filter(own).drop(at, cell, own)
+
+
+def trailing_sum_split(df: DataFrame, key: str, ts: str, value: str, width_us: int, closed: str = "left", name: str = "total", cell_us: int | None = None) -> DataFrame:
+    """``trailing_sum`` for hot keys; see ``trailing_sums_split``."""
+    return trailing_sums_split(df, key, ts, value, width_us, {name: closed}, cell_us)
 
 
 def tumbling(df: DataFrame, key: str, ts: str, value: str, width: str, closed: str = "left") -> DataFrame:
@@ -48,17 +58,32 @@ def sliding(df: DataFrame, key: str, ts: str, value: str, width: str, slide: str
     return df.groupBy(key, F.window(ts, width, slide).alias("w")).agg(F.sum(value).alias("total"), F.count(F.lit(1)).alias("n")).select(key, F.col("w.start").alias("window_start"), "total", "n")
 
 
-def asof_join(points: DataFrame, features: DataFrame, key: str, at: str, available: str, values: list[str]) -> DataFrame:
+def asof_join(points: DataFrame, features: DataFrame, key: str, at: str, available: str, values: list[str], cell_us: int = 24 * 3600 * 1_000_000) -> DataFrame:
     """Adds to each point the values of the newest feature row of its key that was available at that time.
 
-    Both sides go through one shuffle by key as a union; the newest row is carried
-    forward in time order. At equal times features come before points.
+    Both sides go through one shuffle as a union, cut into cells of time, so a hot key
+    is many groups. Inside a cell the newest row is carried forward in time order; what
+    a cell ends with is one row, carried to the cells after it. At equal times features
+    come before points; a null time or key finds nothing.
     """
-    left = points.withColumn("_t", F.col(at)).withColumn("_side", F.lit(1)).withColumn("_f", F.lit(None).cast(features.select(F.struct(*values)).schema[0].dataType))
-    names = points.columns
-    right = features.select(*[F.col(c) if c == key else F.lit(None).cast(points.schema[c].dataType).alias(c) for c in names], F.col(available).alias("_t"), F.lit(0).alias("_side"), F.struct(*values).alias("_f"))
-    w = Window.partitionBy(key).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    return left.unionByName(right).withColumn("_f", F.last("_f", ignorenulls=True).over(w)).filter("_side = 1").select(*names, *[F.col(f"_f.{v}").alias(v) for v in values])
+    time, side, found, cell = free_names(points, "time", "side", "found", "cell")
+    names, kind = points.columns, features.select(F.struct(*values)).schema[0].dataType
+    cut = F.floor(micros(F.col(time)) / cell_us)
+    left = points.withColumn(time, F.col(at)).withColumn(side, F.lit(1)).withColumn(found, F.lit(None).cast(kind))
+    right = features.filter(F.col(available).isNotNull()).select(
+        *[F.col(c) if c == key else F.lit(None).cast(points.schema[c].dataType).alias(c) for c in names], F.col(available).alias(time), F.lit(0).alias(side), F.struct(*values).alias(found)
+    )
+    rows = left.unionByName(right).withColumn(cell, cut)
+    inside = Window.partitionBy(key, cell).orderBy(time, side).rowsBetween(Window.unboundedPreceding, 0)
+    points_in = rows.withColumn(found, F.last(found, ignorenulls=True).over(inside)).filter(F.col(side) == 1)
+    # the last feature row of each cell, then the newest one of the cells before it
+    last = right.withColumn(cell, cut).groupBy(key, cell).agg(F.max_by(found, time).alias("last"))
+    wanted = points.filter(F.col(at).isNotNull() & F.col(key).isNotNull()).select(F.col(key), F.floor(micros(F.col(at)) / cell_us).alias(cell)).distinct()
+    before = Window.partitionBy(key).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    carried = wanted.join(last, [key, cell], "full").withColumn("carried", F.last("last", ignorenulls=True).over(before)).filter("carried IS NOT NULL").select(key, cell, "carried")
+    out = points_in.join(carried, [key, cell], "left")
+    (value,) = free_names(out, "value")
+    return out.withColumn(value, F.coalesce(F.col(found), F.col("carried"))).select(*names, *[F.col(f"{value}.{v}").alias(v) for v in values])
 
 
 def fit_scaler(df: DataFrame, columns: list[str]) -> DataFrame:

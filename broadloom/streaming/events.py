@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,30 +65,33 @@ def dedup_stream(events: DataFrame, keys: list[str], ts: str, delay: str) -> Dat
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def _sums(at: np.ndarray, value: np.ndarray, width_us: int) -> np.ndarray:
+    """Per place of rising times the sum of values over [t - width, t)."""
+    running = np.append(0, np.cumsum(value))
+    return running[np.searchsorted(at, at, side="left")] - running[np.searchsorted(at, at - width_us, side="left")]
+
+
 def _trailing(width_us: int, keep_us: int) -> Callable:
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = list(zip(*state.get, strict=True)) if state.exists else []
-        seen = {i for _, i, _ in held}
-        new = [(int(t), int(i), int(v)) for b in batches for t, i, v in zip(b["at"], b["event_id"], b["value"], strict=True) if int(i) not in seen]
-        rows = sorted(held + new)
-        if not rows:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = [np.array(x, np.int64) for x in state.get] if state.exists else [np.empty(0, np.int64)] * 3
+        new = [b[["at", "event_id", "value"]].to_numpy(np.int64) for b in batches]
+        fresh = np.concatenate(new) if new else np.empty((0, 3), np.int64)
+        fresh = fresh[~np.isin(fresh[:, 1], held[1])]
+        fresh = fresh[np.unique(fresh[:, 1], return_index=True)[1]]  # a repeated event counts once
+        if not len(fresh):
             return
-        first = min(t for t, _, _ in new) if new else rows[-1][0]
-        out, lo, total = [], 0, 0
-        k = 0
-        for t, i, _ in rows:
-            while k < len(rows) and rows[k][0] < t:
-                total += rows[k][2]
-                k += 1
-            while rows[lo][0] < t - width_us and lo < k:
-                total -= rows[lo][2]
-                lo += 1
-            if t >= first:
-                out.append((key[0], i, total))
-        newest = rows[-1][0]
-        rest = [r for r in rows if r[0] >= newest - keep_us]
-        state.update(tuple(list(c) for c in zip(*rest, strict=True)))
-        yield pd.DataFrame(out, columns=["device_id", "event_id", "total"])
+        at, ids, value = (np.concatenate([h, fresh[:, i]]) for i, h in enumerate(held))
+        order = np.lexsort((ids, at))
+        at, ids, value = at[order], ids[order], value[order]
+        total = _sums(at, value, width_us)
+        out, rest = at >= fresh[:, 0].min(), at >= at[-1] - keep_us
+        state.update((at[rest].tolist(), ids[rest].tolist(), value[rest].tolist()))
+        # an idle device is dropped when no event that is not late can meet what is held
+        state.setTimeoutTimestamp(max(int(at[-1] + keep_us) // 1000, state.getCurrentWatermarkMs()) + 1)
+        yield pd.DataFrame({"device_id": key[0], "event_id": ids[out], "total": total[out]})
 
     return step
 
@@ -95,12 +99,15 @@ def _trailing(width_us: int, keep_us: int) -> Callable:
 def trailing_stream(events: DataFrame, width_us: int, delay_us: int) -> DataFrame:
     """(device_id, event_id, total): sums over [t - width, t) per device, in update mode.
 
-    ``events`` has device_id, event_id, at (microseconds) and value (whole numbers). A
-    device's state is its events of the last width + delay; an event that arrives out
-    of order inside that time corrects the sums after it, which are sent again.
+    ``events`` has device_id, event_id, event_time (timestamp) and value (whole numbers).
+    A device's state is its events of the last width + delay; an event that arrives out
+    of order inside that time corrects the sums after it, which are sent again. The
+    watermark lags by ``delay``: later events are left out, and the state of a device
+    is dropped once the watermark has passed all that it holds.
     """
     step = _trailing(width_us, width_us + delay_us)
-    return events.groupBy("device_id").applyInPandasWithState(step, "device_id long, event_id long, total long", "at array<long>, id array<long>, value array<long>", "update", GroupStateTimeout.NoTimeout)
+    rows = events.withWatermark("event_time", f"{delay_us // 1000} milliseconds").select("device_id", "event_id", "event_time", F.unix_micros("event_time").alias("at"), "value")
+    return rows.groupBy("device_id").applyInPandasWithState(step, "device_id long, event_id long, total long", "at array<long>, id array<long>, value array<long>", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def late_rows(events: DataFrame, ts: str, arrival: str, delay_s: int) -> DataFrame:
