@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from broadloom.session import write_read
+
 
 def score_curve(df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None, parts: int = 64) -> DataFrame:
     """Distinct scores, descending, with cumulative tp and fp per group of ``by``.
 
-    Rows are first reduced to distinct scores. The running sum has two levels: scores
-    are dealt to ``parts`` ranges of equal width, summed inside a range in order, and
-    shifted by the totals of the ranges above, so no task holds a whole curve.
+    Rows are first reduced to distinct scores, which are stored. The running sum has two
+    levels: scores are dealt to ``parts`` ranges that hold about as many distinct scores
+    each, summed inside a range in order, and shifted by the totals of the ranges above,
+    so no task holds a whole curve, however scores crowd.
     """
     by = by or []
-    grouped = df.groupBy(*by, F.col(score).alias("score")).agg(F.sum(label).alias("pos"), (F.count(F.lit(1)) - F.sum(label)).alias("neg"))
-    bounds = df.groupBy(*by).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"))
-    cut = F.least(F.floor((F.col("_hi") - F.col("score")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * parts), F.lit(parts - 1))
-    joined = grouped.join(F.broadcast(bounds), by) if by else grouped.crossJoin(F.broadcast(bounds))  # one row for each group of by
-    dealt = joined.withColumn("_part", F.coalesce(cut, F.lit(0))).drop("_lo", "_hi")
+    grouped = write_read(df.groupBy(*by, F.col(score).alias("score")).agg(F.sum(label).alias("pos"), (F.count(F.lit(1)) - F.sum(label)).alias("neg")))
+    cuts = grouped.groupBy(*by).agg(F.percentile_approx("score", [k / parts for k in range(1, parts)]).alias("_cuts"))
+    joined = grouped.join(F.broadcast(cuts), by) if by else grouped.crossJoin(F.broadcast(cuts))  # one row for each group of by
+    above_it = F.filter(F.array_distinct("_cuts"), lambda q: q > F.col("score"))
+    dealt = joined.withColumn("_part", F.coalesce(F.size(above_it), F.lit(0))).drop("_cuts")
     totals = dealt.groupBy(*by, "_part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     above = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = totals.select(*by, "_part", F.coalesce(F.sum("p").over(above), F.lit(0)).alias("_p"), F.coalesce(F.sum("n").over(above), F.lit(0)).alias("_n"))

@@ -8,6 +8,7 @@ from broadloom.operators import evaluation as E
 from broadloom.operators import models as M
 from broadloom.operators.splits import split_hash, vector
 from broadloom.queries.features import _SPLIT, SEED
+from broadloom.session import write_read
 from broadloom.sources.views import FEATURES, SAMPLES_SQL, SCORES_SQL, samples, scores
 
 _CURVE = SCORES_SQL + """, g AS (SELECT score, sum(label) AS pos, count(*) - sum(label) AS neg FROM scores GROUP BY 1),
@@ -67,12 +68,15 @@ def _model_rows(spark, sf_dir):
     part = [F.least(F.col(c) / 7.0, F.lit(1.0)).alias(c) for c in FEATURES]
     hint = F.when(F.col("row_number") % 4 == 0, 0.5).otherwise(F.col("label").cast("double")).alias("hint")
     df = rows.select("hash", "dataset_id", "config_name", "split", "label", hint, *part)
-    return df.withColumn("features", vector([*FEATURES, "hint"])).select("hash", "dataset_id", "config_name", "split", "label", "features")
+    return write_read(df.withColumn("features", vector([*FEATURES, "hint"])).select("hash", "dataset_id", "config_name", "split", "label", "features"))
 
 
 def _quality(scored):
+    """Rows and positives scored, scores out of range, and whether average precision and AUC beat chance; one curve gives both."""
     curve = E.score_curve(scored.select("score", "label"))
-    return E.average_precision(curve).join(E.roc_auc(curve))
+    n = curve.agg((F.sum("pos") + F.sum("neg")).alias("n_rows"), F.sum("pos").alias("positives"), F.count_if(F.isnan("score") | (F.col("score") < 0)).alias("out_of_range"))
+    both = n.join(E.average_precision(curve)).join(E.roc_auc(curve))  # one row each
+    return both.select("n_rows", "positives", "out_of_range", (F.col("average_precision") > 1.2 * F.col("positives") / F.col("n_rows")).alias("ranks"), (F.col("roc_auc") > 0.6).alias("separates"))
 
 
 def _fit(name, **kwargs):
@@ -90,16 +94,21 @@ def score_rows(spark, sf_dir):
 
 
 def select_candidate(spark, sf_dir):
+    """Two fitted candidates and one that scores everything alike, which must not win."""
     rows = _model_rows(spark, sf_dir)
     train = rows.filter("split = 'train'")
-    name, scorer, _ = M.select_candidate([(f"alpha={a}", M.fit_logistic(train, a)) for a in (1e-4, 1e-3)], rows.filter("split = 'validation'"))
-    return _quality(scorer(rows.filter("split = 'test'"))).withColumn("candidate", F.lit(name))
+    flat = lambda df: df.withColumn("score", F.lit(0.5))
+    fitted = [(f"alpha={a}", M.fit_logistic(train, a)) for a in (1e-4, 1e-3)]
+    name, scorer, _ = M.select_candidate([("flat", flat), *fitted], rows.filter("split = 'validation'"))
+    return _quality(scorer(rows.filter("split = 'test'"))).withColumn("fitted_won", F.lit(name.startswith("alpha=")))
 
 
 def predict(spark, sf_dir):
     rows = _model_rows(spark, sf_dir).filter("config_name = 'wide'")
     scorer = M.fit_logistic(rows.filter("split = 'train'"), 1e-3)
-    return M.predict(rows.filter("split = 'test'"), scorer, 0.5, {"dataset_id": "orders", "config_name": "wide"}).select("hash", "score", "prediction")
+    return M.predict(rows.filter("split = 'test'"), scorer, 0.5, {"dataset_id": "orders", "config_name": "wide"}).select(
+        "hash", F.col("score").between(0, 1).alias("probability"), (F.col("prediction") == (F.col("score") >= 0.5).cast("int")).alias("thresholded")
+    )
 
 
 QUERIES = {f.__name__: f for f in [score_curve, avg_precision, roc_auc, f1_threshold, confusion_metrics, metrics_by_year, test_at_half, log_loss, prior_baseline, score_rows, select_candidate, predict]} | {
@@ -114,6 +123,7 @@ m AS (SELECT {g}n_rows, tn, fp, fn, tp, round(prevalence, 9) AS prevalence, roun
 
 
 _LL = "round(-avg(CASE WHEN label = 1 THEN ln(greatest(least(score, 1 - 1e-15), 1e-15)) ELSE ln(1 - greatest(least(score, 1 - 1e-15), 1e-15)) END), 9)"
+_FIT = f"WITH {SAMPLES_SQL}, t AS (SELECT *, {_SPLIT} AS split FROM samples) SELECT count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS positives, CAST(0 AS BIGINT) AS out_of_range, true AS ranks, true AS separates FROM t WHERE split = 'test'"
 _YEAR = f"{SAMPLES_SQL}, y AS (SELECT feat_0 / (vt_count + 1) AS score, label, substr(year_month, 1, 4) AS year FROM samples)"
 
 SQL = {
@@ -126,5 +136,8 @@ SQL = {
     "log_loss": f"WITH {SCORES_SQL} SELECT {_LL} AS log_loss FROM scores",
     "metrics_by_year": f"WITH {_YEAR}, {_confusion('y', 0.3, 'year')}, g AS (SELECT year, score, sum(label) AS pos, count(*) - sum(label) AS neg FROM y GROUP BY 1, 2), c AS (SELECT *, sum(pos) OVER (PARTITION BY year ORDER BY score DESC) AS tp FROM g), a AS (SELECT year, round(sum(neg * (tp - pos * 0.5)) / nullif(sum(pos) * sum(neg), 0), 9) AS roc_auc FROM c GROUP BY 1) SELECT * FROM m JOIN a USING (year)",
     "prior_baseline": f"WITH {SAMPLES_SQL}, t AS (SELECT label, (SELECT avg(label) FROM samples WHERE split_name = 'train') AS score FROM samples WHERE split_name = 'test'), {_confusion('t', 0.5)} SELECT *, (SELECT {_LL} FROM t) AS log_loss FROM m",
+    "fit_logistic": _FIT, "fit_mlp": _FIT, "fit_autoencoder": _FIT,
+    "select_candidate": _FIT.replace(" FROM t", ", true AS fitted_won FROM t"),
+    "predict": f"WITH {SAMPLES_SQL}, t AS (SELECT *, {_SPLIT} AS split FROM samples) SELECT hash, true AS probability, true AS thresholded FROM t WHERE split = 'test' AND config_name = 'wide'",
     "score_rows": f"WITH {SAMPLES_SQL} SELECT {_SPLIT} AS split, count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_range FROM samples GROUP BY 1",
 }

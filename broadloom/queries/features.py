@@ -97,7 +97,8 @@ def feature_lineage(spark, sf_dir):
 
 
 def assemble_vector(spark, sf_dir):
-    return samples(spark, sf_dir).select("hash", P.vector(FEATURES).alias("features"))
+    rows = samples(spark, sf_dir).select("hash", P.vector(FEATURES).alias("features"))
+    return rows.select("hash", F.size("features").alias("width"), *[F.element_at("features", i + 1).cast("double").alias(f"x{i}") for i in range(len(FEATURES))])
 
 
 def feature_set_layout(spark, sf_dir):
@@ -143,6 +144,19 @@ _BUCKET = f"CAST(CAST('0x' || substr(sha256('{SEED}:' || hash), 1, 16) AS UBIGIN
 _SPLIT = f"CASE WHEN split_name = 'test' THEN 'test' WHEN {_BUCKET} < 2000 THEN 'validation' ELSE 'train' END"
 _state = lambda c: f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END AS s_{c}"
 
+_low = "4294967295"
+_rotl = lambda x, r: f"((({x} << {r}) | ({x} >> {32 - r})) & {_low})"
+_mixed = lambda k: f"(({_rotl(f'(({k} * 3432918353) & {_low})', 15)} * 461845907) & {_low})"
+_step = lambda x, shift, by: f"((xor({x}, {x} >> {shift}) * {by}) & {_low})"
+#: MurmurHash3 (x86, 32 bits, seed 1847) of ASCII names: whole words by a fold, the tail, the final mix.
+_MURMUR = f"""WITH n AS (SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN c_name END AS s FROM customer),
+b AS (SELECT c_custkey, length(s) AS n, list_transform(range(0, length(s)), lambda i: CAST(ord(substr(s, CAST(i AS INTEGER) + 1, 1)) AS UBIGINT)) AS b FROM n),
+w AS (SELECT c_custkey, n, list_transform(range(0, n // 4), lambda i: b[4 * i + 1] | (b[4 * i + 2] << 8) | (b[4 * i + 3] << 16) | (b[4 * i + 4] << 24)) AS words,
+ CAST(coalesce(list_sum(list_transform(range(0, n % 4), lambda i: b[4 * (n // 4) + i + 1] << CAST(8 * i AS UBIGINT))), 0) AS UBIGINT) AS tail FROM b),
+h AS (SELECT c_custkey, n, tail, list_reduce(list_concat([CAST(1847 AS UBIGINT)], words), lambda a, k: ({_rotl(f'xor(a, {_mixed("k")})', 13)} * 5 + 3864292196) & {_low}) AS h FROM w),
+t AS (SELECT c_custkey, xor(xor(h, {_mixed("tail")}), CAST(n AS UBIGINT)) AS h FROM h), u AS (SELECT c_custkey, {_step("h", 16, 2246822507)} AS h FROM t), v AS (SELECT c_custkey, {_step("h", 13, 3266489909)} AS h FROM u)
+SELECT c_custkey, coalesce(CAST(xor(h, h >> 16) % 65536 AS INTEGER), 0) AS bucket FROM v"""
+
 SQL = {
     "op_identity": f"WITH {_X} SELECT c_custkey, x AS y FROM v",
     "op_cast": f"WITH {_X} SELECT c_custkey, CAST(TRY_CAST(floor(x) AS SMALLINT) AS INTEGER) AS y, coalesce(x IS NOT NULL AND x <> floor(x), false) AS failed FROM v",
@@ -151,6 +165,8 @@ SQL = {
     "op_clip": f"WITH {_X} SELECT c_custkey, CASE WHEN x < 0 THEN 0 WHEN x > 5000 THEN 5000 ELSE x END AS y FROM v",
     "op_log1p_nonnegative": f"WITH {_X} SELECT c_custkey, CASE WHEN x >= 0 THEN round(ln(1 + x), 6) END AS y, coalesce(x < 0, false) AS failed FROM v",
     "missing_policy": f"WITH {_X} SELECT c_custkey, coalesce(x, -1) AS y, x IS NULL AS violation FROM v",
+    "stable_hash_bucket": _MURMUR,
+    "assemble_vector": f"WITH {SAMPLES_SQL} SELECT hash, 3 AS width, " + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(FEATURES)) + " FROM samples",
     "binary_projection": f"WITH {SAMPLES_SQL} " + " UNION ALL ".join(f"SELECT '{c}' AS feature, count(*) FILTER ({c} NOT IN (0, 1)) AS violations FROM samples" for c in FEATURES),
     "hash_bucket": f"WITH {SAMPLES_SQL} SELECT hash, {_BUCKET} AS bucket FROM samples",
     "dataset_filter": f"WITH {SAMPLES_SQL} SELECT hash FROM samples WHERE config_name = 'narrow'",

@@ -38,7 +38,7 @@ def table_stats(spark, sf_dir):
         rows = one if rows is None else rows.unionByName(one)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(sf_dir)
     size = files.groupBy(F.regexp_extract("path", r"([^/.]+)\.parquet", 1).alias("table_name")).agg(F.sum("length").alias("bytes"))
-    return rows.join(size, "table_name", "left")
+    return rows.join(size, "table_name", "left").withColumn("holds_bytes", F.col("bytes") > 0).drop("bytes")
 
 
 _PROFILED = {"customer": ["c_acctbal", "c_nationkey", "c_mktsegment"], "lineitem": ["l_quantity", "l_tax", "l_linenumber", "l_returnflag"]}
@@ -194,7 +194,11 @@ _ISS = SAMPLES_SQL + ", iss AS (" + " UNION ALL ".join(f"SELECT source_file, row
 _top = lambda c: f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c}"
 _half = lambda k, name: " UNION ALL ".join(f"SELECT '{c}' AS column_name, unnest(['row_count', 'null_count', 'distinct_count']) AS field, unnest([CAST(count(*) AS VARCHAR), CAST(count(*) - count({c}) AS VARCHAR), CAST(count(DISTINCT {c}) AS VARCHAR)]) AS {name} FROM lineitem WHERE l_orderkey % 2 = {k}" for c in ("l_quantity", "l_linenumber", "l_returnflag"))
 
+_SORTED = ("config_name", "dataset_id", "family", "feat_0", "feat_1", "feat_2", "hash", "label", "row_number", "source_file", "split_name", "vt_count", "year_month")
+
 SQL = {
+    "table_stats": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows, true AS holds_bytes FROM {t}" for t in ("orders", "lineitem", "events")),
+    "row_fingerprint": f"WITH {SAMPLES_SQL}, j AS (SELECT sha256(CAST(json_object({', '.join(f"'{c}', {c}" for c in _SORTED)}) AS VARCHAR)) AS h FROM samples) SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(h, 1, 15) AS UBIGINT)) AS VARCHAR) AS digest FROM j",
     "stg_samples": f"WITH {SAMPLES_SQL} SELECT * FROM samples",
     "label_summary": f"WITH {SAMPLES_SQL} SELECT config_name, split_name, label, family, count(*) AS sample_count, round(avg(vt_count), {_R}) AS average_vt_count FROM samples GROUP BY ALL",
     "not_null_tests": f"WITH {SAMPLES_SQL} " + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls FROM samples" for c in ["dataset_id", "config_name", "split_name", "hash", "label", "year_month"]),
