@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from broadloom.functions import scalars as S
-from broadloom.operators.profile import identity_issues
+from broadloom.operators.profile import class_counts, identity_issues, outliers, profile, value_counts
 from broadloom.operators.splits import MONTH
 from broadloom.plans.feature_plan import FeaturePlan, Node
+from broadloom.session import write_read
 
 ISSUES = "severity string, code string, stage string, feature string, count long"
-#: Checks that one aggregation holds.
-CHUNK = 100
+#: Splits that must hold both classes.
+SPLITS = ("train", "test")
 
 
 def _rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -28,23 +31,40 @@ def schema_issues(df: DataFrame, required: list[str], metadata: dict[str, str])
     return _rows(spark, rows)
 
 
-def count_checks(df: DataFrame, checks: list[tuple[str, str, str, str, Column]]) -> DataFrame:
+def violations(df: DataFrame, checks: list[tuple[str, str, str, str, Column]], value: bool = False) -> DataFrame:
+    """(check, source_file, row_number, value): a row for each condition that a row of ``df`` meets, by number of the check.
+
+    All conditions are read off one scan; null conditions are false. ``value`` is the
+    text of the feature's column, if asked for and there is one; places are null
+    where the table has none.
+    """
+    names = {c.lower() for c in df.columns}
+    shown = lambda f: F.col(f).cast("string") if value and f is not None and f.lower() in names else F.lit(None).cast("string")
+    met = [F.when(c[4], F.struct(F.lit(k).alias("check"), shown(c[3].replace("@", "_v").replace(".", "_") if c[3] else None).alias("value"))) for k, c in enumerate(checks)]
+    place = [F.col(c) if c in names else F.lit(None).alias(c) for c in ("source_file", "row_number")]
+    return df.select(*place, F.explode(F.array_compact(F.array(*met))).alias("x")).select("x.check", "source_file", "row_number", "x.value")
+
+
+def count_checks(df: DataFrame, checks: list[tuple[str, str, str, str, Column]], examples: int = 0) -> DataFrame:
     """Counts rows for each (severity, code, stage, feature, condition); keeps those that occur.
 
-    Up to CHUNK conditions share one scan and one reduction; null conditions are false.
+    One scan whatever the number of conditions: a row sends on the numbers of those it
+    meets, which are counted in each task before the shuffle. With ``examples`` a second
+    scan adds the first so many places of each, as ``file:row:value``; ranks are cut in
+    each task too.
     """
-    parts = []
-    for i in range(0, len(checks), CHUNK):
-        some = checks[i : i + CHUNK]
-        one = df.agg(*[F.count_if(F.coalesce(c[4], F.lit(False))).alias(f"c{k}") for k, c in enumerate(some)])
-        cells = [F.struct(F.lit(a).alias("severity"), F.lit(b).alias("code"), F.lit(s).alias("stage"), F.lit(f).alias("feature"), F.col(f"c{k}").alias("count")) for k, (a, b, s, f, _) in enumerate(some)]
-        parts.append(one.select(F.explode(F.array(*cells)).alias("x")).select("x.*"))
-    if not parts:
+    if not checks:
         return _rows(df.sparkSession, [])
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.filter("count > 0")
+    listed = df.sparkSession.createDataFrame([(k, *c[:4]) for k, c in enumerate(checks)], "check int, severity string, code string, stage string, feature string")
+    counts = violations(df, checks).groupBy("check").agg(F.count(F.lit(1)).alias("count"))
+    out = counts.join(F.broadcast(listed), "check")  # a row for each check
+    if not examples:
+        return out.select("severity", "code", "stage", "feature", "count")
+    first = Window.partitionBy("check").orderBy("source_file", "row_number")
+    some = violations(df, checks, True).withColumn("r", F.row_number().over(first)).filter(F.col("r") <= examples)
+    text = F.concat_ws(":", "source_file", "row_number", F.coalesce("value", F.lit("null")))
+    some = some.groupBy("check").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", text.alias("t")))), lambda x: x["t"]).alias("examples"))
+    return out.join(some, "check", "left").select("severity", "code", "stage", "feature", "count", "examples")
 
 
 def row_checks(dataset_id: str, config_name: str, required_columns: list[str]) -> list[tuple]:
@@ -107,25 +127,62 @@ def model_checks(plan: FeaturePlan, unit_interval: bool = False) -> list[tuple]:
     return out
 
 
-def contract_audit(df: DataFrame, plan: FeaturePlan, dataset_id: str, config_name: str, metadata: dict[str, str], complete: bool = True, unit_interval: bool = False) -> DataFrame:
+def _issues(df: DataFrame, severity: str, code: str | Column, stage: str, feature: str | Column, count: Column) -> DataFrame:
+    lit = lambda x: F.lit(x) if isinstance(x, str) else x
+    return df.select(F.lit(severity).alias("severity"), lit(code).alias("code"), F.lit(stage).alias("stage"), lit(feature).alias("feature"), count.cast("long").alias("count"))
+
+
+def split_classes(df: DataFrame, splits: tuple[str, ...] = SPLITS, split: str = "split_name", label: str = "label") -> DataFrame:
+    """SPLIT_CLASSES for each of ``splits`` that lacks rows of a class (an absent split lacks both), and EMPTY_DATASET for no rows."""
+    n = class_counts(df, split, label)
+    wanted = df.sparkSession.createDataFrame([(s,) for s in splits], f"`{split}` string")
+    short = wanted.join(n, split, "left").filter(~F.coalesce("both_classes", F.lit(False)))
+    empty = df.agg(F.count(F.lit(1)).alias("n")).filter("n = 0")
+    none = _issues(empty, "error", "EMPTY_DATASET", "source", F.lit(None).cast("string"), F.lit(1))
+    return none.unionByName(_issues(short, "error", "SPLIT_CLASSES", "split", F.col(split), F.lit(1)))
+
+
+def outlier_issues(df: DataFrame, columns: list[str]) -> DataFrame:
+    """STATISTICAL_OUTLIER warnings of the columns whose maximum lies far beyond the mean; no rule is inferred from them."""
+    return _issues(outliers(profile(value_counts(df, columns))), "warning", "STATISTICAL_OUTLIER", "profile", F.col("column_name"), F.lit(1))
+
+
+def contract_audit(
+    df: DataFrame, plan: FeaturePlan, dataset_id: str, config_name: str, metadata: dict[str, str], complete: bool = True, unit_interval: bool = False, splits: tuple[str, ...] = SPLITS, examples: int = 0
+) -> DataFrame:
     """All diagnostics of a samples table under a plan, one row per code and feature with its count.
 
-    A missing column is reported and nothing that needs it is run.
+    A missing column is reported and nothing that needs it is run. Conditions on rows
+    and on features share one scan. With ``examples``, a column of the first so many
+    places of each condition.
     """
     found = schema_issues(df, plan.required(), metadata)
-    if found.filter("code = 'MISSING_COLUMN'").isEmpty():
-        rows = df.agg(F.count(F.lit(1)).alias("n"))
-        empty = rows.filter("n = 0").select(F.lit("error").alias("severity"), F.lit("EMPTY_DATASET").alias("code"), F.lit("source").alias("stage"), F.lit(None).cast("string").alias("feature"), F.lit(1).cast("long").alias("count"))
+    more = (lambda x: x.withColumn("examples", F.lit(None).cast("array<string>"))) if examples else (lambda x: x)
+    found = more(found)
+    if not any(c not in df.columns for c in [*plan.required(), *metadata]):
         checked = plan.apply(df, [c for c in df.columns if c not in plan.required()] + plan.required(), checks=True)
-        found = found.unionByName(empty).unionByName(count_checks(df, row_checks(dataset_id, config_name, [])))
-        found = found.unionByName(count_checks(checked, plan_checks(plan) + model_checks(plan, unit_interval)))
+        found = found.unionByName(count_checks(checked, row_checks(dataset_id, config_name, []) + plan_checks(plan) + model_checks(plan, unit_interval), examples))
         same = identity_issues(df).groupBy("code").agg(F.count(F.lit(1)).alias("count"))
-        found = found.unionByName(same.select(F.lit("error").alias("severity"), "code", F.lit("identity").alias("stage"), F.lit("hash").alias("feature"), "count"))
+        found = found.unionByName(more(_issues(same, "error", F.col("code"), "identity", "hash", F.col("count"))))
+        found = found.unionByName(more(split_classes(df, splits))).unionByName(more(outlier_issues(df, plan.required())))
     if not complete:
-        found = found.unionByName(_rows(df.sparkSession, [("warning", "SAMPLED_AUDIT", "scan", None, 1)]))
+        found = found.unionByName(more(_rows(df.sparkSession, [("warning", "SAMPLED_AUDIT", "scan", None, 1)])))
     return found
 
 
+def run_audit(spark: SparkSession, audit: Callable[[], DataFrame]) -> tuple[DataFrame, bool]:
+    """(issues, whether the scan came to its end): runs an audit and stores its issues.
+
+    A scan that fails leaves a report of one SCAN_FAILED error with the kind of the
+    failure as its feature, never its text; it is not complete, so nothing is certified
+    or published from it.
+    """
+    try:
+        return write_read(audit()), True
+    except Exception as e:  # whatever the source raises
+        return _rows(spark, [("error", "SCAN_FAILED", "source", type(e).__name__, 1)]), False
+
+
 def certify(issues: DataFrame, complete: bool, binding: dict[str, str]) -> DataFrame:
     """One certificate row: errors, warnings, status and certified, bound to contract, source, split policy and model."""
     n = issues.agg(F.coalesce(F.sum(F.when(F.col("severity") == "error", F.col("count"))), F.lit(0)).alias("errors"), F.coalesce(F.sum(F.when(F.col("severity") == "warning", F.col("count"))), F.lit(0)).alias("warnings"))

@@ -87,7 +87,42 @@ def contract_audit(spark, sf_dir):
 
 
 def audit_coverage(spark, sf_dir):
-    return A.contract_audit(samples(spark, sf_dir).limit(100), _plan(), "orders", "wide", METADATA, complete=False).filter("code = 'SAMPLED_AUDIT'").select("severity", "code", "count")
+    """Audits that cannot certify: of a sample of the rows, of no rows, and of a scan that fails; with the rows each has read."""
+    rows = samples(spark, sf_dir)
+    part = rows.filter(F.pmod(F.col("row_number"), F.lit(10)) == 0)
+    broken = rows.withColumn("feat_0", F.when(F.col("row_number") == 7, F.raise_error(F.lit("a signed address")).cast("bigint")).otherwise(F.col("feat_0")))
+    out = None
+    for name, df, complete in (("sample", part, False), ("none", rows.filter("hash = ''"), True), ("broken", broken, True)):
+        issues, done = A.run_audit(spark, lambda df=df, complete=complete: A.contract_audit(df, _clean_plan(), "orders", "wide", METADATA, complete=complete))
+        one = issues.filter("code IN ('SAMPLED_AUDIT', 'EMPTY_DATASET', 'SCAN_FAILED')").select(F.lit(name).alias("audit"), "severity", "code", "count", F.lit(done).alias("done"))
+        certified = A.certify(issues, complete and done, BINDING).select("certified")
+        one = one.crossJoin(F.broadcast(certified))  # one row
+        read = (df if done else df.limit(0)).agg(F.count("*").alias("n_rows"))
+        one = one.crossJoin(F.broadcast(read))  # one row
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def audit_examples(spark, sf_dir):
+    """The first three places of each violation of the contract, beside its count."""
+    found = A.contract_audit(_dirty(spark, sf_dir), _plan(), "orders", "wide", METADATA, examples=3).filter("code IN ('BINARY_DOMAIN', 'CATEGORY_DOMAIN', 'LABEL_DOMAIN')")
+    return found.select("code", "feature", "count", F.array_join("examples", ",").alias("examples"))
+
+
+def audit_split(spark, sf_dir):
+    """Invalid splits and months, and a test split with one class only."""
+    rows = _dirty(spark, sf_dir)
+    invalid = A.count_checks(rows, [c for c in A.row_checks("orders", "wide", []) if c[1] == "SPLIT_INVALID"])
+    one_class = rows.filter("split_name <> 'test' OR label = 1")
+    return invalid.unionByName(A.split_classes(one_class, ("train", "test", "validation"))).select("code", "feature", "count")
+
+
+def audit_outliers(spark, sf_dir):
+    """Warnings of an audit whose counts hold a spike, which certifies all the same."""
+    rows = _wide(spark, sf_dir).withColumn("feat_0", F.when(F.col("row_number") % 997 == 5, 100_000).otherwise(F.col("feat_0")))
+    issues, done = A.run_audit(spark, lambda: A.contract_audit(rows, _clean_plan(), "orders", "wide", METADATA))
+    certified = A.certify(issues, done, BINDING).select("status", "certified")
+    return issues.select("severity", "code", "feature", "count").crossJoin(F.broadcast(certified))  # one row
 
 
 def _clean_plan():
@@ -144,8 +179,8 @@ def observation_gate(spark, sf_dir):
     return spark.createDataFrame(rows, "complete boolean, published long")
 
 
-QUERIES = {f.__name__: f for f in [audit_schema, audit_required_null, audit_identity, contract_audit, audit_coverage, certify, stage_features, publish_observations, observation_history, observation_gate]} | {
-    "audit_split": _row("SPLIT_INVALID"), "audit_label": _row("LABEL_DOMAIN"), "audit_dataset": _row("DATASET_MISMATCH"), "audit_type": _some("TYPE_OVERFLOW"), "audit_null": _some("UNHANDLED_NULL", "NULL_POLICY"),
+QUERIES = {f.__name__: f for f in [audit_schema, audit_required_null, audit_identity, contract_audit, audit_coverage, audit_examples, audit_split, audit_outliers, certify, stage_features, publish_observations, observation_history, observation_gate]} | {
+    "audit_label": _row("LABEL_DOMAIN"), "audit_dataset": _row("DATASET_MISMATCH"), "audit_type": _some("TYPE_OVERFLOW"), "audit_null": _some("UNHANDLED_NULL", "NULL_POLICY"),
     "audit_finite": _some("NON_FINITE"), "audit_domain": _some("BINARY_DOMAIN", "RANGE_MIN", "RANGE_MAX", "CATEGORY_DOMAIN"), "audit_transform": _some("TRANSFORM_FAILED"),
     "audit_model_input": _some("TENSOR_NON_FINITE", "TENSOR_PRECISION", "MODEL_DOMAIN"),
 }
@@ -176,14 +211,26 @@ _SAME = """ident AS (SELECT lower(hash) AS i, split_name, row_number() OVER (PAR
 same AS (SELECT CASE WHEN split_name = f THEN 'DUPLICATE' ELSE 'SPLIT_OVERLAP' END AS code, count(*) AS count FROM ident WHERE k > 1 GROUP BY 1)"""
 _ALL = ("IDENTITY", "SPLIT_INVALID", "LABEL_DOMAIN", "DATASET_MISMATCH", "UNHANDLED_NULL", "NULL_POLICY", "NON_FINITE", "BINARY_DOMAIN", "RANGE_MIN", "RANGE_MAX", "CATEGORY_DOMAIN", "TRANSFORM_FAILED", "TENSOR_NON_FINITE", "TENSOR_PRECISION", "MODEL_DOMAIN")
 
+_OUT = "stddev_pop({0}) > 0 AND max({0}) > avg({0}) + 8 * stddev_pop({0}) AND NOT bool_and({0} IN (0, 1))"
+_WARNED = "".join(f" UNION ALL SELECT 'warning', 'STATISTICAL_OUTLIER', '{c}', 1 FROM (SELECT CAST({c} AS DOUBLE) AS x FROM dirty WHERE {_fin.format(f'CAST({c} AS DOUBLE)')}) HAVING {_OUT.format('x')}" for c in FEATURES)
+
 SQL = {
-    "audit_required_null": _sql("REQUIRED_NULL"), "audit_split": _sql("SPLIT_INVALID"), "audit_label": _sql("LABEL_DOMAIN"), "audit_dataset": _sql("DATASET_MISMATCH"),
+    "audit_required_null": _sql("REQUIRED_NULL"), "audit_label": _sql("LABEL_DOMAIN"), "audit_dataset": _sql("DATASET_MISMATCH"),
     "audit_null": _sql("UNHANDLED_NULL", "NULL_POLICY"), "audit_finite": _sql("NON_FINITE"), "audit_domain": _sql("BINARY_DOMAIN", "RANGE_MIN", "RANGE_MAX", "CATEGORY_DOMAIN"), "audit_transform": _sql("TRANSFORM_FAILED"),
     "audit_model_input": _sql("TENSOR_NON_FINITE", "TENSOR_PRECISION", "MODEL_DOMAIN"),
     "audit_type": f"WITH {_DIRTY} SELECT 'TYPE_OVERFLOW' AS code, 'f2@1' AS feature, count(*) AS count FROM dirty WHERE feat_2 > 2147483647 HAVING count(*) > 0",
     "audit_identity": _sql("IDENTITY").replace("SELECT * FROM found", f", {_SAME} SELECT code, count FROM found", 1).replace(") , ", "), ") + " UNION ALL SELECT code, count FROM same",
-    "contract_audit": _sql(*_ALL).replace("SELECT * FROM found", f", {_SAME} SELECT 'error' AS severity, code, feature, count FROM found", 1).replace(") , ", "), ") + " UNION ALL SELECT 'error', code, 'hash', count FROM same",
-    "audit_coverage": "SELECT 'warning' AS severity, 'SAMPLED_AUDIT' AS code, CAST(1 AS BIGINT) AS count WHERE EXISTS (SELECT 1 FROM orders)",
+    "contract_audit": _sql(*_ALL).replace("SELECT * FROM found", f", {_SAME} SELECT 'error' AS severity, code, feature, count FROM found", 1).replace(") , ", "), ") + " UNION ALL SELECT 'error', code, 'hash', count FROM same" + _WARNED,
+    "audit_coverage": f"""WITH {SAMPLES_SQL} SELECT 'sample' AS audit, 'warning' AS severity, 'SAMPLED_AUDIT' AS code, CAST(1 AS BIGINT) AS count, true AS done, false AS certified, count(*) FILTER (row_number % 10 = 0) AS n_rows FROM samples
+ UNION ALL SELECT 'none', 'error', 'EMPTY_DATASET', 1, true, false, count(*) FILTER (hash = '') FROM samples UNION ALL SELECT 'broken', 'error', 'SCAN_FAILED', 1, false, false, 0 WHERE EXISTS (SELECT 1 FROM samples WHERE row_number = 7)""",
+    "audit_examples": f"""WITH {_DIRTY}, v AS (SELECT 'BINARY_DOMAIN' AS code, 'f0@1' AS feature, source_file, row_number, CAST(feat_0 AS VARCHAR) AS x FROM dirty WHERE feat_0 NOT IN (0, 1)
+ UNION ALL SELECT 'CATEGORY_DOMAIN', 'f2@1', source_file, row_number, CAST(feat_2 AS VARCHAR) FROM dirty WHERE feat_2 NOT IN (0, 1, 2, 3) UNION ALL SELECT 'LABEL_DOMAIN', 'label', source_file, row_number, CAST(label AS VARCHAR) FROM dirty WHERE NOT coalesce(label IN (0, 1), false)),
+r AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY source_file, row_number) AS k FROM v)
+SELECT code, feature, count(*) AS count, string_agg(source_file || ':' || row_number || ':' || coalesce(x, 'null'), ',' ORDER BY k) FILTER (k <= 3) AS examples FROM r GROUP BY 1, 2""",
+    "audit_split": _sql("SPLIT_INVALID") + """ UNION ALL SELECT 'SPLIT_CLASSES', s, 1 FROM (VALUES ('train'), ('test'), ('validation')) AS w(s)
+ WHERE NOT EXISTS (SELECT 1 FROM dirty WHERE split_name = s AND label = 0 AND split_name <> 'test') OR NOT EXISTS (SELECT 1 FROM dirty WHERE split_name = s AND label = 1)""",
+    "audit_outliers": f"WITH {SAMPLES_SQL}, w AS (SELECT * REPLACE (CASE WHEN row_number % 997 = 5 THEN 100000 ELSE feat_0 END AS feat_0) FROM samples WHERE config_name = 'wide') "
+    + " UNION ALL ".join(f"SELECT 'warning' AS severity, 'STATISTICAL_OUTLIER' AS code, '{c}' AS feature, CAST(1 AS BIGINT) AS count, 'passed' AS status, true AS certified FROM w HAVING {_OUT.format(c)}" for c in FEATURES),
     "certify": "SELECT * FROM (VALUES ('feat_0.presence@1', 'passed', true, false), ('f0@1', 'failed', false, true)) AS t(contract, status, certified, has_errors) WHERE EXISTS (SELECT 1 FROM orders)",
     "stage_features": f"WITH {SAMPLES_SQL} SELECT {_SPLIT} AS split, label, count(*) AS n_rows, CAST(sum(CAST(feat_0 > 0 AS INTEGER) + CAST(feat_1 > 0 AS INTEGER) + CAST(feat_2 > 0 AS INTEGER)) AS BIGINT) AS present FROM samples WHERE config_name = 'wide' GROUP BY 1, 2",
     "publish_observations": "SELECT audit_id, record_kind, n FROM (VALUES ('a1', 'field', CAST(4 AS BIGINT)), ('a1', 'complete', 1), ('a2', 'field', 4), ('a2', 'complete', 1)) AS t(audit_id, record_kind, n) WHERE EXISTS (SELECT 1 FROM orders)",

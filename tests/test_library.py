@@ -108,7 +108,26 @@ def test_audit_missing_and_duplicate_columns(spark):
 def test_audit_empty(spark):
     df = spark.createDataFrame([], "hash string, label int, split_name string, year_month string, dataset_id string, config_name string, f double, source_file string, row_number long")
     plan = G.FeaturePlan.compile([G.Node("f@1", column="f", source="s")], ["f@1"])
-    assert [r.code for r in A.contract_audit(df, plan, "d", "c", {}).collect()] == ["EMPTY_DATASET"]
+    assert [(r.code, r.feature) for r in A.contract_audit(df, plan, "d", "c", {}).orderBy("code", "feature").collect()] == [("EMPTY_DATASET", None), ("SPLIT_CLASSES", "test"), ("SPLIT_CLASSES", "train")]
+
+
+def test_audit_reads_the_table_once_for_all_conditions(spark):
+    path, n = scratch(spark), 600
+    spark.range(20).select("id", *[(F.col("id") % 3).alias(f"f{k}") for k in range(n)]).write.parquet(path)
+    checks = [("error", "X", "value", f"f{k}", F.col(f"f{k}") > 1) for k in range(n)]
+    counted = A.count_checks(spark.read.parquet(path), checks)
+    assert counted._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert counted.groupBy("count").count().collect() == [(6, n)]
+    some = A.count_checks(spark.read.parquet(path).selectExpr("*", "'a' source_file", "id row_number"), checks[:2], 2).collect()
+    assert [r.examples for r in some] == [["a:2:2", "a:5:2"]] * 2
+
+
+def test_audit_of_a_scan_that_fails(spark):
+    df = spark.range(3).select(F.raise_error(F.lit("secret address")).alias("severity"))
+    issues, done = A.run_audit(spark, lambda: df)
+    rows = issues.collect()
+    assert not done and [r.code for r in rows] == ["SCAN_FAILED"] and "secret" not in str(rows)
+    assert A.certify(issues, done, {}).first().status == "failed"
 
 
 def test_certificates(spark):
