@@ -2,29 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
-#: Rows up to which a narrow right side is broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
+from broadloom.session import free_names, scratch
+
+#: Rows and bytes up to which a right side is broadcast; beyond either the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the folder that the cluster names in spark.checkpoint.dir.
+    """A new folder under the folder that the cluster names in spark.checkpoint.dir; see ``scratch``."""
+    return scratch(spark)
 
-    Only where that setting is absent (single-machine tests) a local one is set.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not top:
-        top = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+
+def row_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> F.Column:
+    """32 bytes that rows of ``df`` share if and only if id and text are equal, but for SHA-256 collisions; null equals null."""
+    none = lambda c: F.when(F.col(c).isNull(), "-").otherwise("+")
+    return F.unhex(F.sha2(F.concat(none(id_col), none(text_col), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text_col), F.lit(""))), 256))
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -46,12 +46,47 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A join that broadcasts ``right`` (a stored, narrow table) only if its counted rows are few.
+def _width(c: F.Column, kind) -> F.Column:
+    """Bytes of a value in memory, about."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.lit(16) + F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(kind, ArrayType):
+        return F.lit(24) + F.aggregate(F.coalesce(c, F.array().cast(kind)), F.lit(0).cast("long"), lambda n, x: n + _width(x, kind.elementType))
+    if isinstance(kind, StructType):
+        out = F.lit(16).cast("long")
+        for field in kind.fields:
+            out = out + _width(c[field.name], field.dataType)
+        return out
+    return F.lit(8).cast("long")
+
+
+def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A join that broadcasts ``right`` (a stored table) only if its rows, counted, and their bytes, summed, are few.
+
+    Beyond ``rows`` or ``size`` Spark joins by shuffle, where adaptive execution splits skewed keys.
+    """
+    width = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in right.schema.fields), F.lit(0).cast("long"))
+    n, held = right.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return left.join(F.broadcast(right) if n <= rows and held <= size else right, on, how)
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame, key: F.Column, once: bool = True) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is kept in ``decided`` (key, kept), with their own columns.
 
-    Beyond ``rows`` Spark joins by shuffle, where adaptive execution splits skewed keys.
+    ``decided`` has a row for each row of ``docs``; rows of a key are decided alike,
+    or, with ``once``, one of them is kept and comes out once. Keys are 32 bytes; what
+    goes is joined by a sized broadcast or a shuffle.
     """
-    return left.join(F.broadcast(right) if right.count() <= rows else right, on, how)
+    (name,) = free_names(docs, "row_key")
+    found = decided.groupBy("key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    # only keys that go or that stand on several rows are joined back
+    found = stored(found.filter(~F.col("kept") | (F.col("n") > 1)).select(F.col("key").alias(name), "kept"))
+    keyed = docs.withColumn(name, key)
+    if not once:
+        return sized_join(keyed, found.filter(~F.col("kept")).select(name), [name], "left_anti").select(*docs.columns)
+    rest = sized_join(keyed, found.select(name), [name], "left_anti")
+    again = sized_join(keyed, found.filter("kept").select(name), [name], "left_semi").dropDuplicates([name])
+    return rest.unionByName(again).select(*docs.columns)
 
 
 def arrow_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:

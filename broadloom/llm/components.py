@@ -24,7 +24,8 @@ def block_pairs(postings: DataFrame, keys: list[str], member: str, block_rows: i
     the second block). A list of up to ``block_rows`` rows is one block, paired with
     itself; a longer list of k blocks gives k(k+1)/2 tasks' worth of bounded groups.
     """
-    sizes = postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("list_rows")).filter("list_rows > 1")
+    # stored, so that the join has a shuffle of its own on both sides and a long list can be split in it
+    sizes = stored(postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("list_rows")).filter("list_rows > 1"))
     blocks = F.ceil(F.col("list_rows") / block_rows).cast("int")
     return (
         postings.join(sizes, keys)
@@ -100,9 +101,14 @@ def forest(ids: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(source), np.concatenate(target)
 
 
-def _stars(pairs: DataFrame, centre_too: bool) -> DataFrame:
-    """From (u, v) rows: every v, and u itself if asked, tied to the smallest of u and its v's."""
-    least = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+def _stars(pairs: DataFrame, centre_too: bool, spent: list[DataFrame]) -> DataFrame:
+    """From (u, v) rows: every v, and u itself if asked, tied to the smallest of u and its v's.
+
+    The reduced side is stored, so that the join has a shuffle of its own on both sides
+    and the rows of a hub can be split in it; it is added to ``spent``.
+    """
+    least = stored(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
+    spent.append(least)
     ties = pairs.join(least, "u").filter("v > u" if not centre_too else "v != m").select(F.col("v").alias("src"), F.col("m").alias("dst"))
     if centre_too:
         ties = ties.union(least.select(F.col("u").alias("src"), F.col("m").alias("dst")))
@@ -128,11 +134,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not before[0]:
             break
         both = now.select(F.col("src").alias("u"), F.col("dst").alias("v")).union(now.select(F.col("dst").alias("u"), F.col("src").alias("v")))
-        large = _stars(both, False)
+        spent = [now]
+        large = stored(_stars(both, False, spent))
         down = large.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
-        after_df = stored(_stars(down, True))
+        after_df = stored(_stars(down, True, spent))
         after = digest(after_df)
-        drop_stored(now)
+        for table in (*spent, large):
+            drop_stored(table)
         now = after_df
         if after == before:
             break
