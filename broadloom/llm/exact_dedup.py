@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import sized_join, stored
+from broadloom.llm.common import keep_rows, sized_join, stored
 
 SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 #: Bytes that the rolling hash sees; a cut follows where its low bits are zero.
@@ -133,18 +133,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that exact dedup keeps, with their own columns and texts.
 
-    Rows repeated with the same id and text are one row. Ids that stay are
-    joined back by id; only ids that also stand on other texts are told apart by text.
+    Of each group one row stays: that of smallest doc_id, null ids after all others; of
+    rows that share the id, one of them. Null text counts as empty. An empty table
+    stays empty; other columns, of whatever names, are kept as they are.
     """
-    marks = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("text_sha256").alias("_sha")]
-    decided = stored(exact_dedup(docs).select("kept", *marks))
-    gone = stored(decided.filter(~F.col("kept")).select("_id", "_sha").distinct())
-    again = stored(gone.join(decided.filter("kept").select("_id", "_sha"), ["_id", "_sha"], "left_semi"))
+
+    def mark(doc_id: F.Column, sha: F.Column) -> F.Column:
+        return F.unhex(F.sha2(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), sha), 256))
+
+    decided = exact_dedup(docs).select(mark(F.col("doc_id"), F.col("text_sha256")).alias("key"), "kept")
     sha = F.sha2(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
-    keyed = docs.withColumn("_sha", sha).withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rest = sized_join(keyed, gone, ["_id", "_sha"], "left_anti")
-    once = sized_join(keyed, again, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"])
-    return rest.unionByName(once).select(*docs.columns)
+    return keep_rows(docs, decided, mark(F.col("doc_id").cast("long"), sha))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

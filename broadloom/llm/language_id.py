@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import pickle
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import sized_join, stored
+from broadloom.llm.common import keep_rows, row_key, sized_join, stored
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# word characters without digits, other numbers and the low line, which is what str.isalpha holds for
+_NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 ORDER = 5
 DISCOUNT = 0.75
 #: Bound of the sample that the models are fitted and calibrated on: documents for each language.
@@ -227,11 +230,17 @@ def fit(docs: DataFrame, max_fit_docs: int = MAX_FIT_DOCS) -> LanguageModels:
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) / float(1 << 31)
     ids = usable.select("lang", "doc_id", u.alias("u"))
-    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # of a frequent language about four times the sample comes to the ranking, however many rows it has
-    few = ids.join(sizes, "lang").filter(F.col("u") * F.col("n") < 4 * max_fit_docs)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("u", "doc_id"))
-    picked = few.withColumn("r", rank).filter(F.col("r") <= max_fit_docs).select("lang", "doc_id", "r")
+    sizes = stored(ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    # of a frequent language about four times the sample comes to the ranking, however many rows it has, in parts of
+    # about a 16th of the sample each: ranked inside their part and shifted by the parts before it
+    part = F.floor(F.col("u") * F.col("n") * 16 / max_fit_docs)
+    few = sized_join(ids, sizes, ["lang"], "inner").filter(F.col("u") * F.col("n") < 4 * max_fit_docs).select("lang", "doc_id", "u", part.alias("part"))
+    before = Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # bounded: 64 parts for each language
+    shift = few.groupBy("lang", "part").agg(F.count(F.lit(1)).alias("n")).select("lang", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    inside = F.row_number().over(Window.partitionBy("lang", "part").orderBy("u", "doc_id"))
+    ranked = few.withColumn("r", inside).join(F.broadcast(shift), ["lang", "part"])
+    picked = ranked.withColumn("r", F.col("r") + F.col("shift")).filter(F.col("r") <= max_fit_docs).select("lang", "doc_id", "r")
     # bounded: max_fit_docs rows for each language
     sample = usable.join(F.broadcast(picked.distinct()), ["lang", "doc_id"]).select("lang", "text", (F.col("r") % 4 == 0).alias("check")).persist()
     counts: dict[str, tuple[list, list]] = {}
@@ -305,7 +314,7 @@ def _decider(pickled: bytes):
     return decide
 
 
-def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
+def identify(docs: DataFrame, models: LanguageModels, id_type: str = "long") -> DataFrame:
     """(doc_id, lang_pred, score, rejected) for every row of (doc_id, text).
 
     ``und`` with score 0 and rejected, where the text is null or has no letter, or
@@ -325,17 +334,21 @@ def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
                 names, score, rejected = decide(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)], ["doc_id", "lang_pred", "score", "rejected"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, max_fit_docs: int = MAX_FIT_DOCS) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, lang and any others) whose language is not rejected, unchanged."""
+    """The rows of ``docs`` (doc_id, text, lang and any others) whose language is not rejected, unchanged.
+
+    Null, empty and letterless texts are rejected; rows of null ids are decided like
+    others, repeated rows each stay or go; nothing is fitted on an empty table, which
+    stays empty. Other columns, of whatever names, are kept as they are.
+    """
     models = fit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter(~held_out()), max_fit_docs)
-    # rows of one key have one text and so one decision; texts go to Python, only keys come back
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit("")))
-    found = identify(docs.select(key.alias("doc_id"), "text"), models)
-    gone = stored(found.filter("rejected").select(F.col("doc_id").alias("_key")).distinct())
-    return sized_join(docs.withColumn("_key", key), gone, ["_key"], "left_anti").select(*docs.columns)
+    # rows of one key have one text and so one decision; texts go to Python, only keys of what goes come back
+    key = row_key(docs)
+    gone = identify(docs.select(key.alias("doc_id"), "text"), models, "binary").filter("rejected")
+    return keep_rows(docs, gone.select(F.col("doc_id").alias("key"), F.lit(False).alias("kept")), key, once=False)
 
 
 def held_out() -> F.Column:

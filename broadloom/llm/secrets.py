@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadloom.llm.common import sized_join, stored
+from broadloom.session import free_names
 
 #: Base kinds in their fixed order, then the kinds that this method adds.
 BASE = ("assign", "access", "hex")
@@ -31,7 +32,8 @@ RULES = {
     "access": re.compile(r"AKIA[A-Z0-9]+"),
     "hex": re.compile(r"[0-9a-f]{24,}"),
     "bearer": re.compile(r"\b[Bb]earer\x20+[A-Za-z0-9._~+/-]{16,}=*"),
-    "pem": re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,20000}-----END [A-Z ]{0,40}PRIVATE KEY-----"),
+    # header lines and body of any length; neither goes on over five hyphens, so a text is read once
+    "pem": re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----(?:\s*+[A-Za-z-]++:(?:(?!-----)[^\r\n])*+)*+[A-Za-z0-9+/=\s]*+-----END [A-Z0-9 ]*PRIVATE KEY-----"),
     "jwt": re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 }
 KEEPS = {"assign": lambda m: len(m.group(2)) >= 6, "access": lambda m: m.end() - m.start() >= 20}
@@ -104,24 +106,27 @@ def _joined(spans) -> F.Column:
 def redact(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with every secret span replaced by ``[SECRET]``; n_chars follows where it exists.
 
-    Overlapping spans are replaced as one. Rows without findings pass unchanged.
+    Overlapping spans are replaced as one. Rows without findings, null and empty texts
+    pass unchanged; repeated rows each come out; an empty table stays empty. Other
+    columns, of whatever names, are kept as they are.
     """
     kept, schema = docs.columns, docs.schema
-    findings, _ = secret_scan(docs)
-    hit = stored(findings.filter(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"]))
-    with_spans = sized_join(docs.withColumn("_blob", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)), hit, ["_blob"], "left")
+    blob, spans, made = free_names(docs, "blob", "spans", "made")
+    ledger = stored(scan_unseen(docs))
+    hit = stored(ledger.filter(F.size("spans") > 0).select(F.col("blob").alias(blob), F.col("spans").alias(spans)))
+    with_spans = sized_join(docs.withColumn(blob, F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)), hit, [blob], "left")
     parts = F.aggregate(
-        F.col("_spans"),
+        F.col(spans),
         F.struct(F.lit("").alias("done"), F.lit(0).alias("at")),
         lambda acc, s: F.struct(
             F.when(s["start"] >= acc["at"], F.concat(acc["done"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("[SECRET]"))).otherwise(acc["done"]).alias("done"),
             F.greatest(acc["at"], s["end"]).alias("at"),
         ),
     )
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.concat(F.col("_p.done"), F.substring(F.col("text"), F.col("_p.at") + 1, F.length("text"))))
-    out = with_spans.withColumn("_p", F.when(F.col("_spans").isNotNull(), parts)).withColumn("text", clean)
+    clean = F.when(F.col(spans).isNull(), F.col("text")).otherwise(F.concat(F.col(f"{made}.done"), F.substring(F.col("text"), F.col(f"{made}.at") + 1, F.length("text"))))
+    out = with_spans.withColumn(made, F.when(F.col(spans).isNotNull(), parts)).withColumn("text", clean)
     if "n_chars" in kept:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(schema["n_chars"].dataType)))
     return out.select(*kept)
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import sized_join, stored
+from broadloom.llm.common import keep_rows, row_key, sized_join, stored
 from broadloom.llm.components import compare_blocks, connected_components, forest
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -69,8 +69,8 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int(np.packbits(bits * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
-    """(doc_id, fp long) for every row.
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, key: F.Column | None = None) -> DataFrame:
+    """(doc_id, key, fp long) for every row; ``key`` is binary, null where none is asked for.
 
     A-Z is lowered, words are runs without ASCII white space, shingles have
     ``words`` words (fewer words: the whole sequence). No words, so also a null or
@@ -80,9 +80,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column("text")), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(fps.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    key = F.lit(None).cast("binary") if key is None else key
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, key binary, fp long")
 
 
 def _compare(prepared: dict, rows: slice, second: np.ndarray | None) -> dict[str, np.ndarray] | None:
@@ -122,6 +123,15 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     return compare_blocks(postings, ["list_key"], "fp", [], lambda t: {"fp": t.column("fp").to_numpy()}, _compare, "src long, dst long", BLOCK_ROWS)
 
 
+def _components(rows: DataFrame, first: F.Column) -> DataFrame:
+    """Stored (fp, least): the smallest ``first`` over the rows (stored) of each fingerprint's component."""
+    classes = stored(rows.groupBy("fp").agg(F.min(first).alias("least")))
+    parts = connected_components(fingerprint_links(classes.select("fp")))
+    member = classes.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("part"))
+    least = stored(member.groupBy("part").agg(F.min("least").alias("least")))
+    return stored(member.select("fp", "part").join(least, "part").select("fp", "least"))
+
+
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id, kept.
 
@@ -131,21 +141,26 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     minimum; a component of only null ids has null). ``kept``: doc_id = component_id.
     Empty tables give empty results; other columns are not read.
     """
-    rows = stored(fingerprints(docs, id_col, text_col, words))
-    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    parts = connected_components(fingerprint_links(classes.select("fp")))
-    member = classes.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("component", "fp").alias("part"))
-    least = member.groupBy("part").agg(F.min("first_id").alias("component_id"))
-    of = stored(member.join(least, "part").select("fp", "component_id"))
+    rows = stored(fingerprints(docs, id_col, text_col, words).select("doc_id", "fp"))
+    of = _components(rows, F.col("doc_id")).withColumnRenamed("least", "component_id")
     return sized_join(rows, of, ["fp"], "inner").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` of which SimHash keeps one for each component."""
-    gone = stored(simhash_dedup(docs).filter(~F.col("kept")).select("doc_id").distinct())
-    return sized_join(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
+    """The rows of ``docs`` of which SimHash keeps one for each component, with their own columns.
+
+    The row of smallest doc_id stays (null ids come after all others; of rows of one id
+    the text's digest decides), and one of rows repeated with id and text. All texts
+    without words (null, empty) are one component. An empty table stays empty; other
+    columns, of whatever names, are kept as they are.
+    """
+    key = row_key(docs)
+    rows = stored(fingerprints(docs, key=key))
+    least = _components(rows, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    decided = sized_join(rows, least, ["fp"], "inner").select("key", (F.col("key") == F.col("least.key")).alias("kept"))
+    return keep_rows(docs, decided, key)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
