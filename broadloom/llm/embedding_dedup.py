@@ -159,27 +159,34 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     Vectors are compared within a label (not null) and a length. Vectors that are
     null, empty, zero, or hold a null or non-finite component, and vectors without
     a label, link with nothing. Equal vectors of a label are one class before any
-    comparison and count as links of each other. Ids are taken as unique; a null id
-    takes no part. An empty table gives an empty result; other columns are not read.
+    comparison and count as links of each other, rows repeated with id and vector too.
+    Every row gives a row: an id that stands on several vectors has one for each, with
+    the links of that vector. component_id is the smallest id of the linked rows; a
+    null id takes no part in links and is its own null component. An empty table gives
+    an empty result; other columns are not read.
     """
     v = F.col("vector")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector"), F.col(label_col).cast("long").alias("label"))
     sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(F.size(v) > 0, F.lit(False))
     sound &= ~F.coalesce(F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(True)) & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False))
     rows = rows.select("vec_id", "label", F.when(sound, F.transform(v, lambda x: F.when(x == 0, F.abs(x)).otherwise(x))).alias("vector"))
-    classes = stored(rows.filter("vector IS NOT NULL").groupBy("label", "vector").agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
-    each = classes.select("label", F.size("vector").cast("long").alias("size"), F.col("first_id").alias("vec_id"), "copies", "vector")
+    # a class of equal vectors has a number of its own, as ids may stand on several vectors
+    grouped = rows.filter("vector IS NOT NULL").groupBy("label", "vector").agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+    classes = stored(grouped.withColumn("class_id", F.monotonically_increasing_id()))
+    each = classes.select("label", F.size("vector").cast("long").alias("size"), F.col("class_id").alias("vec_id"), "copies", "vector")
     kind = each.schema["vector"].dataType.simpleString()
     listed = stored(each.mapInArrow(_directions, f"label long, size long, vec_id long, copies long, vector {kind}, filters array<int>"))
     postings = listed.select("label", "size", "vec_id", F.explode("filters").alias("filter"))
     facts = listed.select("vec_id", "copies", "vector", "filters")
     found = stored(compare_blocks(postings, ["label", "size", "filter"], "vec_id", ["copies", "vector", "filters"], _prepare, _compare, "src long, dst long, links long", BLOCK_ROWS, facts))
     parts = connected_components(found.select("src", "dst"))
-    links = found.groupBy(F.col("src").alias("first_id")).agg(F.sum("links").alias("links"))
+    links = found.groupBy(F.col("src").alias("class_id")).agg(F.sum("links").alias("links"))
+    member = classes.select("class_id", "first_id").join(parts, F.col("class_id") == F.col("node"), "left").select("class_id", "first_id", F.coalesce("component", "class_id").alias("part"))
+    least = stored(member.groupBy("part").agg(F.min("first_id").alias("component_id")))
     facts = (
-        classes.join(links, "first_id", "left")
-        .join(parts, F.col("first_id") == F.col("node"), "left")
-        .select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "first_id").alias("component_id"))
+        classes.join(links, "class_id", "left")
+        .join(member.join(least, "part").select("class_id", "component_id"), "class_id")
+        .select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     )
     return rows.join(facts, ["label", "vector"], "left").select(
         "vec_id",

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import stored
+from broadloom.llm.common import sized_join, stored
 
 BITS = 18
 #: Bound of the sample: about so many ratings are fitted, however many there are.
@@ -128,7 +128,7 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, max_fit_rows: int = MAX_FI
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) / float(1 << 31)
     rated = ratings.filter(F.col("doc_id").isNotNull() & F.col("grade").isNotNull()).select("doc_id", "grade", u.alias("u"))
     n = max(rated.count(), 1)
-    few = rated.filter(F.col("u") * n < max_fit_rows)  # bounded: about max_fit_rows rows of two numbers
+    few = stored(rated.filter(F.col("u") * n < max_fit_rows))  # about max_fit_rows rows; more where one document has many ratings
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -137,7 +137,7 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, max_fit_rows: int = MAX_FI
             yield pa.RecordBatch.from_arrays([b.column("grade"), b.column("part"), pa.array(features, pa.list_(pa.int32()))], ["grade", "part", "features"])
 
     part = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(5 * PARTS)).cast("int")
-    return docs.join(F.broadcast(few), "doc_id").select("grade", part.alias("part"), "text").mapInArrow(run, "grade int, part int, features array<int>")
+    return sized_join(docs, few, ["doc_id"], "inner").select("grade", part.alias("part"), "text").mapInArrow(run, "grade int, part int, features array<int>")
 
 
 def fit(docs: DataFrame, ratings: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> Ordinal:

@@ -24,8 +24,8 @@ from broadloom.llm.common import shared_folder, sized_join, stored
 END = "\r\n"
 #: Payloads of fewer bytes are always stored again.
 REVISIT_BYTES = 100
-#: Records in an archive file.
-FILE_RECORDS = 3000
+#: Bytes of payload in an archive file: about so many on average, and never more than the most, as a file is read as one value.
+FILE_BYTES, MOST_BYTES = 64 << 20, 1 << 30
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
@@ -69,7 +69,14 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     facts = F.concat(F.coalesce(F.concat(F.lit("pageId: "), F.col("page_id").cast("string"), F.lit(END)), F.lit("")), F.lit("payloadBytes: "), F.octet_length("html").cast("string"), F.lit(END))
     metadata = _record("metadata", _urn(F.lit("metadata"), F.col("page_id"), F.col("digest"), F.col("mid")), facts, "application/warc-fields", target, to)
     records = rows.select(F.explode(F.array(request, response, metadata)).alias("value"))
-    records.write.option("lineSep", END + END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(folder)
+    records.write.option("lineSep", END + END).option("compression", "gzip").option("maxRecordsPerFile", file_records(pages, html_col)).text(folder)
+
+
+def file_records(pages: DataFrame, html_col: str = "html") -> int:
+    """Records in an archive file, three for a page, by the mean and the greatest payload of ``pages``."""
+    size = F.coalesce(F.octet_length(html_col), F.lit(0)) + 1024
+    mean, most = pages.agg(F.avg(size), F.max(size)).first()
+    return 3 * max(1, int(min(FILE_BYTES / (mean or 1024), MOST_BYTES / (most or 1024))))
 
 
 _RECORDS = "record_id string, type string, concurrent_to string, target_uri string, digest string, payload_bytes long, payload_sha256 string, page_id long, stated_bytes long"
