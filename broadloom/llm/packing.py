@@ -13,8 +13,10 @@ Pieces then take their places by rank in their length, in one distributed pass.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -22,7 +24,6 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,11 +37,14 @@ SETTINGS = ((3e-3, 1e-2, 1e-3), (2e-3, 6e-3, 1.5e-3), (0.1, 0.1, 0.03))
 #: A solution this close to the lower bound is taken without a further try.
 CLOSE = 1e-4
 #: Pieces of one length that are ranked in one group, about.
-RANK_ROWS = 200_000
-_CACHE_WORDS = 1_000_000
+RANK_ROWS = 2_000
+#: Words whose ids a Python worker remembers in each of two generations, about 90 MB for each.
+MEMORY_WORDS = 500_000
+_SIGNS = ".,;:!?#$%&*"
+#: Stands between words that are learned together.
+_MARK = "\x01"
 #: Final sigma and dotted I are lowered by context; \\x1c-\\x1f separate words for Python alone.
-_ODD = re.compile("[\u03a3\u0130\x1c-\x1f]")
-_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_ODD = re.compile("[\u03a3\u0130\x01\x1c-\x1f]")
 
 
 class WordTokens:
@@ -48,71 +52,97 @@ class WordTokens:
 
     A word is what stands between white space. The file's pre-tokenizer never joins
     over white space, so a text's ids are its words' ids in turn; the file's own
-    model is run on each word that is new, many in one call. Texts whose lower-casing
-    depends on more than the single character, whose separators Python and the
-    tokenizer see differently, or that hold an added token, go to the tokenizer whole.
+    model is run on the words that are not known, many in one call, told apart by a
+    mark. Texts whose lower-casing depends on more than the single character, whose
+    separators Python and the tokenizer see differently, or that hold the mark or one
+    of the file's added tokens, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.added = tuple(t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values())
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        self.tokenizer = Tokenizer.from_str(json.dumps(parts))
+        self.added = tuple(t["content"].lower() for t in parts["added_tokens"])
+        self.lowered = Tokenizer.from_str(json.dumps(parts | {"normalizer": None}))  # for words that are lower-cased already
+        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        # words used lately, and those used before them
         self.words: dict[str, bytes] = {}
-        self.parts = regex.compile(_SPLIT)
+        self.older: dict[str, bytes] = {}
+        self.memory = memory
 
     def _learn(self, fresh: list[str]) -> None:
         for i in range(0, len(fresh), 1000):
             some = fresh[i : i + 1000]
-            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ends = np.cumsum([len(self.parts.findall(w)) for w in some])
-            at = [0, *np.searchsorted(np.array(got.word_ids, np.int64), ends).tolist()]
+            got = self.lowered.encode_batch_fast([f" {_MARK} ".join(some)], add_special_tokens=False)[0]
             ids = np.array(got.ids, "<u4")
-            self.words.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, at, at[1:], strict=False))
+            ends = np.flatnonzero(ids == self.mark[0])
+            data = ids.tobytes()
+            self.words.update(zip(some, map(data.__getitem__, map(slice, [0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), len(data)])), strict=True))
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
         split: list[list[str] | None] = []
         for text in texts:
             low = text.lower()
-            plain = not _ODD.search(text) and not any(a in low for a in self.added) and (text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", low)))
-            split.append(low.split() if plain else None)
-        if len(self.words) > _CACHE_WORDS:
-            self.words = {}
+            plain = text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", low))
+            split.append(None if not plain or _ODD.search(text) or any(a in low for a in self.added) else low.split())
+        if len(self.words) > self.memory:
+            self.older, self.words = self.words, {}
         fresh = set().union(*[s for s in split if s]).difference(self.words)
-        self._learn(sorted(fresh))
+        # signs after a letter or digit are a part of their own
+        bases = {w: base for w in fresh if (base := w.rstrip(_SIGNS)) and base != w and base[-1].isalnum()}
+        fresh = fresh.difference(bases).union(bases.values(), (w[len(base) :] for w, base in bases.items())).difference(self.words)
+        again = fresh.intersection(self.older) if self.older else set()
+        self.words.update((w, self.older[w]) for w in again)
+        self._learn(sorted(fresh - again))
+        self.words.update((w, self.words[base] + self.words[w[len(base) :]]) for w, base in bases.items())
         get = self.words.__getitem__
-        return [
-            np.frombuffer(b"".join(map(get, words)), "<u4") if words is not None else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-            for text, words in zip(texts, split, strict=True)
-        ]
+        return [np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(get, words)) for text, words in zip(texts, split, strict=True)]
+
+
+#: One tokenizer for each file in a Python worker, kept over the tasks that it runs.
+_OPENED: dict[str, WordTokens] = {}
+
+
+def _opened(path: str, memory: int) -> WordTokens:
+    if path not in _OPENED:
+        _OPENED[path] = WordTokens(path, memory)
+    _OPENED[path].memory = memory
+    return _OPENED[path]
 
 
 _PIECES = "doc_key long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY_WORDS) -> DataFrame:
     """(doc_key, doc_id, piece, start, length, ids_crc32) of every row's whole text.
 
     A null or empty text is the end token alone. Only texts of more than
-    ``capacity`` tokens are cut. doc_key tells repeated rows apart.
+    ``capacity`` tokens are cut. doc_key tells repeated rows apart. ``memory``: words
+    that a Python worker remembers; it changes speed, not results.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(tokenizer_path)
-        end = np.array([end_id], "<u4")
+        tokens, end, width = _opened(tokenizer_path, memory), np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
-            rows = []
-            keys, ids = batch.column("doc_key").to_pylist(), batch.column("doc_id").to_pylist()
+            sizes, sums = [], array("q")
             texts = ((x.as_py() or "") for x in batch.column("text"))
-            got_all = (got for some in iter(lambda: list(islice(texts, 256)), []) for got in tokens(some))
-            for key, doc_id, got in zip(keys, ids, got_all, strict=True):
-                got = np.concatenate([got, end])
-                for piece, start in enumerate(range(0, len(got), capacity)):
-                    part = got[start : start + capacity]
-                    rows.append((key, doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_key", "doc_id", "piece", "start", "length", "ids_crc32"])
+            for data in (got + end for some in iter(lambda: list(islice(texts, 256)), []) for got in tokens(some)):  # noqa: B023
+                sizes.append(len(data) // 4)
+                if len(data) <= width:
+                    sums.append(zlib.crc32(data))
+                else:
+                    view = memoryview(data)
+                    sums.extend(zlib.crc32(view[i : i + width]) for i in range(0, len(data), width))
+            size = np.array(sizes, np.int64)
+            pieces = -(-size // capacity)
+            of = np.repeat(np.arange(len(size)), pieces)
+            piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            columns = [batch.column("doc_key").take(pa.array(of)), batch.column("doc_id").take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start), pa.array(np.minimum(size[of] - start, capacity)), pa.array(np.frombuffer(sums, np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_key", "doc_id", "piece", "start", "length", "ids_crc32"])
 
     scan = docs.select(F.monotonically_increasing_id().alias("doc_key"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return scan.mapInArrow(run, _PIECES)
@@ -332,7 +362,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return rows.mapInArrow(run, schema).drop("rank").unionByName(alone)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memory: int = MEMORY_WORDS) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null text is empty; an empty table gives no rows; repeated rows are packed each
@@ -342,7 +372,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity:
         import public_tokenizers
 
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
-    pieces = stored(token_pieces(docs, tokenizer_path, capacity))
+    pieces = stored(token_pieces(docs, tokenizer_path, capacity, memory=memory))
     return pack(pieces, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

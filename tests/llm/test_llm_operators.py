@@ -192,6 +192,16 @@ def test_packing(spark, docs):
     assert packing.pack_documents(df.limit(0)).count() == 0
 
 
+def test_word_tokens_equal_the_tokenizer():
+    import public_tokenizers
+
+    tokens, rng = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json")), random.Random(1)
+    texts = ["".join(rng.choices("aé中'sStTlL .,!?#&*\x01Σİ \n\t12½ß\u0301ñ\x1c-_’s", k=rng.randrange(60))) for _ in range(3000)]
+    for some in (texts[:1500], texts[1500:], texts[:1500]):
+        for text, got in zip(some, tokens(some), strict=True):
+            assert np.frombuffer(got, "<u4").tolist() == tokens.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def packed_right(lengths, demand, got):
     held = np.zeros(len(lengths), np.int64)
     for counts, times in got.plans:
@@ -205,7 +215,7 @@ def lengths_of_documents(sf_dir):
     import public_tokenizers
 
     tokens = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
-    sizes = np.array([len(x) + 1 for x in tokens([r["text"] or "" for r in table(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")])])
+    sizes = np.array([len(x) // 4 + 1 for x in tokens([r["text"] or "" for r in table(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")])])
     return np.unique(sizes[sizes % packing.CAPACITY > 0] % packing.CAPACITY, return_counts=True)
 
 
