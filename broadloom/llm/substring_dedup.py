@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import stored
+from broadloom.llm.common import drop_stored, stored
 from broadloom.llm.components import compare_blocks
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -126,19 +126,21 @@ def _window_minima(keys: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(m[: len(m) - rest], m[rest:]) if rest else m
 
 
-def compact_windows(hashes: np.ndarray, text_of: np.ndarray, how: Hashing, bounds: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compact_windows(hashes: np.ndarray, text_of: np.ndarray, how: Hashing, bounds: bool = True, last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, l, c, r) of the compact windows of texts laid end to end.
 
     ``hashes`` are token hashes, ``text_of`` the text of each token, rising. A node
     of the Cartesian tree spans ``span`` tokens if and only if it is the minimum of
     some run of ``span``, and the nearest smaller tokens on both sides of such a node
     are such nodes themselves or lie outside the text; so the tree is built on the
-    run minima alone.
+    run minima alone. Tokens marked ``last`` come after all others in the order of hashes.
     """
     none = np.empty(0, np.int64)
     if len(hashes) < how.span:
         return none.astype(np.uint64), none, none, none
     seeded = _mix(hashes ^ np.uint64(how.seed * 0x632BE59BD9B4E019 % (1 << 64)))
+    if last is not None:
+        seeded[last] = np.uint64((1 << 64) - 1)
     place = np.arange(len(hashes), dtype=np.uint64)
     low = np.uint64((1 << _PLACE_BITS) - 1)
     minima = _window_minima((seeded & ~low) | place, how.span)
@@ -175,11 +177,24 @@ def _stretched(own: np.ndarray, h: np.ndarray, place: np.ndarray) -> tuple[np.nd
     return first[by], (place[last] - place[first])[by]
 
 
-#: A window's place, and how much farther on it was last repeated, in one number.
-_EXTENT_BITS = 28
+#: Whether a window is near its text's end, its place, and how much farther on it was last repeated, in one number.
+_EXTENT_BITS, _END_BIT = 28, 56
 _PACKED = "hash long, doc_id long, pack long"
 
 
+def _same_word_ends(words: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+    """For each place where the stretch of its word, said over and over, ends (exclusive)."""
+    change = np.flatnonzero((np.diff(words) != 0) | (np.diff(text_of) != 0)) + 1
+    ends = np.append(change, len(words))
+    return ends[np.searchsorted(change, np.arange(len(words)), side="right")]
+
+
+def _same_word_starts(words: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+    """For each place where the stretch of its word, said over and over, begins."""
+    change = np.flatnonzero((np.diff(words) != 0) | (np.diff(text_of) != 0)) + 1
+    return np.append(0, change)[np.searchsorted(change, np.arange(len(words)), side="right")]
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
     for batch in batches:
@@ -192,18 +207,25 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = np.array(part.column("doc_id").to_pylist(), np.int64)
             if len(of) < SEED_WORDS:
                 continue
-            whole = np.flatnonzero(of[: len(of) - SEED_WORDS + 1] == of[SEED_WORDS - 1 :])  # tokens inside one text
-            tokens = _runs(_shingled(np.concatenate(words)), SEED.shingles)[whole]
-            h, _, c, _ = compact_windows(tokens, of[whole], SEED, bounds=False)
-            own = of[whole[c]]
+            # tokens inside one text that is long enough for a passage
+            whole = np.flatnonzero((of[: len(of) - SEED_WORDS + 1] == of[SEED_WORDS - 1 :]) & (sizes[of[SEED_WORDS - 1 :]] >= PASSAGE_WORDS))
+            flat = np.concatenate(words)
+            tokens = _runs(_shingled(flat), SEED.shingles)[whole]
+            ends = _same_word_ends(flat, of)[whole]
+            one_word = ends - whole >= SEED_WORDS
+            h, _, c, _ = compact_windows(tokens, of[whole], SEED, bounds=False, last=one_word)
+            # one word said over and over is a passage by itself or not worth a window: it adds one shingle to what lies around it
+            c = c[~one_word[c] | (_same_word_starts(flat, of)[whole[c]] + PASSAGE_WORDS <= ends[c])]
+            h, own = tokens[c], of[whole[c]]
             place = whole[c] - starts[own]
             keep, extent = _stretched(own, h, place)
             own, place, h = own[keep], place[keep], h[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[own]), pa.array(((place << _EXTENT_BITS) + extent).astype(np.int64))], ["hash", "doc_id", "pack"])
+            near_end = place + extent + SEED_WORDS + PASSAGE > sizes[own]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[own]), pa.array(((near_end.astype(np.int64) << _END_BIT) + (place << _EXTENT_BITS) + extent).astype(np.int64))], ["hash", "doc_id", "pack"])
 
 
 def _place(pack: F.Column) -> F.Column:
-    return F.shiftright(pack, _EXTENT_BITS).cast("int")
+    return F.shiftright(pack, _EXTENT_BITS).bitwiseAND((1 << _EXTENT_BITS) - 1).cast("int")
 
 
 def _extent(pack: F.Column) -> F.Column:
@@ -213,7 +235,7 @@ def _extent(pack: F.Column) -> F.Column:
 def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(windows, runs, open): windows of shared hashes, and what they say at once and what is to be verified.
 
-    ``windows`` (hash, doc_id, c, extent, rep_id, rep_c): every window of a hash that
+    ``windows`` (hash, doc_id, c, extent, near_end, rep_id, rep_c): every window of a hash that
     two documents have, with the first document and place of the hash. ``runs``
     (doc_id, rep_id, start_word, end_word, shift): windows on one diagonal of a pair
     of texts that overlap or touch are an interval of equal words; those of a
@@ -221,12 +243,15 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     shingles: what lies around runs near each other that are not one such interval.
     """
     windows = stored(docs.select("doc_id", "text").mapInArrow(_windows, _PACKED))
-    # keys are reduced to their least and greatest document before they are joined back
-    shared = windows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).filter("top > low").select("hash")
+    # keys are reduced to their least and greatest document before they are joined back; stored, so that the join has
+    # a shuffle of its own on both sides and a frequent key can be split in it
+    shared = stored(windows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).filter("top > low").select("hash"))
     hit = stored(windows.join(shared, "hash"))
+    drop_stored(windows)
+    drop_stored(shared)
     first = stored(hit.groupBy("hash").agg(F.min(F.struct("doc_id", "pack")).alias("f")))
     p, q = F.col("pack"), F.col("f.pack")
-    rows = stored(hit.join(first, "hash").select("hash", "doc_id", _place(p).alias("c"), _extent(p).alias("extent"), F.col("f.doc_id").alias("rep_id"), _place(q).alias("rep_c"), _extent(q).alias("rep_extent")))
+    rows = stored(hit.join(first, "hash").select("hash", "doc_id", _place(p).alias("c"), _extent(p).alias("extent"), (F.shiftright(p, _END_BIT) > 0).alias("near_end"), F.col("f.doc_id").alias("rep_id"), _place(q).alias("rep_c"), _extent(q).alias("rep_extent")))
     line = Window.partitionBy("doc_id", "rep_id", "shift").orderBy("c")
     begins = F.coalesce((F.col("c") - F.lag("c").over(line) > SEED_WORDS).cast("int"), F.lit(1))
     repeats = F.greatest("extent", "rep_extent")
@@ -469,18 +494,35 @@ def _up(c: F.Column) -> F.Column:
     return (F.ceil((c + 5) / GRID) * GRID).cast("int")
 
 
+def _inside(found: DataFrame) -> DataFrame:
+    """(doc_id, start_word, end_word): the parts of texts that lie a passage's length inside found passages, each once.
+
+    The beginning of a text needs no distance; its end is the caller's matter.
+    """
+    start = F.when(F.col("start_word") > 0, F.col("start_word") + PASSAGE).otherwise(0)
+    parts = found.select("doc_id", start.alias("start_word"), (F.col("end_word") - PASSAGE).alias("end_word")).filter(F.col("end_word") + PASSAGE > F.col("start_word")).distinct()
+    by = Window.partitionBy("doc_id").orderBy("start_word", "end_word")
+    top = F.max("end_word").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce((F.col("start_word") > top).cast("int"), F.lit(1))
+    parts = parts.withColumn("new", new).withColumn("part", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    return stored(parts.groupBy("doc_id", "part").agg(F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word")).drop("part"))
+
+
 def _among_themselves(docs: DataFrame, rows: DataFrame, found: DataFrame) -> DataFrame:
     """Passages of windows that share none with the first window of their hash.
 
-    A window inside a passage of the first document is left to that; the others of
-    its hash, the first document's own further places too, meet in pairs of blocks.
+    A window inside a passage of the first document is left to that, and a window
+    that lies a passage's length inside what any document holds is done: what is to
+    be found there is found. The others of its hash, the first document's own further
+    places too, meet in pairs of blocks.
     """
-    r, t = rows.alias("r"), found.alias("t")
+    r, t, d = rows.alias("r"), found.alias("t"), _inside(found).alias("d")
     held = (F.col("r.doc_id") == F.col("t.doc_id")) & (F.col("r.rep_id") == F.col("t.rep_id")) & F.expr(f"r.c >= t.start_word AND r.c + {SHINGLE_WORDS} <= t.end_word")
-    alone = r.filter("doc_id > rep_id").join(t, held, "left_anti").unionByName(rows.filter("doc_id = rep_id AND c > rep_c"))
+    done = (F.col("r.doc_id") == F.col("d.doc_id")) & F.expr(f"r.c >= d.start_word AND r.c + {SEED_WORDS} <= d.end_word + IF(r.near_end, {PASSAGE}, 0)")
+    alone = r.filter("doc_id > rep_id").join(d, done, "left_anti").join(t, held, "left_anti").unionByName(rows.filter("doc_id = rep_id AND c > rep_c"))
     lo, hi = _down(F.col("c") - REACH), _up(F.col("c") + F.col("extent") + SEED.shingles + REACH)
     alone = stored(alone.select("hash", "doc_id", lo.alias("lo"), hi.alias("hi")).distinct())
-    keys = alone.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).filter("top > low").select("hash")
+    keys = stored(alone.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).filter("top > low").select("hash"))
     alone = stored(alone.join(keys, "hash").withColumn("region", F.xxhash64("doc_id", "lo", "hi")))
     cut = _cut(docs, alone.select("doc_id", "lo", "hi").distinct())
     facts = cut.select(F.xxhash64(F.col("region_doc"), "lo", "hi").alias("region"), F.col("region_doc").alias("doc_id"), "lo", "shingles")
