@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from broadloom.session import write_read
+
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 PROFILE_FIELDS = ["row_count", "null_count", "non_finite", "distinct_count", "min_value", "max_value", "mean_value", "stddev_value", "observed_domain"]
 
@@ -26,8 +28,10 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 def profile(counts: DataFrame) -> DataFrame:
     """One row per column: the PROFILE_FIELDS. Moments are over finite values, the deviation is the population's.
 
-    Distinct values exclude null and include NaN and infinities.
+    Distinct values exclude null and include NaN and infinities. The relation is stored,
+    as it is read for the means and again for the squares about them.
     """
+    counts = write_read(counts)
     x, n = F.col("number"), F.col("n")
     finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     fx = F.when(finite, x)
@@ -115,7 +119,8 @@ def identity_issues(df: DataFrame, key: str = "hash", split: str = "split_name")
     """
     k = F.lower(F.col(key))
     rows = df.filter(F.col(key).isNotNull()).select(k.alias("identity"), "source_file", "row_number", F.col(split).alias("split"))
-    first = rows.groupBy("identity").agg(F.min(F.struct("source_file", "row_number", "split")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # stored, so that the join has a shuffle of its own on both sides and a hot key can be split in it
+    first = write_read(rows.groupBy("identity").agg(F.min(F.struct("source_file", "row_number", "split")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     later = rows.join(first, "identity").filter((F.col("source_file") != F.col("first.source_file")) | (F.col("row_number") != F.col("first.row_number")))
     code = F.when(F.col("split").eqNullSafe(F.col("first.split")), "DUPLICATE").otherwise("SPLIT_OVERLAP")
     return later.select(code.alias("code"), "identity", "source_file", "row_number", "split", F.col("first.split").alias("first_split"))

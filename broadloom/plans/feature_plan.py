@@ -18,11 +18,38 @@ OPS: dict[str, tuple[tuple[str, ...], Callable[[Column, dict], Column], Callable
 _NEVER = lambda x, p: F.lit(False)
 
 
-def register(op: str, params: tuple[str, ...], value: Callable[[Column, dict], Column], failed: Callable[[Column, dict], Column] = _NEVER) -> None:
-    """Adds an operation; an operation that exists cannot be replaced."""
+#: op -> how two implementations of it may differ: exactly equal, or numbers within a relative tolerance.
+EQUIVALENCE: dict[str, float] = {}
+#: model_ref -> a function from a column to scores; a reference is bound once.
+MODELS: dict[str, Callable[[Column], Column]] = {}
+
+
+def register(op: str, params: tuple[str, ...], value: Callable[[Column, dict], Column], failed: Callable[[Column, dict], Column] = _NEVER, tolerance: float = 0.0) -> None:
+    """Adds an operation; an operation that exists cannot be replaced. ``tolerance`` is its equivalence policy."""
     if op in OPS:
         raise ValueError(f"operation exists: {op}")
-    OPS[op] = (params, value, failed)
+    if tolerance < 0:
+        raise ValueError(f"{op}: the tolerance is negative")
+    OPS[op], EQUIVALENCE[op] = (params, value, failed), tolerance
+
+
+def register_model(ref: str, score: Callable[[Column], Column]) -> None:
+    """Binds a model reference (name@version) to a scorer, for good."""
+    if "@" not in ref:
+        raise ValueError(f"no version: {ref}")
+    if ref in MODELS:
+        raise ValueError(f"the reference is bound: {ref}")
+    MODELS[ref] = score
+
+
+def not_equivalent(df: DataFrame, op: str, params: dict, column: str, other: Callable[[Column, dict], Column]) -> DataFrame:
+    """Rows of ``df`` where another implementation of an operation breaks its equivalence policy: null against a value, or too far."""
+    a, b = OPS[op][1](F.col(column), params), other(F.col(column), params)
+    far = ~a.eqNullSafe(b)
+    if EQUIVALENCE[op]:
+        near = F.abs(a - b) <= EQUIVALENCE[op] * F.greatest(F.abs(a), F.abs(b))
+        far &= ~F.coalesce(near, F.lit(False))
+    return df.filter(far)
 
 
 register("identity", (), lambda x, p: x)
@@ -30,7 +57,8 @@ register("cast", ("to",), lambda x, p: S.safe_cast(x, p["to"]), lambda x, p: S.c
 register("positive_presence", (), lambda x, p: S.presence(x))
 register("fill_null", ("value",), lambda x, p: S.fill_null(x, p["value"]))
 register("clip", ("min", "max"), lambda x, p: S.clip(x, p["min"], p["max"]))
-register("log1p_nonnegative", (), lambda x, p: S.log1p_nonnegative(x), lambda x, p: S.log1p_failed(x))
+register("log1p_nonnegative", (), lambda x, p: S.log1p_nonnegative(x), lambda x, p: S.log1p_failed(x), 1e-12)
+register("model", ("model_ref",), lambda x, p: MODELS[p["model_ref"]](x), tolerance=1e-9)
 register("stable_hash", ("seed", "num_buckets", "null_bucket"), lambda x, p: S.stable_hash_bucket(x.cast("string"), p["seed"], p["num_buckets"], p["null_bucket"]))
 
 
@@ -82,6 +110,8 @@ class FeaturePlan:
                 raise ValueError(f"{n.id}: unknown operation {n.op}")
             if absent := [p for p in OPS[n.op][0] if p not in n.params]:
                 raise ValueError(f"{n.id}: parameters missing: {absent}")
+            if n.op == "model" and n.params["model_ref"] not in MODELS:
+                raise ValueError(f"{n.id}: unknown model {n.params['model_ref']}")
             if n.missing == "constant" and n.constant is None:
                 raise ValueError(f"{n.id}: no constant")
             by_id[n.id] = n

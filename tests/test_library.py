@@ -244,3 +244,25 @@ def test_dictionary_payloads_are_bounded(spark):
     got = sources._payloads(parts, 500).collect()
     sizes = [len(r.features) for r in got if r.features]
     assert sum(sizes) == 4000 and max(sizes) <= 500 and sorted(c.name for r in got for c in r.categories or []) == ["b0", "b1"]
+
+
+def test_asof_in_cells_equals_plain(spark):
+    rng = __import__("random").Random(4)
+    points = [(i, rng.randrange(3), rng.randrange(1000)) for i in range(300)] + [(900, None, 5), (901, 1, None)]
+    features = {(rng.randrange(3), rng.randrange(1000)): k for k in range(60)}
+    p = spark.createDataFrame(points, "id int, k int, s long").withColumn("at", F.timestamp_seconds("s"))
+    f = spark.createDataFrame([(*a, v) for a, v in features.items()], "k int, s long, v int").withColumn("available", F.timestamp_seconds("s")).drop("s")
+    got = {r.id: r.v for r in windows.asof_join(p, f, "k", "at", "available", ["v"], cell_us=50_000_000).collect()}
+    for i, k, s in points:
+        known = [(t, v) for (key, t), v in features.items() if key == k and s is not None and t <= s]
+        assert got[i] == (max(known)[1] if known else None)
+    assert windows.asof_join(p.limit(0), f, "k", "at", "available", ["v"]).count() == 0
+
+
+def test_trailing_sides_share_one_scan_and_keep_columns(spark):
+    path = scratch(spark)
+    spark.range(50).selectExpr("id % 2 k", "timestamp_seconds(id) ts", "id v", "id own", "id cell").write.parquet(path)
+    out = windows.trailing_sums_split(spark.read.parquet(path), "k", "ts", "v", 5_000_000, {c: c for c in windows.CLOSED})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert out.filter("own <> v OR cell <> v").isEmpty() and out.count() == 50
