@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import drop_stored, stored
+from broadloom.llm.common import drop_stored, sized_join, stored
 from broadloom.llm.components import compare_blocks
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -55,8 +55,8 @@ SEED = Hashing(11, 11, 1)
 SEED_WORDS = SEED.shingles + SHINGLE_WORDS - 1
 #: Shingles to both sides of a window or run that are looked at.
 REACH = 2 * PASSAGE
-#: Windows of a hash that meet in one task.
-BLOCK_ROWS = 256
+#: Windows of a hash in a block; two blocks meet in one task.
+BLOCK_ROWS = 64
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PLACE_BITS = 28
 _CACHE_WORDS = 400_000
@@ -182,17 +182,11 @@ _EXTENT_BITS, _END_BIT = 28, 56
 _PACKED = "hash long, doc_id long, pack long"
 
 
-def _same_word_ends(words: np.ndarray, text_of: np.ndarray) -> np.ndarray:
-    """For each place where the stretch of its word, said over and over, ends (exclusive)."""
-    change = np.flatnonzero((np.diff(words) != 0) | (np.diff(text_of) != 0)) + 1
-    ends = np.append(change, len(words))
-    return ends[np.searchsorted(change, np.arange(len(words)), side="right")]
-
-
-def _same_word_starts(words: np.ndarray, text_of: np.ndarray) -> np.ndarray:
-    """For each place where the stretch of its word, said over and over, begins."""
-    change = np.flatnonzero((np.diff(words) != 0) | (np.diff(text_of) != 0)) + 1
-    return np.append(0, change)[np.searchsorted(change, np.arange(len(words)), side="right")]
+def _same_word_runs(words: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place where the stretch of its word, said over and over, begins and ends (exclusive)."""
+    bounds = np.concatenate([[0], np.flatnonzero((np.diff(words) != 0) | (np.diff(text_of) != 0)) + 1, [len(words)]])
+    sizes = np.diff(bounds)
+    return np.repeat(bounds[:-1], sizes), np.repeat(bounds[1:], sizes)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,11 +205,11 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole = np.flatnonzero((of[: len(of) - SEED_WORDS + 1] == of[SEED_WORDS - 1 :]) & (sizes[of[SEED_WORDS - 1 :]] >= PASSAGE_WORDS))
             flat = np.concatenate(words)
             tokens = _runs(_shingled(flat), SEED.shingles)[whole]
-            ends = _same_word_ends(flat, of)[whole]
+            begins, ends = (x[whole] for x in _same_word_runs(flat, of))
             one_word = ends - whole >= SEED_WORDS
             h, _, c, _ = compact_windows(tokens, of[whole], SEED, bounds=False, last=one_word)
             # one word said over and over is a passage by itself or not worth a window: it adds one shingle to what lies around it
-            c = c[~one_word[c] | (_same_word_starts(flat, of)[whole[c]] + PASSAGE_WORDS <= ends[c])]
+            c = c[~one_word[c] | (ends[c] - begins[c] >= PASSAGE_WORDS)]
             h, own = tokens[c], of[whole[c]]
             place = whole[c] - starts[own]
             keep, extent = _stretched(own, h, place)
@@ -482,7 +476,7 @@ def _meet(prepared: dict, rows: slice, second: np.ndarray | None) -> dict[str, n
 def _cut(docs: DataFrame, regions: DataFrame) -> DataFrame:
     """(region_doc, lo, hi, shingles) of the distinct ``regions`` (doc_id, lo, hi)."""
     wanted = stored(regions.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("wanted")))  # bounded by the document's own length
-    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted")  # wanted grows with the table
+    texts = sized_join(docs, wanted, ["doc_id"], "inner").select("doc_id", "text", "wanted")  # wanted grows with the table
     return stored(texts.mapInArrow(_region, "region_doc long, lo int, hi int, shingles array<int>").dropDuplicates(["region_doc", "lo", "hi"]))
 
 
