@@ -62,7 +62,7 @@ class Ordinal:
     limit: float = 0.5
 
     def scores(self, features: list[np.ndarray]) -> np.ndarray:
-        sizes = np.array([len(f) for f in features])
+        sizes = np.array([len(f) for f in features], np.int64)
         flat = np.concatenate(features) if len(features) else np.empty(0, np.int32)
         sums = np.bincount(np.repeat(np.arange(len(features)), sizes), weights=self.weights[flat], minlength=len(features))
         return sums / np.sqrt(np.maximum(sizes, 1))
