@@ -177,8 +177,8 @@ def _stretched(own: np.ndarray, h: np.ndarray, place: np.ndarray) -> tuple[np.nd
     return first[by], (place[last] - place[first])[by]
 
 
-#: Whether a window is near its text's end, its place, and how much farther on it was last repeated, in one number.
-_EXTENT_BITS, _END_BIT = 28, 56
+#: The words after a window that matter (a passage's length at most), its place, and how much farther on it was last repeated, in one number.
+_EXTENT_BITS, _TAIL_BIT = 28, 56
 _PACKED = "hash long, doc_id long, pack long"
 
 
@@ -214,8 +214,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             place = whole[c] - starts[own]
             keep, extent = _stretched(own, h, place)
             own, place, h = own[keep], place[keep], h[keep]
-            near_end = place + extent + SEED_WORDS + PASSAGE > sizes[own]
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[own]), pa.array(((near_end.astype(np.int64) << _END_BIT) + (place << _EXTENT_BITS) + extent).astype(np.int64))], ["hash", "doc_id", "pack"])
+            tail = np.minimum(sizes[own] - (place + extent + SEED_WORDS), PASSAGE)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[own]), pa.array(((tail.astype(np.int64) << _TAIL_BIT) + (place << _EXTENT_BITS) + extent).astype(np.int64))], ["hash", "doc_id", "pack"])
 
 
 def _place(pack: F.Column) -> F.Column:
@@ -229,7 +229,7 @@ def _extent(pack: F.Column) -> F.Column:
 def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(windows, runs, open): windows of shared hashes, and what they say at once and what is to be verified.
 
-    ``windows`` (hash, doc_id, c, extent, near_end, rep_id, rep_c): every window of a hash that
+    ``windows`` (hash, doc_id, c, extent, tail, rep_id, rep_c): every window of a hash that
     two documents have, with the first document and place of the hash. ``runs``
     (doc_id, rep_id, start_word, end_word, shift): windows on one diagonal of a pair
     of texts that overlap or touch are an interval of equal words; those of a
@@ -245,7 +245,7 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     drop_stored(shared)
     first = stored(hit.groupBy("hash").agg(F.min(F.struct("doc_id", "pack")).alias("f")))
     p, q = F.col("pack"), F.col("f.pack")
-    rows = stored(hit.join(first, "hash").select("hash", "doc_id", _place(p).alias("c"), _extent(p).alias("extent"), (F.shiftright(p, _END_BIT) > 0).alias("near_end"), F.col("f.doc_id").alias("rep_id"), _place(q).alias("rep_c"), _extent(q).alias("rep_extent")))
+    rows = stored(hit.join(first, "hash").select("hash", "doc_id", _place(p).alias("c"), _extent(p).alias("extent"), F.shiftright(p, _TAIL_BIT).cast("int").alias("tail"), F.col("f.doc_id").alias("rep_id"), _place(q).alias("rep_c"), _extent(q).alias("rep_extent")))
     line = Window.partitionBy("doc_id", "rep_id", "shift").orderBy("c")
     begins = F.coalesce((F.col("c") - F.lag("c").over(line) > SEED_WORDS).cast("int"), F.lit(1))
     repeats = F.greatest("extent", "rep_extent")
@@ -491,7 +491,7 @@ def _up(c: F.Column) -> F.Column:
 def _inside(found: DataFrame) -> DataFrame:
     """(doc_id, start_word, end_word): the parts of texts that lie a passage's length inside found passages, each once.
 
-    The beginning of a text needs no distance; its end is the caller's matter.
+    The beginning of a text needs no distance; how much its end needs is the caller's matter.
     """
     start = F.when(F.col("start_word") > 0, F.col("start_word") + PASSAGE).otherwise(0)
     parts = found.select("doc_id", start.alias("start_word"), (F.col("end_word") - PASSAGE).alias("end_word")).filter(F.col("end_word") + PASSAGE > F.col("start_word")).distinct()
@@ -512,7 +512,7 @@ def _among_themselves(docs: DataFrame, rows: DataFrame, found: DataFrame) -> Dat
     """
     r, t, d = rows.alias("r"), found.alias("t"), _inside(found).alias("d")
     held = (F.col("r.doc_id") == F.col("t.doc_id")) & (F.col("r.rep_id") == F.col("t.rep_id")) & F.expr(f"r.c >= t.start_word AND r.c + {SHINGLE_WORDS} <= t.end_word")
-    done = (F.col("r.doc_id") == F.col("d.doc_id")) & F.expr(f"r.c >= d.start_word AND r.c + {SEED_WORDS} <= d.end_word + IF(r.near_end, {PASSAGE}, 0)")
+    done = (F.col("r.doc_id") == F.col("d.doc_id")) & F.expr(f"r.c >= d.start_word AND r.c + r.extent + {SEED_WORDS} + r.tail <= d.end_word + {PASSAGE}")
     alone = r.filter("doc_id > rep_id").join(d, done, "left_anti").join(t, held, "left_anti").unionByName(rows.filter("doc_id = rep_id AND c > rep_c"))
     lo, hi = _down(F.col("c") - REACH), _up(F.col("c") + F.col("extent") + SEED.shingles + REACH)
     alone = stored(alone.select("hash", "doc_id", lo.alias("lo"), hi.alias("hi")).distinct())
