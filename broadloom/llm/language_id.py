@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import pickle
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,9 +22,7 @@ from pyspark.sql import functions as F
 
 from broadloom.llm.common import keep_rows, row_key, sized_join, stored
 
-# word characters without digits, other numbers and the low line, which is what str.isalpha holds for
-_NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+LETTERS = re.compile(r"[^\W\d_]+")
 ORDER = 5
 DISCOUNT = 0.75
 #: Bound of the sample that the models are fitted and calibrated on: documents for each language.
@@ -38,8 +35,12 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased."""
-    return LETTERS.findall((text or "").lower())
+    """Runs of letters (str.isalpha), lower-cased."""
+    found = LETTERS.findall((text or "").lower())
+    if all(map(str.isalpha, found)):
+        return found
+    # fractions, powers and the like are word characters, but no letters
+    return [part for word in found for part in "".join(c if c.isalpha() else " " for c in word).split()]
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
