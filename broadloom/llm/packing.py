@@ -116,12 +116,13 @@ def _opened(path: str, memory: int) -> WordTokens:
 _PIECES = "doc_key long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY_WORDS) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY_WORDS, keep: bool = True) -> DataFrame:
     """(doc_key, doc_id, piece, start, length, ids_crc32) of every row's whole text.
 
     A null or empty text is the end token alone. Only texts of more than
     ``capacity`` tokens are cut. doc_key tells repeated rows apart. ``memory``: words
-    that a Python worker remembers; it changes speed, not results.
+    that a Python worker remembers, ``keep``: whether it holds on to them and to the
+    tokenizer between tasks; they change speed, not results.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,6 +144,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
             start = piece * capacity
             columns = [batch.column("doc_key").take(pa.array(of)), batch.column("doc_id").take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start), pa.array(np.minimum(size[of] - start, capacity)), pa.array(np.frombuffer(sums, np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_key", "doc_id", "piece", "start", "length", "ids_crc32"])
+        if not keep:
+            _OPENED.pop(tokenizer_path, None)
 
     scan = docs.select(F.monotonically_increasing_id().alias("doc_key"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return scan.mapInArrow(run, _PIECES)
@@ -362,7 +365,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return rows.mapInArrow(run, schema).drop("rank").unionByName(alone)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memory: int = MEMORY_WORDS) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memory: int = MEMORY_WORDS, keep: bool = True) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null text is empty; an empty table gives no rows; repeated rows are packed each
@@ -372,7 +375,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity:
         import public_tokenizers
 
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
-    pieces = stored(token_pieces(docs, tokenizer_path, capacity, memory=memory))
+    pieces = stored(token_pieces(docs, tokenizer_path, capacity, memory=memory, keep=keep))
     return pack(pieces, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
