@@ -49,9 +49,10 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null text counts as empty and is the end token alone; repeated rows are packed each
     for itself; an empty table gives no pieces; other columns are not read. Few words are
-    remembered, as the workers of earlier stages hold memory of their own.
+    remembered and nothing is held between tasks, as workers of the stages hold memory of
+    their own.
     """
-    return packing.pack_documents(docs, memory=100_000)
+    return packing.pack_documents(docs, memory=100_000, keep=False)
 
 
 STAGES = [("language_id", language), ("exact_dedup", exact), ("simhash_dedup", near), ("secret_redaction", secret), ("packing", packed)]
