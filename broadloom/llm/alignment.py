@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
 import os
 import re
@@ -32,10 +33,8 @@ from pyspark.sql import functions as F
 
 from broadloom.llm.common import stored
 
-#: Words whose ids a task remembers (twice as many at most), the longest of them, and characters tokenized at a time.
-CACHE_WORDS, CACHE_CHARS, CHUNK_CHARS = 250_000, 64, 1 << 20
-#: A block of documents is closed once its words, and the links of its different words, are so many.
-BLOCK_SIZE = 2_000_000
+#: A block of documents is closed once it has so many characters; so many of its words are aligned at a time and tokenized in one text.
+BLOCK_CHARS, SLICE, TOGETHER = 16_000_000, 20_000, 500
 #: Places before a space at which neither tokenizer lets a token go on.
 _CUT = re.compile(r"(?<! )(?= \S)")
 _SPACES = re.compile(r"\s\s|^\s|\s$").search
@@ -143,21 +142,23 @@ def align_ends(ends_a: list[int], ends_b: list[int]) -> Alignment:
     return out
 
 
-class Word(NamedTuple):
-    """What a word adds to each text that holds it: its groups as text, the codes of its links (int64 bytes), its counts."""
+class Words(NamedTuple):
+    """Aligned words in an order of their own: what each adds to a text that holds it."""
 
-    groups: str
-    codes: bytes
-    n_a: int
-    n_b: int
-    n_groups: int
+    place: np.ndarray  # of each word given, -1 where a tokenizer does not give its bytes back
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    codes: np.ndarray  # of the links of all words, A's id times B's size plus B's id
+    groups: list[str]
 
 
 class Aligner:
     """Tokenizes texts with both files and aligns them.
 
-    Neither tokenizer lets a token cross a single space before a word, so the words
-    that a task has not seen are aligned together, as one text, and remembered.
+    Neither tokenizer lets a token cross a single space before a word, so the
+    different words of many texts are aligned once, together, as one text.
     """
 
     def __init__(self, path_a: str, path_b: str):
@@ -166,17 +167,18 @@ class Aligner:
         self.width_a = np.array([len(t) for t in self.a.tokens])
         self.width_b = np.array([len(t) for t in self.b.tokens])
         self.decimal = [str(i) for i in range(max(len(self.a.tokens), self.size_b))]
-        self.known: dict[str, Word | None] = {}
-        self.older: dict[str, Word | None] = {}
+
+    def _same(self, text: str, ids_a: list[int], ids_b: list[int]) -> bool:
+        """Whether both sides' bytes are those of a space and the text."""
+        data = b" " + text.encode()
+        return data == b"".join(map(self.a.tokens.__getitem__, ids_a)) and data == b"".join(map(self.b.tokens.__getitem__, ids_b))
 
     def tokenize(self, text: str) -> tuple[list[int], list[int]] | None:
         """Ids by A of a space and the text, and by B of the text; None if a side's bytes are not those of the space and text."""
         if not text:
             return None
         (ids_a,), (ids_b,) = self.a.encode([text]), self.b.encode([text])
-        data = b" " + text.encode()
-        same = data == b"".join(map(self.a.tokens.__getitem__, ids_a)) and data == b"".join(map(self.b.tokens.__getitem__, ids_b))
-        return (ids_a, ids_b) if same else None
+        return (ids_a, ids_b) if self._same(text, ids_a, ids_b) else None
 
     def align(self, ids_a: list[int], ids_b: list[int]) -> Alignment:
         return align_ends(np.cumsum(self.width_a[ids_a]).tolist(), np.cumsum(self.width_b[ids_b]).tolist())
@@ -191,68 +193,62 @@ class Aligner:
             i, j = p, q
         return out
 
-    def _aligned(self, words: list[str]) -> list[Word | None]:
-        """Each word's share of the alignment of all of them with a space before each; None where bytes are not given back."""
-        got = self.tokenize(" ".join(words))
-        if got is None:
-            if len(words) == 1:
-                return [None]
-            half = len(words) // 2
-            return self._aligned(words[:half]) + self._aligned(words[half:])
-        found = self.align(*got)
-        a, b = (np.array(x, np.int64) for x in got)
-        ends_a, ends_b = np.cumsum(self.width_a[a]), np.cumsum(self.width_b[b])
-        link_a, link_b = np.array(found.link_a), np.array(found.link_b)
-        codes = a[link_a] * self.size_b + b[link_b]
-        ends = np.cumsum([1 + len(w.encode()) for w in words])
-        cuts = [np.append(0, np.searchsorted(x, ends, "right")).tolist() for x in (ends_a, ends_b, ends_a[np.array(found.group_a) - 1], np.minimum(ends_a[link_a], ends_b[link_b]))]
-        groups = self._groups(*got, found)
-        at_a, at_b, at_group, at_link = cuts
-        return [
-            Word(";".join(groups[at_group[k] : at_group[k + 1]]), codes[at_link[k] : at_link[k + 1]].tobytes(), at_a[k + 1] - at_a[k], at_b[k + 1] - at_b[k], at_group[k + 1] - at_group[k])
-            for k in range(len(words))
-        ]
-
-    def words(self, texts: list[str]) -> list[tuple[list[str], list[Word]] | None]:
-        """The words of each text and what they add to it; None for texts without tokens."""
-        split = [[] if not t else [w[1:] for w in _CUT.split(" " + t) if w] if _SPACES(t) else t.split(" ") for t in texts]
-        missing = {w for words in split for w in words} - self.known.keys()
-        found = {w: self.older[w] for w in missing & self.older.keys()}
-        fresh = sorted(missing - found.keys())
+    def _encoded(self, words: list[str]) -> tuple[list[int], list[int], list[int]]:
+        """Indices of the words that both sides give back, in the order taken, and the ids of these words."""
         # a word that starts or ends with a space, or starts with white space, would be cut otherwise beside others
-        plain = [w for w in fresh if not w[0].isspace() and w[-1] != " "]
-        found |= zip(plain, self._aligned(plain) if plain else [], strict=True)
-        for w in fresh:
-            if w not in found:
-                (found[w],) = self._aligned([w])
-        out: list[tuple[list[str], list[Word]] | None] = []
-        known = self.known
-        for words in split:
-            parts = [known[w] if w in known else found[w] for w in words]
-            out.append((words, parts) if parts and None not in parts else None)
-        known.update((w, part) for w, part in found.items() if len(w) <= CACHE_CHARS)
-        if len(known) > CACHE_WORDS:
-            self.known, self.older = {}, known
-        return out
+        odd = [k for k, w in enumerate(words) if w[:1].isspace() or w[-1:] in ("", " ")]
+        alone = set(odd)
+        plain = [k for k in range(len(words)) if k not in alone] if odd else list(range(len(words)))
+        queue = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)] + [[k] for k in odd]
+        order: list[int] = []
+        ids_a: list[int] = []
+        ids_b: list[int] = []
+        while queue:
+            texts = [" ".join([words[k] for k in group]) for group in queue]
+            failed = []
+            for group, text, a, b in zip(queue, texts, self.a.encode(texts), self.b.encode(texts), strict=True):
+                if self._same(text, a, b):
+                    order += group
+                    ids_a += a
+                    ids_b += b
+                elif len(group) > 1:
+                    failed += [[k] for k in group]
+            queue = failed
+        return order, ids_a, ids_b
+
+    def align_words(self, words: list[str]) -> Words:
+        """The words aligned, SLICE of them at a time."""
+        slices = [self._align_slice(words[i : i + SLICE]) for i in range(0, max(len(words), 1), SLICE)]
+        base = np.append(0, np.cumsum([len(s.groups) for s in slices]))
+        place = np.concatenate([np.where(s.place < 0, -1, s.place + k) for s, k in zip(slices, base[:-1], strict=True)])
+        return Words(place, *(np.concatenate(x) for x in list(zip(*slices, strict=True))[1:6]), [g for s in slices for g in s.groups])
+
+    def _align_slice(self, words: list[str]) -> Words:
+        order, ids_a, ids_b = self._encoded(words)
+        place = np.full(len(words), -1)
+        place[order] = np.arange(len(order))
+        found = self.align(ids_a, ids_b)
+        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        ends_a, ends_b = np.cumsum(self.width_a[a]), np.cumsum(self.width_b[b])
+        link_a, link_b = np.array(found.link_a, np.int64), np.array(found.link_b, np.int64)
+        ends = np.cumsum([1 + len(words[k].encode()) for k in order])
+        group_ends = ends_a[np.array(found.group_a, np.int64) - 1]
+        cuts = [np.append(0, np.searchsorted(x, ends, "right")) for x in (ends_a, ends_b, group_ends, np.minimum(ends_a[link_a], ends_b[link_b]))]
+        groups, at = self._groups(ids_a, ids_b, found), cuts[2].tolist()
+        return Words(place, *map(np.diff, cuts), a[link_a] * self.size_b + b[link_b], [";".join(groups[i:j]) for i, j in itertools.pairwise(at)])
+
+
+def words_of(text: str) -> list[str]:
+    """Words that give the text when each has a space before it, but for the text's first space; no token crosses from word to word."""
+    return [w[1:] for w in _CUT.split(" " + text) if w] if _SPACES(text) else text.split(" ") if text else []
 
 
 @functools.lru_cache(maxsize=1)
 def _aligner(path_a: str, path_b: str) -> Aligner:
-    """One for a Python worker, whose tasks share the words it remembers."""
+    """One for a Python worker, as files are slow to open."""
     return Aligner(path_a, path_b)
 
 
-def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    start, size = 0, 0
-    for k, t in enumerate(texts):
-        size += len(t or "")
-        if size >= CHUNK_CHARS:
-            yield start, k + 1
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _paths(path_a: str | None, path_b: str | None) -> tuple[str, str]:
     if path_a is None or path_b is None:
         import public_tokenizers
@@ -274,12 +270,12 @@ def token_alignment(docs: DataFrame, path_a: str | None = None, path_b: str | No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(path_a, path_b)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, stop in _chunks(texts):
-                rows = [aligner.tokenize(t or "") or ([], []) for t in texts[start:stop]]
+            for i in range(0, batch.num_rows, 100):
+                part = batch.slice(i, 100)
+                rows = [aligner.tokenize(t or "") or ([], []) for t in part.column("text").to_pylist()]
                 found = [aligner.align(*g) for g in rows]
                 groups = [[{"a_end": p, "b_end": q} for p, q in zip(f.group_a, f.group_b, strict=True)] for f in found]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), pa.array([a for a, _ in rows], schema.types[1]), pa.array([b for _, b in rows], schema.types[2]), pa.array(groups, group)], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([a for a, _ in rows], schema.types[1]), pa.array([b for _, b in rows], schema.types[2]), pa.array(groups, group)], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids_a array<int>, ids_b array<int>, groups array<struct<a_end: int, b_end: int>>")
@@ -292,68 +288,62 @@ _DOC, _WORDS, _PAIRS = 0, 1, 2
 _ALIGNED = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("doc_id", pa.int64()), *((n, pa.int64()) for n in _COUNTS), ("groups_sha256", pa.string()), ("words", pa.list_(pa.int32())), ("codes", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 
 
+class _Numbers(dict):
+    """Numbers words in the order they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = len(self)
+        return len(self) - 1
+
+
 class _Block:
-    """Documents that stand together: the words they hold, by number, and how often."""
+    """Documents that stand together, as numbers of their words."""
 
     def __init__(self, number: int):
-        self.number, self.index, self.codes, self.held, self.size = number, {}, [], [], 0
-
-    def document(self, doc_id: int | None, got: tuple[list[str], list[Word]] | None) -> list:
-        if got is None:
-            return [self.number, _DOC, doc_id, 0, 0, 0, 0, "", [], [], []]
-        words, parts = got
-        index, codes = self.index, self.codes
-        numbers = []
-        for w, part in zip(words, parts, strict=True):
-            k = index.get(w)
-            if k is None:
-                k = index[w] = len(index)
-                codes.append(part.codes)
-                self.size += len(part.codes) // 8
-            numbers.append(k)
-        numbers = np.array(numbers, np.int32)
-        self.held.append(numbers)
-        self.size += len(numbers)
-        groups, links, n_a, n_b, n_groups = zip(*parts, strict=True)
-        sha = hashlib.sha256(";".join(groups).encode()).hexdigest()
-        return [self.number, _DOC, doc_id, sum(n_a), sum(n_b), sum(n_groups), sum(map(len, links)) // 8, sha, numbers, [], []]
-
-    def close(self) -> list[list]:
-        """Rows of the block's words and pairs."""
-        if not self.held:
-            return []
-        lengths = np.array([len(c) // 8 for c in self.codes], np.int32)
-        codes = np.frombuffer(b"".join(self.codes), np.int64)
-        often = np.bincount(np.concatenate(self.held), minlength=len(lengths))
-        pairs, place = np.unique(codes, return_inverse=True)
+        self.number, self.index, self.docs, self.chars = number, _Numbers(), [], 0
+
+    def add(self, doc_id: int | None, text: str) -> None:
+        words = words_of(text)
+        self.docs.append((doc_id, np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))))
+        self.chars += len(text)
+
+    def close(self, aligner: Aligner) -> Iterator[pa.RecordBatch]:
+        """Rows of the documents, of the block's words and of its pairs."""
+        if not self.docs:
+            return
+        words = aligner.align_words(list(self.index))
+        ids = [d for d, _ in self.docs]
+        numbers = [words.place[k] for _, k in self.docs]
+        numbers = [k if len(k) and k.min() >= 0 else k[:0] for k in numbers]
+        flat, n = np.concatenate(numbers).astype(np.int32), len(ids)
+        ends = np.append(0, np.cumsum([len(k) for k in numbers]))
+        facts = [np.diff(np.append(0, np.cumsum(x[flat]))[ends]) for x in (words.n_a, words.n_b, words.n_groups, words.n_links)]
+        group = words.groups.__getitem__
+        digests = [hashlib.sha256(";".join(map(group, k.tolist())).encode()).hexdigest() if len(k) else "" for k in numbers]
+        pairs, place = np.unique(words.codes, return_inverse=True)
         times = np.zeros(len(pairs), np.int64)
-        np.add.at(times, place, np.repeat(often, lengths))
-        none = [None] * 6
-        return [[self.number, _WORDS, *none, lengths, codes, []], [self.number, _PAIRS, *none, [], pairs, times]]
+        np.add.at(times, place, np.repeat(np.bincount(flat, minlength=len(words.groups)), words.n_links))
+        none = [[] for _ in ids]
+        columns = [[self.number] * n, [_DOC] * n, ids, *facts, digests, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())), none, none]
+        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, _ALIGNED.types, strict=True)], schema=_ALIGNED)
+        for kind, three in ((_WORDS, (words.n_links, words.codes, [])), (_PAIRS, ([], pairs, times))):
+            columns = [self.number, kind, *[None] * 6, *three]
+            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, _ALIGNED.types, strict=True)], schema=_ALIGNED)
 
 
 def _aligned(path_a: str, path_b: str):
-    """Rows of documents, and after each block of them those of the block's words and pairs."""
-
-    def table(rows: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(map(list, zip(*rows, strict=True)), _ALIGNED.types, strict=True)], schema=_ALIGNED)
+    """Blocks of the documents of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(path_a, path_b)
         block = _Block(TaskContext.get().partitionId() << 32)
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for start, stop in _chunks(texts):
-                out = []
-                for doc_id, got in zip(ids[start:stop], aligner.words([t or "" for t in texts[start:stop]]), strict=True):
-                    out.append(block.document(doc_id, got))
-                    if block.size >= BLOCK_SIZE:
-                        out += block.close()
-                        block = _Block(block.number + 1)
-                yield table(out)
-        out = block.close()
-        if out:
-            yield table(out)
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                block.add(doc_id, text.as_py() or "")
+                if block.chars >= BLOCK_CHARS:
+                    yield from block.close(aligner)
+                    block = _Block(block.number + 1)
+        yield from block.close(aligner)
 
     return run
 

@@ -80,43 +80,47 @@ def test_query_against_brute_force(spark, sf_dir):
     assert result(QUERIES["op11_alignment"](spark, sf_dir)) == sorted(brute(rows), key=repr)
 
 
-def test_cut_words_equal_whole_texts():
+def test_cut_words_equal_whole_texts(monkeypatch):
     rng = random.Random(3)
     alphabet = [" ", " ", " ", "\n", "\t", "\x1c", "\xa0", "　", "▁", "a", "the", "é", "é", "'s", "1", "23", "...", "<s>", "<unk>", "<0x41>", "<|endoftext|>", "\0", "語", "😀", "ﬁ", "don't", "\r\n", "​", "I'", "ll"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(12))) for _ in range(20_000)]
+    monkeypatch.setattr(A, "SLICE", 700)
     aligner, want = A.Aligner(*PATHS), whole_texts(texts)[0]
-    for t, got, ids in zip(texts, aligner.words(texts), want):
-        assert (got is None) == (ids is None), t
-        if got is not None:
-            assert ";".join(p.groups for p in got[1]) == ";".join(aligner._groups(*ids, aligner.align(*ids))), t
-            assert [sum(p.n_a for p in got[1]), sum(p.n_b for p in got[1])] == [len(ids[0]), len(ids[1])], t
+    split = [A.words_of(t) for t in texts]
+    assert all("".join(" " + w for w in words) == (" " + t if t else "") for words, t in zip(split, texts))
+    listed = sorted({w for words in split for w in words})
+    aligned = aligner.align_words(listed)
+    place = dict(zip(listed, aligned.place.tolist()))
+    for t, words, ids in zip(texts, split, want):
+        at = [place[w] for w in words]
+        assert (not at or min(at) < 0) == (ids is None), t
+        if ids is not None:
+            assert ";".join(aligned.groups[k] for k in at) == ";".join(aligner._groups(*ids, aligner.align(*ids))), t
+            assert [aligned.n_a[at].sum(), aligned.n_b[at].sum()] == [len(ids[0]), len(ids[1])], t
     assert sum(x is None for x in want) > 100 and sum(x is not None for x in want) > 5000
 
 
-def test_cache_generations_and_blocks_change_nothing(spark, monkeypatch):
+def test_blocks_change_nothing(spark, monkeypatch):
     rng = random.Random(5)
-    words = ["alpha", "beta", "gammadelta", "thing", "naïve", "42nd", "x"]
-    rows = [(k, " ".join(rng.choice(words) + str(rng.randrange(3)) for _ in range(rng.randrange(30)))) for k in range(60)]
-    aligner, few = A.Aligner(*PATHS), A.Aligner(*PATHS)
-    want = aligner.words([t for _, t in rows])
-    monkeypatch.setattr(A, "CACHE_WORDS", 3)
-    assert [few.words([t])[0] for _, t in rows] == want
-    # blocks of a few words
-    tables = [[], []]
-    for size, out in zip((1, 10**9), tables):
+    words = ["alpha", "beta", "gammadelta", "thing", "naïve", "42nd", "x", "a▁"]
+    rows = [(k, " ".join(rng.choice(words) + str(rng.randrange(3)) for _ in range(rng.randrange(12)))) for k in range(60)]
+    aligner, tables = A.Aligner(*PATHS), [[], []]
+    for chars, out in zip((1, 10**9), tables):
         block = A._Block(0)
-        for (k, _), got in zip(rows, want):
-            out.append(block.document(k, got))
-            if block.size >= size:
-                out += block.close()
+        for k, text in rows:
+            block.add(k, text)
+            if block.chars >= chars:
+                out += [r for b in block.close(aligner) for r in b.to_pylist()]
                 block = A._Block(block.number + 1)
-        out += block.close()
+        out += [r for b in block.close(aligner) for r in b.to_pylist()]
     pairs = [Counter() for _ in tables]
     for out, total in zip(tables, pairs):
         for r in out:
-            if r[1] == A._PAIRS:
-                total.update(dict(zip(r[9].tolist(), r[10].tolist())))
-    assert pairs[0] == pairs[1] and sum(pairs[0].values()) == sum(r[6] for r in tables[0] if r[1] == A._DOC)
+            if r["kind"] == A._PAIRS:
+                total.update(dict(zip(r["codes"], r["times"])))
+    assert pairs[0] == pairs[1] and sum(pairs[0].values()) == sum(r["n_links"] for r in tables[0] if r["kind"] == A._DOC) > 0
+    facts = [[tuple(r[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")) for r in out if r["kind"] == A._DOC] for out in tables]
+    assert facts[0] == facts[1]
 
 
 def test_edges(spark):
