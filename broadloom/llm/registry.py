@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from broadloom.llm import alignment, bpe, embedding_dedup, exact_dedup, language_id, packing, quality, secrets, simhash, substring_dedup, warc, whitening
+from broadloom.llm import alignment, bpe, embedding_dedup, exact_dedup, html_text, language_id, packing, quality, secrets, simhash, substring_dedup, warc, whitening
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_quality": quality.op10_quality,
     "op11_alignment": alignment.op11_alignment,
+    "op12_html_extraction": html_text.op12_html_extraction,
     "op13_whitening": whitening.op13_whitening,
 }
 
