@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from broadloom.plans.arrays import column_moments, counted_values
 from broadloom.session import write_read
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -14,15 +15,18 @@ PROFILE_FIELDS = ["row_count", "null_count", "non_finite", "distinct_count", "mi
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, value string, number double, n): how often each value of each column stands.
 
-    One unpivot and one grouping by (column, value), reduced in each task before
-    the shuffle; everything else in a profile derives from this relation.
+    Tasks count the values of record batches column by column and return each value
+    once (or more often, for columns of very many values), whatever the number of
+    columns; their counts are added by (column, value). Everything else in a profile
+    derives from this relation. The two zeros are one value.
     """
     kinds = dict(df.dtypes)
-    pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), (F.col(c).cast("double") if kinds[c] in NUMERIC or kinds[c].startswith("decimal") else F.lit(None).cast("double")).alias("number"))
-        for c in columns
-    ]
-    return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").groupBy("column_name", "value", "number").agg(F.count(F.lit(1)).alias("n"))
+    numbers = [c for c in columns if kinds[c] in NUMERIC]
+    decimals = [c for c in columns if kinds[c].startswith("decimal")]
+    parts = counted_values(df, numbers, [c for c in columns if kinds[c] not in NUMERIC])
+    if decimals:
+        parts = parts.withColumn("number", F.when(F.col("column_name").isin(decimals), F.col("value").try_cast("double")).otherwise(F.col("number")))
+    return parts.groupBy("column_name", "value", "number").agg(F.sum("n").alias("n"))
 
 
 def profile(counts: DataFrame) -> DataFrame:
@@ -107,8 +111,12 @@ def class_counts(df: DataFrame, split: str = "split", label: str = "label") -> D
 
 def not_null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, nulls) of the columns, in one pass."""
-    one = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("nulls")) for c in columns])).alias("x")).select("x.*")
+    return column_moments(df, columns).select("column_name", F.col("null_count").alias("nulls"))
+
+
+def not_binary_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, violations): values of number columns that are neither null nor 0 or 1, in one pass."""
+    return column_moments(df, columns).select("column_name", F.col("not_binary").alias("violations"))
 
 
 def identity_issues(df: DataFrame, key: str = "hash", split: str = "split_name") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from broadloom.plans.arrays import column_moments
 from broadloom.session import free_names
 
 #: What each closed side adds to the lower and upper bound, in microseconds.
@@ -87,16 +88,27 @@ def asof_join(points: DataFrame, features: DataFrame, key: str, at: str, availab
 
 
 def fit_scaler(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, mean_value, scale_value) of the fitted rows: population deviation, 1 where it is 0."""
-    one = df.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in columns])
-    rows = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}.m").alias("mean_value"), F.col(f"{c}.s").alias("s")) for c in columns])).alias("x")).select("x.*")
-    return rows.select("column_name", "mean_value", F.when(F.col("s") == 0, 1.0).otherwise(F.col("s")).alias("scale_value"))
+    """(column_name, mean_value, scale_value) of the fitted rows, from one scan whatever the number of columns.
+
+    Nulls are left out; the deviation is the population's, 1 where it is 0. A column
+    with non-finite values has NaN for both, one without values null.
+    """
+    m = column_moments(df, columns)
+    usable = F.col("non_finite") == 0
+    scale = F.sqrt(F.col("m2") / F.nullif(F.col("finite"), F.lit(0)))
+    return m.select(
+        "column_name",
+        F.when(usable, F.col("mean")).otherwise(F.lit(float("nan"))).alias("mean_value"),
+        F.when(usable, F.when(scale == 0, 1.0).otherwise(scale)).otherwise(F.lit(float("nan"))).alias("scale_value"),
+    )
 
 
 def apply_scaler(df: DataFrame, state: DataFrame, columns: list[str], missing: float = 0.0) -> DataFrame:
-    """``df`` with scaled columns; null takes ``missing``. The state has one row per column and is pivoted to one row."""
-    pick = lambda c, f: F.max(F.when(F.col("column_name") == c, F.col(f))).alias(f"_{f}_{c}")
-    one = state.agg(*[pick(c, f) for c in columns for f in ("mean_value", "scale_value")])
-    joined = df.crossJoin(F.broadcast(one))  # one row
-    scaled = {c: F.coalesce((F.col(c) - F.col(f"_mean_value_{c}")) / F.col(f"_scale_value_{c}"), F.lit(missing)) for c in columns}
+    """``df`` with scaled columns; null takes ``missing``. The state, a row for each column, becomes one row of two arrays in the order of ``columns``."""
+    order = state.sparkSession.createDataFrame(list(enumerate(columns)), "place int, column_name string")
+    listed = F.array_sort(F.collect_list(F.struct("place", "mean_value", "scale_value")))
+    one = order.join(state, "column_name", "left").agg(listed.alias("x"))  # as many entries as columns
+    mean, scale = free_names(df, "mean_values", "scale_values")
+    joined = df.crossJoin(F.broadcast(one.select(F.col("x.mean_value").alias(mean), F.col("x.scale_value").alias(scale))))  # one row
+    scaled = {c: F.coalesce((F.col(c) - F.element_at(mean, k + 1)) / F.element_at(scale, k + 1), F.lit(missing)) for k, c in enumerate(columns)}
     return joined.withColumns(scaled).select(*df.columns)

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from broadloom.functions import scalars as S
-from broadloom.operators.profile import class_counts, identity_issues, outliers, profile, value_counts
+from broadloom.operators.profile import identity_issues
 from broadloom.operators.splits import MONTH
+from broadloom.plans.arrays import NUMBERS, check_counts, class_rows, moments_of, on_arrays, scan, sparse_features
 from broadloom.plans.feature_plan import FeaturePlan, Node
 from broadloom.session import write_read
 
@@ -134,17 +137,57 @@ def _issues(df: DataFrame, severity: str, code: str | Column, stage: str, featur
 
 def split_classes(df: DataFrame, splits: tuple[str, ...] = SPLITS, split: str = "split_name", label: str = "label") -> DataFrame:
     """SPLIT_CLASSES for each of ``splits`` that lacks rows of a class (an absent split lacks both), and EMPTY_DATASET for no rows."""
-    n = class_counts(df, split, label)
-    wanted = df.sparkSession.createDataFrame([(s,) for s in splits], f"`{split}` string")
-    short = wanted.join(n, split, "left").filter(~F.coalesce("both_classes", F.lit(False)))
-    empty = df.agg(F.count(F.lit(1)).alias("n")).filter("n = 0")
+    return _split_classes(df.groupBy(F.col(split).cast("string").alias("split"), F.col(label).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n")), splits)
+
+
+def _split_classes(classes: DataFrame, splits: tuple[str, ...]) -> DataFrame:
+    """The same from (split, label, n)."""
+    y = F.col("label").try_cast("double")
+    n = classes.groupBy("split").agg(((F.count_if(y == 0) > 0) & (F.count_if(y == 1) > 0)).alias("both_classes"))
+    wanted = classes.sparkSession.createDataFrame([(s,) for s in splits], "split string")
+    short = wanted.join(n, "split", "left").filter(~F.coalesce("both_classes", F.lit(False)))
+    empty = classes.agg(F.count(F.lit(1)).alias("n")).filter("n = 0")
     none = _issues(empty, "error", "EMPTY_DATASET", "source", F.lit(None).cast("string"), F.lit(1))
-    return none.unionByName(_issues(short, "error", "SPLIT_CLASSES", "split", F.col(split), F.lit(1)))
+    return none.unionByName(_issues(short, "error", "SPLIT_CLASSES", "split", F.col("split"), F.lit(1)))
+
+
+def outlier_issues(moments: DataFrame, sigmas: float = 8.0) -> DataFrame:
+    """STATISTICAL_OUTLIER warnings of columns that are not binary and whose maximum lies far beyond the mean; no rule is inferred from them."""
+    deviation = F.sqrt(F.col("m2") / F.nullif(F.col("finite"), F.lit(0)))
+    far = (deviation > 0) & (F.col("not_binary") > F.col("non_finite")) & (F.col("high") > F.col("mean") + sigmas * deviation)
+    return _issues(moments.filter(far), "warning", "STATISTICAL_OUTLIER", "profile", F.col("column_name"), F.lit(1))
+
+
+def _family(kind: str) -> str:
+    return "integer" if kind in S.INT_TYPES else "float" if kind in S.FLOAT_TYPES else kind
+
+
+def mismatched(plan: FeaturePlan, kinds: dict[str, str]) -> list[str]:
+    """Raw features declared as whole numbers over a column that holds none, or as floats over a column that is none."""
+    return [n.id for n in plan.order if n.column in kinds and n.type in NUMBERS and _family(n.type) != _family(kinds[n.column])]
+
+
+def without(plan: FeaturePlan, refs: list[str]) -> FeaturePlan:
+    """The plan less these features and those that read them."""
+    gone = set(refs)
+    for n in plan.order:
+        if n.input in gone:
+            gone.add(n.id)
+    return FeaturePlan(tuple(n for n in plan.order if n.id not in gone), tuple(o for o in plan.outputs if o not in gone))
 
 
-def outlier_issues(df: DataFrame, columns: list[str]) -> DataFrame:
-    """STATISTICAL_OUTLIER warnings of the columns whose maximum lies far beyond the mean; no rule is inferred from them."""
-    return _issues(outliers(profile(value_counts(df, columns))), "warning", "STATISTICAL_OUTLIER", "profile", F.col("column_name"), F.lit(1))
+def _to_spark(df: DataFrame, plan: FeaturePlan, unit_interval: bool) -> tuple[DataFrame, list[tuple]]:
+    """``df`` with the nodes that have no array form, and the conditions on these."""
+    arrays = {n.id for n in on_arrays(plan, dict(df.dtypes))}
+    left = {n.id for n in plan.order if n.id not in arrays}
+    if not left:
+        return df, []
+    needed = set(left)
+    for n in reversed(plan.order):
+        if n.id in needed and n.input is not None:
+            needed.add(n.input)
+    part = FeaturePlan(tuple(n for n in plan.order if n.id in needed), tuple(o for o in plan.outputs if o in left))
+    return part.apply(df, df.columns, checks=True), [c for c in plan_checks(part) + model_checks(part, unit_interval) if c[3] in left]
 
 
 def contract_audit(
@@ -152,24 +195,67 @@ def contract_audit(
 ) -> DataFrame:
     """All diagnostics of a samples table under a plan, one row per code and feature with its count.
 
-    A missing column is reported and nothing that needs it is run. Conditions on rows
-    and on features share one scan. With ``examples``, a column of the first so many
-    places of each condition.
+    A missing column is reported and nothing that needs it is run. A feature whose
+    column is of another kind of number than declared is a TYPE_MISMATCH of all rows,
+    and neither it nor what reads it is run. One scan over record batches gives all
+    conditions on rows and features, the rows of each class and the moments of each
+    column, for thousands of features as for a few (see plans.arrays); repeated
+    identities are found in a second one that reads no features. With ``examples``,
+    a column of the first so many places of each condition.
     """
     found = schema_issues(df, plan.required(), metadata)
     more = (lambda x: x.withColumn("examples", F.lit(None).cast("array<string>"))) if examples else (lambda x: x)
     found = more(found)
     if not any(c not in df.columns for c in [*plan.required(), *metadata]):
-        checked = plan.apply(df, [c for c in df.columns if c not in plan.required()] + plan.required(), checks=True)
-        found = found.unionByName(count_checks(checked, row_checks(dataset_id, config_name, []) + plan_checks(plan) + model_checks(plan, unit_interval), examples))
+        kinds = dict(df.dtypes)
+        wrong = mismatched(plan, kinds)
+        sound = without(plan, wrong)
+        checked, conditions = _to_spark(df, sound, unit_interval)
+        numbers = [c for c in plan.required() if kinds[c] in NUMBERS]
+        state, listed = scan(checked, sound, row_checks(dataset_id, config_name, []) + conditions, unit_interval, examples, numbers, ("split_name", "label"))
+        found = found.unionByName(check_counts(state, listed, examples))
+        classes = class_rows(state)
+        if wrong:
+            rows = classes.agg(F.sum("n").alias("count")).filter("count > 0")
+            each = rows.select(F.explode(F.array(*[F.lit(w) for w in wrong])).alias("feature"), "count")
+            found = found.unionByName(more(_issues(each, "error", "TYPE_MISMATCH", "type", F.col("feature"), F.col("count"))))
         same = identity_issues(df).groupBy("code").agg(F.count(F.lit(1)).alias("count"))
         found = found.unionByName(more(_issues(same, "error", F.col("code"), "identity", "hash", F.col("count"))))
-        found = found.unionByName(more(split_classes(df, splits))).unionByName(more(outlier_issues(df, plan.required())))
+        found = found.unionByName(more(_split_classes(classes, splits))).unionByName(more(outlier_issues(moments_of(state, numbers))))
     if not complete:
         found = found.unionByName(more(_rows(df.sparkSession, [("warning", "SAMPLED_AUDIT", "scan", None, 1)])))
     return found
 
 
+def audit_declared(df: DataFrame, nodes: list[Node], outputs: list[str], *args, **options) -> DataFrame:
+    """contract_audit of a graph that is not compiled yet; one that cannot be is a CONTRACT_INVALID error with the reason as its feature, and schema and rows are audited all the same."""
+    examples = options.get("examples", 0)
+    try:
+        return contract_audit(df, FeaturePlan.compile(nodes, outputs), *args, **options)
+    except ValueError as e:
+        found = contract_audit(df, FeaturePlan((), ()), *args, **options)
+        bad = _rows(df.sparkSession, [("error", "CONTRACT_INVALID", "contract", str(e), 1)])
+        return found.unionByName(bad.withColumn("examples", F.lit(None).cast("array<string>")) if examples else bad)
+
+
+def tensor_issues(staged: DataFrame, width: int) -> DataFrame:
+    """TENSOR_DTYPE, TENSOR_FORMAT and TENSOR_SHAPE of staged sparse rows (indices, values), counted in one pass.
+
+    The format is an ascending list of indices with one value, neither null nor 0, for
+    each; the shape is that of ``width`` columns.
+    """
+    kinds = dict(staged.dtypes)
+    if kinds.get("indices") != "array<int>" or kinds.get("values") != "array<float>":
+        return _rows(staged.sparkSession, [("error", "TENSOR_DTYPE", "tensor", c, 1) for c, t in (("indices", "array<int>"), ("values", "array<float>")) if kinds.get(c) != t])
+    i, v = F.col("indices"), F.col("values")
+    ordered = F.size(F.filter(i, lambda x, k: (k > 0) & (x <= F.get(i, k - 1)))) == 0
+    sound = (F.size(i) == F.size(v)) & ordered & ~F.exists(v, lambda x: x.isNull() | (x == 0)) & ~F.exists(i, lambda x: x.isNull())
+    outside = F.exists(i, lambda x: (x < 0) | (x >= width))
+    n = staged.agg(F.count_if(~F.coalesce(sound, F.lit(False))).alias("TENSOR_FORMAT"), F.count_if(F.coalesce(outside, F.lit(False))).alias("TENSOR_SHAPE"))
+    cells = [F.struct(F.lit("error").alias("severity"), F.lit(c).alias("code"), F.lit("tensor").alias("stage"), F.lit(None).cast("string").alias("feature"), F.col(c).alias("count")) for c in n.columns]
+    return n.select(F.explode(F.array(*cells)).alias("x")).select("x.*").filter("count > 0")
+
+
 def run_audit(spark: SparkSession, audit: Callable[[], DataFrame]) -> tuple[DataFrame, bool]:
     """(issues, whether the scan came to its end): runs an audit and stores its issues.
 
@@ -179,7 +265,9 @@ def run_audit(spark: SparkSession, audit: Callable[[], DataFrame]) -> tuple[Data
     """
     try:
         return write_read(audit()), True
-    except Exception as e:  # whatever the source raises
+    except (AnalysisException, ParseException):
+        raise  # the caller's mistake, not the source's
+    except (PySparkException, Py4JJavaError) as e:
         return _rows(spark, [("error", "SCAN_FAILED", "source", type(e).__name__, 1)]), False
 
 
@@ -198,11 +286,9 @@ def require_certified(certificate: DataFrame, binding: dict[str, str]) -> None:
 
 
 def stage(df: DataFrame, plan: FeaturePlan, certificate: DataFrame, binding: dict[str, str], path: str, keep: list[str]) -> None:
-    """Writes (keep, features) partitioned by split, only for a matching certificate."""
+    """Writes (keep, indices, values), sparse rows of the outputs, partitioned by split, only for a matching certificate."""
     require_certified(certificate, binding)
-    out = plan.apply(df, keep)
-    features = F.array(*[F.col(plan.node(o).name).cast("float") for o in plan.outputs])
-    out.select(*keep, features.alias("features")).write.mode("errorifexists").partitionBy("split").parquet(path)
+    sparse_features(df, plan, keep).write.mode("errorifexists").partitionBy("split").parquet(path)
 
 
 def publish(spark: SparkSession, observations: DataFrame, path: str, audit_id: str, complete: bool) -> int:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -140,8 +142,12 @@ class FeaturePlan:
         """Physical columns that the plan reads."""
         return list(dict.fromkeys(n.column for n in self.order if n.column is not None))
 
+    @functools.cached_property
+    def by_id(self) -> dict[str, Node]:
+        return {n.id: n for n in self.order}
+
     def node(self, ref: str) -> Node:
-        return next(n for n in self.order if n.id == ref)
+        return self.by_id[ref]
 
     def depth(self) -> dict[str, int]:
         out: dict[str, int] = {}
@@ -155,9 +161,12 @@ class FeaturePlan:
         With ``checks`` each node ``n`` also leaves ``n__failed`` and ``n__null`` (null before the missing policy).
         """
         depth = self.depth()
-        for level in range(1 + max(depth.values(), default=0)):
+        levels: list[list[Node]] = [[] for _ in range(1 + max(depth.values(), default=0))]
+        for n in self.order:
+            levels[depth[n.id]].append(n)
+        for nodes in levels:
             new: dict[str, Column] = {}
-            for n in (n for n in self.order if depth[n.id] == level):
+            for n in nodes:
                 source = F.col(n.column) if n.input is None else F.col(self.node(n.input).name)
                 value = OPS[n.op][1](source, n.params)
                 cast = value.cast("double").cast(n.type) if n.type in S.FLOAT_TYPES else S.safe_cast(value, n.type)
@@ -168,7 +177,8 @@ class FeaturePlan:
                 new[n.name] = F.coalesce(cast, F.lit(n.constant).cast(n.type)) if n.missing == "constant" else cast
             df = df.withColumns(new)
         extra = [f"{n.name}__{x}" for n in self.order for x in ("failed", "overflow", "null")] if checks else []
-        return df.select(*keep, *[self.node(o).name for o in self.outputs], *[n.name for n in self.order if checks and n.id not in self.outputs], *extra)
+        outputs = set(self.outputs)
+        return df.select(*keep, *[self.node(o).name for o in self.outputs], *[n.name for n in self.order if checks and n.id not in outputs], *extra)
 
     def edges(self, spark: SparkSession) -> DataFrame:
         """(feature, parent): a parent is an input feature or, for raw nodes, ``source.column``."""
@@ -178,12 +188,13 @@ class FeaturePlan:
 
 def lineage(spark: SparkSession, edges: DataFrame, outputs: list[str]) -> DataFrame:
     """(output, node, depth): every ancestor of each output down to raw columns, by a recursive query."""
-    edges.createOrReplaceTempView("_lineage_edges")
+    view = f"lineage_{uuid.uuid4().hex}"  # lineages of a session are read lazily, each from its own edges
+    edges.createOrReplaceTempView(view)
     listed = ", ".join("'" + o.replace("'", "''") + "'" for o in outputs)
     return spark.sql(f"""
         WITH RECURSIVE chain(output, node, depth) AS (
-          SELECT feature, parent, 1 FROM _lineage_edges WHERE feature IN ({listed})
-          UNION ALL SELECT c.output, e.parent, c.depth + 1 FROM chain c JOIN _lineage_edges e ON e.feature = c.node
+          SELECT feature, parent, 1 FROM {view} WHERE feature IN ({listed})
+          UNION ALL SELECT c.output, e.parent, c.depth + 1 FROM chain c JOIN {view} e ON e.feature = c.node
         ) SELECT output, node, depth FROM chain""")
 
 

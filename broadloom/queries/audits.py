@@ -8,6 +8,7 @@ from broadloom.operators import profile as P
 from broadloom.operators.splits import split_hash
 from broadloom.plans import audit as A
 from broadloom.plans import feature_plan as G
+from broadloom.plans.arrays import sparse_features
 from broadloom.queries.features import _SPLIT, SEED
 from broadloom.session import scratch
 from broadloom.sources.views import FEATURES, SAMPLES_SQL, samples
@@ -86,6 +87,31 @@ def contract_audit(spark, sf_dir):
     return found.select("severity", "code", "feature", "count")
 
 
+def audit_type(spark, sf_dir):
+    """Features declared as another kind of number than their column holds, and values that their type cannot hold."""
+    nodes = [G.Node("t0@1", column="feat_0", source="orders", type="bigint"), G.Node("t1@1", column="feat_1", source="orders", type="bigint"), G.Node("t2@1", column="feat_2", source="orders", type="smallint")]
+    nodes += [G.Node("t0.float@1", column="feat_0", source="orders", type="double"), G.Node("t1.has@1", input="t1@1", op="positive_presence", type="float")]
+    found = A.audit_declared(_dirty(spark, sf_dir), nodes, [n.id for n in nodes], "orders", "wide", METADATA)
+    return found.filter("stage = 'type'").select("code", "feature", "count")
+
+
+def _sparse(spark, sf_dir):
+    nodes = [n for c in FEATURES for n in (G.Node(f"{c}.raw@1", column=c, source="orders", type="bigint"), G.Node(f"{c}@1", input=f"{c}.raw@1", type="float", missing="error"))]
+    return sparse_features(samples(spark, sf_dir), G.FeaturePlan.compile(nodes, [f"{c}@1" for c in FEATURES]), ["hash", "row_number"])
+
+
+def assemble_sparse(spark, sf_dir):
+    """The features of each sample as a sparse row."""
+    return _sparse(spark, sf_dir).select("hash", F.array_join("indices", ",").alias("indices"), F.array_join(F.transform("values", lambda x: x.cast("long")), ",").alias("values"))
+
+
+def audit_tensor(spark, sf_dir):
+    """Sparse rows with indices out of order or outside the width, by row number."""
+    r, i = F.col("row_number"), F.col("indices")
+    faulty = F.when(r % 97 == 3, F.reverse(i)).when(r % 101 == 4, F.transform(i, lambda x: x + 10)).otherwise(i)
+    return A.tensor_issues(_sparse(spark, sf_dir).withColumn("indices", faulty), len(FEATURES)).select("code", "count")
+
+
 def audit_coverage(spark, sf_dir):
     """Audits that cannot certify: of a sample of the rows, of no rows, and of a scan that fails; with the rows each has read."""
     rows = samples(spark, sf_dir)
@@ -148,7 +174,7 @@ def stage_features(spark, sf_dir):
     rows, path = _wide(spark, sf_dir).withColumn("split", split_hash(F.col("split_name"), F.col("hash"), SEED)), scratch(spark)
     certificate = A.certify(A.contract_audit(rows, _clean_plan(), "orders", "wide", METADATA), True, BINDING)
     A.stage(rows, _clean_plan(), certificate, BINDING, path, ["hash", "label", "year_month", "split"])
-    return spark.read.parquet(path).groupBy("split", "label").agg(F.count("*").alias("n_rows"), F.sum(F.aggregate("features", F.lit(0.0), lambda a, x: a + x)).cast("long").alias("present"))
+    return spark.read.parquet(path).groupBy("split", "label").agg(F.count("*").alias("n_rows"), F.sum(F.aggregate("values", F.lit(0.0).cast("float"), lambda a, x: a + x)).cast("long").alias("present"))
 
 
 def _observed(spark, sf_dir):
@@ -179,8 +205,8 @@ def observation_gate(spark, sf_dir):
     return spark.createDataFrame(rows, "complete boolean, published long")
 
 
-QUERIES = {f.__name__: f for f in [audit_schema, audit_required_null, audit_identity, contract_audit, audit_coverage, audit_examples, audit_split, audit_outliers, certify, stage_features, publish_observations, observation_history, observation_gate]} | {
-    "audit_label": _row("LABEL_DOMAIN"), "audit_dataset": _row("DATASET_MISMATCH"), "audit_type": _some("TYPE_OVERFLOW"), "audit_null": _some("UNHANDLED_NULL", "NULL_POLICY"),
+QUERIES = {f.__name__: f for f in [audit_schema, audit_type, assemble_sparse, audit_tensor, audit_required_null, audit_identity, contract_audit, audit_coverage, audit_examples, audit_split, audit_outliers, certify, stage_features, publish_observations, observation_history, observation_gate]} | {
+    "audit_label": _row("LABEL_DOMAIN"), "audit_dataset": _row("DATASET_MISMATCH"), "audit_null": _some("UNHANDLED_NULL", "NULL_POLICY"),
     "audit_finite": _some("NON_FINITE"), "audit_domain": _some("BINARY_DOMAIN", "RANGE_MIN", "RANGE_MAX", "CATEGORY_DOMAIN"), "audit_transform": _some("TRANSFORM_FAILED"),
     "audit_model_input": _some("TENSOR_NON_FINITE", "TENSOR_PRECISION", "MODEL_DOMAIN"),
 }
@@ -218,7 +244,13 @@ SQL = {
     "audit_required_null": _sql("REQUIRED_NULL"), "audit_label": _sql("LABEL_DOMAIN"), "audit_dataset": _sql("DATASET_MISMATCH"),
     "audit_null": _sql("UNHANDLED_NULL", "NULL_POLICY"), "audit_finite": _sql("NON_FINITE"), "audit_domain": _sql("BINARY_DOMAIN", "RANGE_MIN", "RANGE_MAX", "CATEGORY_DOMAIN"), "audit_transform": _sql("TRANSFORM_FAILED"),
     "audit_model_input": _sql("TENSOR_NON_FINITE", "TENSOR_PRECISION", "MODEL_DOMAIN"),
-    "audit_type": f"WITH {_DIRTY} SELECT 'TYPE_OVERFLOW' AS code, 'f2@1' AS feature, count(*) AS count FROM dirty WHERE feat_2 > 2147483647 HAVING count(*) > 0",
+    "audit_type": f"""WITH {_DIRTY} SELECT 'TYPE_OVERFLOW' AS code, 't2@1' AS feature, count(*) AS count FROM dirty WHERE feat_2 > 32767 HAVING count(*) > 0
+ UNION ALL SELECT 'TYPE_MISMATCH', f, count(*) FROM dirty, (VALUES ('t1@1'), ('t0.float@1')) AS t(f) GROUP BY f""",
+    "assemble_sparse": f"""WITH {SAMPLES_SQL}, x AS (SELECT hash, list_filter([struct_pack(i := 0, v := feat_0), struct_pack(i := 1, v := feat_1), struct_pack(i := 2, v := feat_2)], lambda c: c.v <> 0) AS c FROM samples)
+ SELECT hash, array_to_string(list_transform(c, lambda e: e.i), ',') AS indices, array_to_string(list_transform(c, lambda e: e.v), ',') AS values FROM x""",
+    "audit_tensor": f"""WITH {SAMPLES_SQL}, x AS (SELECT row_number, CAST(feat_0 <> 0 AS INT) + CAST(feat_1 <> 0 AS INT) + CAST(feat_2 <> 0 AS INT) AS n FROM samples)
+ SELECT 'TENSOR_FORMAT' AS code, count(*) AS count FROM x WHERE row_number % 97 = 3 AND n > 1 HAVING count(*) > 0
+ UNION ALL SELECT 'TENSOR_SHAPE', count(*) FROM x WHERE row_number % 101 = 4 AND row_number % 97 <> 3 AND n > 0 HAVING count(*) > 0""",
     "audit_identity": _sql("IDENTITY").replace("SELECT * FROM found", f", {_SAME} SELECT code, count FROM found", 1).replace(") , ", "), ") + " UNION ALL SELECT code, count FROM same",
     "contract_audit": _sql(*_ALL).replace("SELECT * FROM found", f", {_SAME} SELECT 'error' AS severity, code, feature, count FROM found", 1).replace(") , ", "), ") + " UNION ALL SELECT 'error', code, 'hash', count FROM same" + _WARNED,
     "audit_coverage": f"""WITH {SAMPLES_SQL} SELECT 'sample' AS audit, 'warning' AS severity, 'SAMPLED_AUDIT' AS code, CAST(1 AS BIGINT) AS count, true AS done, false AS certified, count(*) FILTER (row_number % 10 = 0) AS n_rows FROM samples

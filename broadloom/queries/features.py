@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from broadloom.functions import scalars as S
 from broadloom.operators import splits as P
+from broadloom.operators.profile import not_binary_counts
 from broadloom.operators.windows import apply_scaler, fit_scaler
 from broadloom.plans import feature_plan as G
 from broadloom.session import table
@@ -38,8 +39,7 @@ def missing_policy(spark, sf_dir):
 
 def binary_projection(spark, sf_dir):
     """Violations of the strict 0/1 contract, per feature."""
-    rows = samples(spark, sf_dir).agg(*[F.count_if(~S.is_binary(F.col(c))).alias(c) for c in FEATURES])
-    return rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("violations")) for c in FEATURES])).alias("x")).select("x.*")
+    return not_binary_counts(samples(spark, sf_dir), FEATURES).withColumnRenamed("column_name", "feature")
 
 
 def hash_bucket(spark, sf_dir):
