@@ -69,6 +69,7 @@ def stream_sliding(spark, sf_dir):
 
 
 def stream_trailing(spark, sf_dir):
+    S.rocksdb_state(spark)
     rows = _stream(spark, sf_dir).select("device_id", "event_id", "event_time", F.col("bytes_sent").alias("value"))
     return S.drain(S.trailing_stream(rows, WIDTH_US, 3600 * 1_000_000), "update", ["device_id", "event_id"])
 
@@ -78,16 +79,38 @@ def stream_dedup(spark, sf_dir):
     return S.drain(S.dedup_stream(rows.unionByName(rows), ["event_id"], "event_time", "40 days").select("event_id", "device_id"), "append")
 
 
+def _arriving(spark, sf_dir):
+    """Events of which every 17th arrives two days late."""
+    return _events(spark, sf_dir).withColumn("arrival", F.when(F.col("event_id") % 17 == 0, F.col("event_time") + F.expr("INTERVAL 2 DAYS")).otherwise(F.col("event_time")))
+
+
+def late_data_stream(spark, sf_dir):
+    """A stream of three loads by arrival: late events set aside, trailing sums of touched days made anew; all sums, and which events were late."""
+    rows = _arriving(spark, sf_dir).select("event_id", "device_id", "event_time", "arrival", "bytes_sent")
+    first, last = rows.agg(F.min("arrival"), F.max("arrival")).first()
+    cuts = [None, *[(first + (last - first) * k / 3).replace(minute=0, second=0, microsecond=0) for k in (1, 2)], None]
+    source = scratch(spark)
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        part = rows if low is None else rows.filter(F.col("arrival") >= low)
+        (part if high is None else part.filter(F.col("arrival") < high)).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    out = S.LateData(scratch(spark), "device_id", "event_time", "bytes_sent", WIDTH_US, DAY * 1_000_000)
+    S.late_data_stream(stream, out, lambda batch: S.with_newest(batch, "event_time", "arrival"))
+    late = spark.read.schema(rows.schema).parquet(f"{out.late}/*").select("event_id").withColumn("late", F.lit(True))
+    sums = spark.read.schema("event_id long, device_id long, total long").parquet(out.sums)
+    return sums.join(late, "event_id", "left").select("event_id", "device_id", "total", F.coalesce("late", F.lit(False)).alias("late"))
+
+
 def late_data_recompute(spark, sf_dir):
-    """Trailing sums anew for the rows that late events touch; every 17th event arrives two days late."""
-    rows = _events(spark, sf_dir).withColumn("arrival", F.when(F.col("event_id") % 17 == 0, F.col("event_time") + F.expr("INTERVAL 2 DAYS")).otherwise(F.col("event_time")))
+    """Trailing sums anew for the rows that late events touch."""
+    rows = _arriving(spark, sf_dir)
     late = S.late_rows(rows, "event_time", "arrival", DAY)
     touched = S.affected(rows, late, "device_id", "event_time", WIDTH_US // 1_000_000).select("event_id")
     sums = W.trailing_sum_split(rows, "device_id", "event_time", "bytes_sent", WIDTH_US)
     return sums.join(touched, "event_id", "left_semi").select("event_id", "device_id", "total")
 
 
-QUERIES = {f.__name__: f for f in [trailing_window, tumbling_window, tumbling_window_right, sliding_window, asof_features, stream_log_parse, stream_tumbling, stream_sliding, stream_trailing, stream_dedup, late_data_recompute]}
+QUERIES = {f.__name__: f for f in [trailing_window, tumbling_window, tumbling_window_right, sliding_window, asof_features, stream_log_parse, stream_tumbling, stream_sliding, stream_trailing, stream_dedup, late_data_stream, late_data_recompute]}
 
 
 def _trail(lo: str, hi: str) -> str:
@@ -97,6 +120,11 @@ def _trail(lo: str, hi: str) -> str:
 _SIDES = {"left": (f"{WIDTH_US} PRECEDING", "1 PRECEDING"), "right": (f"{WIDTH_US - 1} PRECEDING", "CURRENT ROW"), "both": (f"{WIDTH_US} PRECEDING", "CURRENT ROW"), "neither": (f"{WIDTH_US - 1} PRECEDING", "1 PRECEDING")}
 _TUMBLING = f"WITH {EVENTS_SQL} SELECT device_id, date_trunc('hour', event_time) AS window_start, CAST(sum(bytes_sent) AS BIGINT) AS total, count(*) AS n FROM device_events GROUP BY 1, 2"
 _SLIDING = f"WITH {EVENTS_SQL}, s AS (SELECT *, unnest([date_trunc('hour', event_time), date_trunc('hour', event_time) - INTERVAL 1 HOUR]) AS window_start FROM device_events) SELECT device_id, window_start, CAST(sum(bytes_sent) AS BIGINT) AS total, count(*) AS n FROM s GROUP BY 1, 2"
+_LATE = f"""WITH {EVENTS_SQL}, r AS (SELECT *, CASE WHEN event_id % 17 = 0 THEN event_time + INTERVAL 2 DAYS ELSE event_time END AS arrival FROM device_events),
+h AS (SELECT date_trunc('hour', arrival) AS hour, max(event_time) AS m FROM r GROUP BY 1), t AS (SELECT hour, max(m) OVER (ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM h),
+late AS (SELECT r.* FROM r JOIN t ON date_trunc('hour', r.arrival) = t.hour WHERE r.event_time < t.top - INTERVAL 1 DAY),
+s AS (SELECT event_id, device_id, event_time, {_trail(*_SIDES['left'])} AS total FROM r)
+"""
 SQL = {
     "trailing_window": f"WITH {EVENTS_SQL} SELECT event_id, device_id, " + ", ".join(f"{_trail(*b)} AS total_{c}" for c, b in _SIDES.items()) + " FROM device_events",
     "tumbling_window": _TUMBLING,
@@ -108,9 +136,6 @@ SQL = {
     "stream_sliding": _SLIDING,
     "stream_trailing": f"WITH {EVENTS_SQL} SELECT device_id, event_id, {_trail(*_SIDES['left'])} AS total FROM device_events",
     "stream_dedup": "SELECT event_id, user_id AS device_id FROM events",
-    "late_data_recompute": f"""WITH {EVENTS_SQL}, r AS (SELECT *, CASE WHEN event_id % 17 = 0 THEN event_time + INTERVAL 2 DAYS ELSE event_time END AS arrival FROM device_events),
-h AS (SELECT date_trunc('hour', arrival) AS hour, max(event_time) AS m FROM r GROUP BY 1), t AS (SELECT hour, max(m) OVER (ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM h),
-late AS (SELECT r.* FROM r JOIN t ON date_trunc('hour', r.arrival) = t.hour WHERE r.event_time < t.top - INTERVAL 1 DAY),
-s AS (SELECT event_id, device_id, event_time, {_trail(*_SIDES['left'])} AS total FROM r)
-SELECT event_id, device_id, total FROM s WHERE EXISTS (SELECT 1 FROM late l WHERE l.device_id = s.device_id AND s.event_time > l.event_time AND s.event_time <= l.event_time + INTERVAL {WIDTH_US // 1_000_000} SECOND)""",
+    "late_data_stream": _LATE + "SELECT event_id, device_id, total, event_id IN (SELECT event_id FROM late) AS late FROM s",
+    "late_data_recompute": f"""{_LATE}SELECT event_id, device_id, total FROM s WHERE EXISTS (SELECT 1 FROM late l WHERE l.device_id = s.device_id AND s.event_time > l.event_time AND s.event_time <= l.event_time + INTERVAL {WIDTH_US // 1_000_000} SECOND)""",
 }

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from broadloom.functions.text import parse_log
+from broadloom.operators.windows import trailing_sums_split
 from broadloom.session import scratch
 
 
@@ -71,47 +74,165 @@ def _sums(at: np.ndarray, value: np.ndarray, width_us: int) -> np.ndarray:
     return running[np.searchsorted(at, at, side="left")] - running[np.searchsorted(at, at - width_us, side="left")]
 
 
-def _trailing(width_us: int, keep_us: int) -> Callable:
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = [np.array(x, np.int64) for x in state.get] if state.exists else [np.empty(0, np.int64)] * 3
-        new = [b[["at", "event_id", "value"]].to_numpy(np.int64) for b in batches]
-        fresh = np.concatenate(new) if new else np.empty((0, 3), np.int64)
-        fresh = fresh[~np.isin(fresh[:, 1], held[1])]
-        fresh = fresh[np.unique(fresh[:, 1], return_index=True)[1]]  # a repeated event counts once
-        if not len(fresh):
-            return
-        at, ids, value = (np.concatenate([h, fresh[:, i]]) for i, h in enumerate(held))
-        order = np.lexsort((ids, at))
-        at, ids, value = at[order], ids[order], value[order]
-        total = _sums(at, value, width_us)
-        out, rest = at >= fresh[:, 0].min(), at >= at[-1] - keep_us
-        state.update((at[rest].tolist(), ids[rest].tolist(), value[rest].tolist()))
-        # an idle device is dropped when no event that is not late can meet what is held
-        state.setTimeoutTimestamp(max(int(at[-1] + keep_us) // 1000, state.getCurrentWatermarkMs()) + 1)
-        yield pd.DataFrame({"device_id": key[0], "event_id": ids[out], "total": total[out]})
+#: Cells of a trailing window's width that a device's state is cut into.
+CELLS = 4
+
+
+class TrailingSums(StatefulProcessor):
+    """Events of one device by cells of time; a batch reads and writes the cells around its events only.
 
-    return step
+    A cell is dropped by its timer once the watermark has passed all events that it
+    could still meet, so an idle device ends with no state.
+    """
+
+    def __init__(self, width_us: int):
+        self.width, self.cell = width_us, max(width_us // CELLS, 1)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.cells = handle.getMapState("cells", "cell long", "at array<long>, id array<long>, value array<long>")
+
+    def _read(self, cell: int) -> np.ndarray:
+        held = self.cells.getValue((cell,)) if self.cells.containsKey((cell,)) else None
+        return np.array(held, np.int64).T if held is not None else np.empty((0, 3), np.int64)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        new = np.concatenate([np.empty((0, 3), np.int64), *(b[["at", "event_id", "value"]].to_numpy(np.int64) for b in rows)])
+        new = new[np.unique(new[:, 1], return_index=True)[1]]  # a repeated event counts once
+        own = new[:, 0] // self.cell
+        near = np.unique(own[:, None] + np.arange(-CELLS - 1, CELLS + 2))
+        some = self.cells.exists()  # a new device has nothing to look up
+        held = {int(c): self._read(int(c)) if some else np.empty((0, 3), np.int64) for c in near}
+        known = np.concatenate([h[:, 1] for h in held.values()])
+        fresh = ~np.isin(new[:, 1], known)
+        new, own = new[fresh], own[fresh]
+        if not len(new):
+            return
+        for c in np.unique(own).tolist():
+            if not len(held[c]):  # the last microsecond that a window over this cell can start before, in milliseconds
+                self.handle.registerTimer(((c + 1) * self.cell + self.width) // 1000 + 1)
+            held[c] = np.concatenate([held[c], new[own == c]])
+            self.cells.updateValue((c,), tuple(x.tolist() for x in held[c].T))
+        out = []
+        # stretches of cells without a gap: sums in one do not reach into another
+        for part in np.split(near, np.flatnonzero(np.diff(near) > 1) + 1):
+            rows_ = np.concatenate([held[int(c)] for c in part])
+            rows_ = rows_[np.lexsort((rows_[:, 1], rows_[:, 0]))]
+            total = _sums(rows_[:, 0], rows_[:, 2], self.width)
+            # an event's sum is new if the event is, or if a new one stands in its window
+            times = np.sort(new[np.isin(own, part), 0])
+            behind = np.searchsorted(times, rows_[:, 0], "left") > np.searchsorted(times, rows_[:, 0] - self.width, "left")
+            some = behind | np.isin(rows_[:, 1], new[:, 1])
+            out.append(pd.DataFrame({"device_id": key[0], "event_id": rows_[some, 1], "total": total[some]}))
+        yield pd.concat(out)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        end = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        for (cell,) in list(self.cells.keys()):
+            if ((cell + 1) * self.cell + self.width) // 1000 * 1000 < end:
+                self.cells.removeKey((cell,))
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def rocksdb_state(spark: SparkSession) -> None:
+    """Keeps the state of streams in RocksDB with changelogs, as map state and timers need; set by the caller's session for all its streams."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def trailing_stream(events: DataFrame, width_us: int, delay_us: int) -> DataFrame:
     """(device_id, event_id, total): sums over [t - width, t) per device, in update mode.
 
-    ``events`` has device_id, event_id, event_time (timestamp) and value (whole numbers).
-    A device's state is its events of the last width + delay; an event that arrives out
-    of order inside that time corrects the sums after it, which are sent again. The
-    watermark lags by ``delay``: later events are left out, and the state of a device
-    is dropped once the watermark has passed all that it holds.
+    ``events`` has device_id, event_id, event_time (timestamp) and value (whole numbers);
+    the session keeps its state in RocksDB (rocksdb_state). An event that arrives out
+    of order corrects the sums after it, which are sent again. The watermark lags by
+    ``delay``: events behind it are left out (late_data_stream sets them aside).
     """
-    step = _trailing(width_us, width_us + delay_us)
     rows = events.withWatermark("event_time", f"{delay_us // 1000} milliseconds").select("device_id", "event_id", "event_time", F.unix_micros("event_time").alias("at"), "value")
-    return rows.groupBy("device_id").applyInPandasWithState(step, "device_id long, event_id long, total long", "at array<long>, id array<long>, value array<long>", "update", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("device_id").transformWithStateInPandas(TrailingSums(width_us), "device_id long, event_id long, total long", "Update", "EventTime")
 
 
-def late_rows(events: DataFrame, ts: str, arrival: str, delay_s: int) -> DataFrame:
-    """Events that arrive more than the delay after the newest event time before them, by arrival hour.
+@dataclass(frozen=True)
+class LateData:
+    """Folders of a stream of events: all of them by day, those that came too late, and the trailing sums by day."""
+
+    path: str
+    key: str
+    ts: str
+    value: str
+    width_us: int
+    delay_us: int
+
+    @property
+    def events(self) -> str:
+        return f"{self.path}/events"
+
+    @property
+    def late(self) -> str:
+        return f"{self.path}/late"
+
+    @property
+    def sums(self) -> str:
+        return f"{self.path}/sums"
+
+
+def _days(df: DataFrame) -> list[str]:
+    """The days of some rows; there are as many as days that a batch touches."""
+    return sorted(str(r[0]) for r in df.select("_day").distinct().collect())
+
+
+def _read_days(spark: SparkSession, path: str, schema: str, days: list[str] | None = None) -> DataFrame:
+    """Rows of a table by day, whose other days' files are not listed in the plan."""
+    df = spark.read.schema(f"{schema}, _day date").option("basePath", path).parquet(path)
+    return df if days is None else df.filter(F.col("_day").isin([datetime.date.fromisoformat(d) for d in days]))
+
+
+def recompute_days(spark: SparkSession, table: LateData, days: list[str], schema: str) -> DataFrame:
+    """Trailing sums of all events of these days; reads them and as many days before as a window reaches."""
+    span = -(-table.width_us // 86_400_000_000)
+    wanted = [datetime.date.fromisoformat(d) for d in days]
+    needed = sorted({str(d - datetime.timedelta(days=k)) for d in wanted for k in range(span + 1)})
+    rows = _read_days(spark, table.events, schema, needed).drop("_batch")
+    return trailing_sums_split(rows, table.key, table.ts, table.value, table.width_us, {"total": "left"}).filter(F.col("_day").isin(wanted))
+
+
+def late_data_stream(events: DataFrame, table: LateData, newest: Callable[[DataFrame], DataFrame]) -> None:
+    """Runs a stream of events over what is there: rows behind the watermark go to a side table, and sums of touched days are made anew.
+
+    ``newest`` gives a batch's rows with a column _top, the newest event time before
+    each row's arrival within the batch (null where there is none); the newest time of
+    earlier batches is kept beside the tables. A row is late if it is older than that
+    by more than ``delay``. Each batch writes its events under its own number, so a
+    repeated batch replaces itself, then overwrites the sums of the days whose windows
+    its rows reach into, late or not. Other days are neither read nor written.
+    """
+    spark = events.sparkSession
+    schema = ", ".join(f"`{n}` {t}" for n, t in events.dtypes)
+    day = F.to_date(F.col(table.ts))
+
+    def put(batch: DataFrame, number: int) -> None:
+        tops = spark.read.schema("top timestamp, _batch long").parquet(f"{table.path}/top").filter(F.col("_batch") < number) if number else spark.createDataFrame([], "top timestamp, _batch long")
+        before = tops.agg(F.max("top").alias("before"))  # one row
+        rows = newest(batch).crossJoin(F.broadcast(before)).withColumn("_top", F.greatest("_top", F.col("before").cast(dict(batch.dtypes)[table.ts])))
+        late = rows.filter(F.col(table.ts) < F.col("_top") - F.make_dt_interval(secs=F.lit(table.delay_us / 1_000_000)))
+        batch.agg(F.max(table.ts).cast("timestamp").alias("top")).write.mode("overwrite").parquet(f"{table.path}/top/_batch={number}")
+        late.select(*batch.columns).write.mode("overwrite").parquet(f"{table.late}/_batch={number}")
+        by_day = batch.withColumn("_day", day)
+        by_day.withColumn("_batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_day", "_batch").parquet(table.events)
+        reach = by_day.select("_day").unionByName(batch.select(F.to_date(F.col(table.ts) + F.expr(f"INTERVAL {table.width_us} MICROSECOND")).alias("_day"))).distinct()
+        days = _days(reach)
+        if days:
+            recompute_days(spark, table, days, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_day").parquet(table.sums)
+
+    query = events.writeStream.option("checkpointLocation", f"{table.path}/state").trigger(availableNow=True).foreachBatch(put).start()
+    query.awaitTermination()
+
+
+def with_newest(events: DataFrame, ts: str, arrival: str) -> DataFrame:
+    """Adds _top, the newest event time of the hours of arrival before the row's, null in the first hour.
 
     The newest time is taken per hour of arrival and carried forward over hours, so
     the running maximum covers as many rows as there are hours.
@@ -121,8 +242,12 @@ def late_rows(events: DataFrame, ts: str, arrival: str, delay_s: int) -> DataFra
     hour = F.date_trunc("hour", F.col(arrival))
     tops = events.groupBy(hour.alias("_h")).agg(F.max(ts).alias("_m"))
     before = F.max("_m").over(Window.partitionBy(F.lit(0)).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1))
-    tops = tops.select("_h", before.alias("_top"))
-    return events.withColumn("_h", hour).join(tops, "_h", "left").filter(F.col(ts) < F.col("_top") - F.make_dt_interval(secs=F.lit(delay_s))).drop("_h", "_top")
+    return events.withColumn("_h", hour).join(tops.select("_h", before.alias("_top")), "_h", "left").drop("_h")
+
+
+def late_rows(events: DataFrame, ts: str, arrival: str, delay_s: int) -> DataFrame:
+    """Events that arrive more than the delay after the newest event time before them, by arrival hour."""
+    return with_newest(events, ts, arrival).filter(F.col(ts) < F.col("_top") - F.make_dt_interval(secs=F.lit(delay_s))).drop("_top")
 
 
 def affected(events: DataFrame, late: DataFrame, key: str, ts: str, width_s: int) -> DataFrame:

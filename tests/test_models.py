@@ -93,6 +93,7 @@ def test_trailing_sums_of_arrays():
 
 
 def test_trailing_stream_drops_idle_devices_and_late_events(spark, tmp_path):
+    S.rocksdb_state(spark)
     hour, t = 3600, 10**9
     batches = [[("a", 1, t, 1), ("a", 2, t + 10, 2), ("b", 3, t + 5, 7)], [("a", 4, t + 20 * hour, 5)], [("a", 6, t + 20 * hour + 5, 9)], [("a", 7, t + 20 * hour + 6, 1), ("b", 5, t + 6, 100)]]
     for k, rows in enumerate(batches):
