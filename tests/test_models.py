@@ -1,5 +1,7 @@
 """Models: slopes against finite differences, scores that rank, and features that are scores of models."""
 
+import pickle
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -15,24 +17,94 @@ def loss(params, x, target, weight):
     return float((-(target * np.log(y) + (1 - target) * np.log(1 - y)).mean(axis=1) * weight).sum())
 
 
-@pytest.mark.parametrize(("sizes", "autoencoder"), [([4, 5, 3, 1], False), ([4, 2, 4], True)])
-def test_gradients_equal_finite_differences(sizes, autoencoder):
+@pytest.mark.parametrize(("sizes", "autoencoder", "dropout"), [([4, 5, 3, 1], False, 0.0), ([4, 2, 4], True, 0.0), ([4, 6, 5, 1], False, 0.4)])
+def test_gradients_equal_finite_differences(sizes, autoencoder, dropout):
     rng = np.random.default_rng(2)
-    x, weight = rng.random((20, 4)), rng.random(20)
+    x, weight, ids = rng.random((20, 4)), rng.random(20), np.arange(20) * 7
     target = x if autoencoder else rng.integers(0, 2, (20, 1)).astype(float)
     params = [p + 0.05 * rng.standard_normal(p.shape) for p in M._init(sizes, 3)]
-    got = M._gradient(params, x, target, weight)
+    loss_of = lambda: M.minibatch_gradient(params, x, target, weight, ids, dropout, 1, 5)[1]
+    got = M.minibatch_gradient(params, x, target, weight, ids, dropout, 1, 5)[0]
+    if not dropout:
+        assert loss_of() == pytest.approx(loss(params, x, target, weight))
     for p, g in zip(params, got, strict=True):
         for at in [tuple(rng.integers(0, n) for n in p.shape) for _ in range(6)]:
             keep = p[at]
             p[at] = keep + 1e-6
-            up = loss(params, x, target, weight)
+            up = loss_of()
             p[at] = keep - 1e-6
-            down = loss(params, x, target, weight)
+            down = loss_of()
             p[at] = keep
             assert (up - down) / 2e-6 == pytest.approx(g[at], rel=1e-3, abs=1e-6)
 
 
+def test_dropout_depends_on_the_row_alone():
+    ids = np.arange(5000)
+    mask = M._kept_share(0.7, 16, ids, 2, 3, 11)
+    assert (M._kept_share(0.7, 16, ids[::-7], 2, 3, 11) == mask[::-7]).all() and abs(mask.mean() - 0.7) < 0.01 and (abs(mask.mean(axis=0) - 0.7) < 0.05).all()
+    assert all((M._kept_share(0.7, 16, ids, *other) != mask).mean() > 0.3 for other in ((2, 4, 11), (0, 3, 11), (2, 3, 12)))
+
+
+@pytest.mark.parametrize("layout", ["dense", "sparse"])
+def test_mixed_minibatches_equal_numpy(spark, layout):
+    rng = np.random.default_rng(8)
+    x = rng.random((53, 6)) * (rng.random((53, 6)) < 0.5)
+    x = x.astype(np.float32).astype(np.float64)
+    label = rng.integers(0, 2, 53)
+    if layout == "dense":
+        df = spark.createDataFrame([(k, [float(v) for v in r], int(y), 1.0 + int(y)) for k, (r, y) in enumerate(zip(x, label))], "row long, features array<float>, label int, weight double")
+    else:
+        df = spark.createDataFrame([(k, np.flatnonzero(r).tolist(), r[np.flatnonzero(r)].tolist(), int(y), 1.0 + int(y)) for k, (r, y) in enumerate(zip(x, label))], "row long, indices array<int>, values array<float>, label int, weight double")
+    parts = df.repartitionByRange(2, "row").sortWithinPartitions("row")
+    split = [[r.row for r in p] for p in parts.select("row").rdd.glom().collect()]
+    assert len(split) == 2 and min(map(len, split)) > 10
+    state, losses = M.Adam(M._init([6, 4, 3, 1], 1), 0.05), []
+    want, k = M.Adam(M._init([6, 4, 3, 1], 1), 0.05), 6
+    for epoch in range(3):
+        state, got = M._epoch(parts, state, 6, False, 5, 0.3, epoch, 0)  # seed 0: rows in order
+        total, ends = 0.0, []
+        for part in split:
+            mine = pickle.loads(pickle.dumps(want))
+            for i in range(0, len(part), 5):
+                at = np.array(part[i : i + 5])
+                g, lost = M.minibatch_gradient(mine.params, x[at], label[at, None].astype(float), 1.0 + label[at], at, 0.3, epoch, 0)
+                mine.move([p / len(at) for p in g])
+                total += lost
+            ends.append([*mine.params, *mine.first, *mine.second, np.array([mine.step])])
+        mixed = M._mixed(ends, np.array([len(p) for p in split], float))
+        want.params, want.first, want.second, want.step = mixed[:k], mixed[k : 2 * k], mixed[2 * k : 3 * k], round(float(mixed[-1][0]))
+        losses.append((got, total / 53))
+    assert all(a == pytest.approx(b, rel=1e-9) for a, b in losses)
+    assert all(np.allclose(a, b, rtol=1e-8) for a, b in zip(state.params, want.params))
+
+
+def test_averaged_sgd_is_as_good_as_on_one_machine(spark):
+    rng = np.random.default_rng(4)
+    n, width = 1500, 40
+    x = (rng.random((n, width)) < 0.2) * rng.random((n, width))
+    label = (x @ rng.standard_normal(width) * 3 + 0.3 * rng.standard_normal(n) > 0.4).astype(int)
+    listed = [(k, np.flatnonzero(r).tolist(), r[np.flatnonzero(r)].tolist(), int(y)) for k, (r, y) in enumerate(zip(x, label))]
+    df = spark.createDataFrame(listed, "id long, indices array<int>, values array<float>, label int").repartition(4)
+    train, test = df.filter("id % 3 > 0"), df.filter("id % 3 = 0")
+    fitted = M.fit_sgd(train, width, (1e-4, 1e-3), epochs=5)
+    one = M.AveragedSGD((1e-4, 1e-3), width)
+    at = np.flatnonzero(np.arange(n) % 3 > 0)
+    weight = len(at) / (2 * np.bincount(label[at]))
+    for _ in range(5):
+        for k in rng.permutation(at):
+            one.step(np.array(listed[k][1], int), np.array(listed[k][2]), label[k], weight[label[k]])
+    for k, scorer in enumerate(fitted.values()):
+        mixed = E.average_precision(E.score_curve(scorer(test).select("score", "label"))).first()[0]
+        alone = E.average_precision(E.score_curve(M._linear(one.mean_weights[k], one.mean_bias[k])(test).select("score", "label"))).first()[0]
+        assert mixed > alone - 0.01 and mixed > 0.9, (mixed, alone)
+
+
+def test_the_best_epoch_on_validation_is_kept(rows):
+    every = [M.fit_mlp(rows.filter("id % 3 = 1"), 3, (4,), epochs=n, rate=0.3, validation=rows.filter("id % 3 = 2")) for n in (1, 4)]
+    ap = [E.average_precision(E.score_curve(s(rows.filter("id % 3 = 2")).select("score", "label"))).first()[0] for s in every]
+    assert ap[1] >= ap[0]
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     rng = np.random.default_rng(5)
@@ -41,7 +113,7 @@ def rows(spark):
     return spark.createDataFrame([(i, [float(v) for v in a], int(b)) for i, (a, b) in enumerate(zip(x, label, strict=True))], "id long, features array<float>, label int")
 
 
-@pytest.mark.parametrize(("name", "kwargs"), [("logistic", {"alpha": 1e-3}), ("mlp", {"width": 3, "epochs": 40})])
+@pytest.mark.parametrize(("name", "kwargs"), [("logistic", {"alpha": 1e-3}), ("mlp", {"width": 3, "epochs": 25, "batch_rows": 64})])
 def test_fits_rank_rows_that_were_not_fitted(rows, name, kwargs):
     scored = M.ADAPTERS[name](rows.filter("id % 3 > 0"), **kwargs)(rows.filter("id % 3 = 0"))
     assert scored.count() == 200 and scored.filter(~F.col("score").between(0, 1)).isEmpty()
@@ -52,7 +124,7 @@ def test_autoencoder_finds_strange_rows(spark):
     usual = [(i, [1.0, 1.0, 0.0, 0.9], 0) for i in range(200)]
     strange = [(1000 + i, [0.0, 0.0, 1.0, 0.1], 1) for i in range(40)]
     df = spark.createDataFrame(usual + strange, "id long, features array<float>, label int")
-    scored = M.fit_autoencoder(df, width=4, epochs=40)(df)
+    scored = M.fit_autoencoder(df, width=4, epochs=40, batch_rows=64, rate=0.05)(df)
     assert scored.count() == 240 and E.roc_auc(E.score_curve(scored)).first()[0] > 0.95
 
 
