@@ -63,10 +63,11 @@ def prior_baseline(spark, sf_dir):
 
 
 def _model_rows(spark, sf_dir):
-    """Samples with a split and features in [0, 1]; none of them is made from the label."""
+    """Samples with a split, counts of some kinds of lines in [0, 1], and whether the order has five lines or more, which no count tells by itself."""
     rows = samples(spark, sf_dir).withColumn("split", split_hash(F.col("split_name"), F.col("hash"), SEED))
     part = [F.least(F.col(c) / 7.0, F.lit(1.0)).alias(c) for c in FEATURES]
-    df = rows.select("hash", "dataset_id", "config_name", "split", "label", *part)
+    large = (F.col("vt_count") >= 5).cast("int").alias("label")
+    df = rows.select("hash", "dataset_id", "config_name", "split", large, *part)
     return write_read(df.withColumn("features", vector(FEATURES)).select("hash", "dataset_id", "config_name", "split", "label", "features"))
 
 
@@ -130,7 +131,7 @@ m AS (SELECT {g}n_rows, tn, fp, fn, tp, round(prevalence, 9) AS prevalence, roun
 
 
 _LL = "round(-avg(CASE WHEN label = 1 THEN ln(greatest(least(score, 1 - 1e-15), 1e-15)) ELSE ln(1 - greatest(least(score, 1 - 1e-15), 1e-15)) END), 9)"
-_FIT = f"WITH {SAMPLES_SQL}, t AS (SELECT *, {_SPLIT} AS split FROM samples) SELECT count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS positives, CAST(0 AS BIGINT) AS out_of_range, true AS ranks, true AS separates FROM t WHERE split = 'test'"
+_FIT = f"WITH {SAMPLES_SQL}, t AS (SELECT *, {_SPLIT} AS split FROM samples) SELECT count(*) AS n_rows, CAST(sum(CAST(vt_count >= 5 AS INTEGER)) AS BIGINT) AS positives, CAST(0 AS BIGINT) AS out_of_range, true AS ranks, true AS separates FROM t WHERE split = 'test'"
 _YEAR = f"{SAMPLES_SQL}, y AS (SELECT feat_0 / (vt_count + 1) AS score, label, substr(year_month, 1, 4) AS year FROM samples)"
 
 SQL = {

@@ -110,12 +110,22 @@ def redact_map_keys(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", m["kind"].alias("kind"), m["api_key"].alias("api_key"), m["my.token.x"].alias("token"))
 
 
+def redact_nested(spark, sf_dir):
+    """Objects in objects, lists, and an object written as text inside another."""
+    number, name = F.col("event_id").cast("string"), F.col("event_type")
+    said = F.to_json(F.struct(number.alias("token"), name.alias("what"), F.array(F.struct(number.alias("client_secret"))).alias("deep")))
+    listed = F.array(F.to_json(F.struct(number.alias("password"))), F.lit("Bearer abcdefgh1234"), name)
+    inner = F.struct(F.struct(F.col("user_id").cast("string").alias("api_key"), F.col("event_id").alias("n")).alias("a"), listed.alias("list"))
+    text = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("no json password="), number, F.lit("xyz"))).otherwise(F.to_json(F.struct(name.alias("kind"), inner.alias("inner"), said.alias("said"))))
+    return table(spark, sf_dir, "events").select("event_id", T.redact_json(text).alias("redacted"))
+
+
 def keyword_search(spark, sf_dir):
     return T.keyword_search(table(spark, sf_dir, "documents"), ["tion", "ung"], ["text", "source"], "doc_id", 20).select("doc_id", "source")
 
 
 QUERIES = {f.__name__: f for f in [
-    parse_android_log, classify_url, classify_component, classify_permission, classify_intent, classify_hardware, classify_api, token_dispatch, redact_secrets, redact_documents, redact_map_keys, keyword_search,
+    parse_android_log, classify_url, classify_component, classify_permission, classify_intent, classify_hardware, classify_api, token_dispatch, redact_secrets, redact_documents, redact_map_keys, redact_nested, keyword_search,
 ]}
 
 _LOG = T.LOG_LINE.replace("'", "''")
@@ -141,5 +151,7 @@ SELECT category, item, CASE WHEN category IN ('RequestedPermissionList', 'UsedPe
     "redact_secrets": """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type || ' Bearer <REDACTED> x <REDACTED_KEY> <REDACTED_KEY> ' || CAST(event_id AS VARCHAR)
  ELSE 'my.api_key=<REDACTED>; X-Auth-Token: <REDACTED>, --password <REDACTED> {"secrets": <REDACTED>, "n": 1} {\\"client_secret\\": <REDACTED>} end' END AS redacted FROM events""",
     "redact_map_keys": "SELECT event_id, event_type AS kind, '<REDACTED>' AS api_key, '<REDACTED>' AS token FROM events",
+    "redact_nested": """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'no json password=<REDACTED>' ELSE '{"kind": "' || event_type || '", "inner": {"a": {"api_key": "<REDACTED>", "n": ' || CAST(event_id AS VARCHAR)
+ || '}, "list": ["{\\"password\\": \\"<REDACTED>\\"}", "Bearer <REDACTED>", "' || event_type || '"]}, "said": "{\\"token\\": \\"<REDACTED>\\", \\"what\\": \\"' || event_type || '\\", \\"deep\\": [{\\"client_secret\\": \\"<REDACTED>\\"}]}"}' END AS redacted FROM events""",
     "keyword_search": "SELECT doc_id, source FROM documents WHERE contains(text, 'tion') OR contains(text, 'ung') OR contains(source, 'tion') OR contains(source, 'ung') ORDER BY doc_id DESC LIMIT 20",
 }

@@ -266,3 +266,25 @@ def test_trailing_sides_share_one_scan_and_keep_columns(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
     assert out.filter("own <> v OR cell <> v").isEmpty() and out.count() == 50
+
+
+def test_nested_redaction(spark):
+    import json
+
+    from broadloom.functions import text
+
+    deep = "x"
+    for k in range(60):
+        deep = {"token" if k == 40 else "k": deep}
+    cases = [
+        None, "", "{", '{"a": ', "[]", '"password=hunter22x"', "12", "null", "true",
+        json.dumps({"a": [{"b": {"api_key": {"c": 1}, "d": [None, True, 1.5, "Bearer abcdefgh12345"]}}], "My.Token": None}),
+        json.dumps({"out": json.dumps(json.dumps({"secret": "q", "n": [1]}))}),
+        json.dumps(deep), "[" * 3000 + "]" * 3000,
+    ]
+    df = spark.createDataFrame([(k, c) for k, c in enumerate(cases)], "k int, t string").coalesce(1)
+    got = [r.r for r in df.select("k", text.redact_json(F.col("t")).alias("r")).orderBy("k").collect()]
+    assert got[:5] == [None, "", "{", '{"a": ', "[]"] and got[6:9] == ["12", "null", "true"] and "hunter" not in got[5]
+    assert json.loads(got[9]) == {"a": [{"b": {"api_key": "<REDACTED>", "d": [None, True, 1.5, "Bearer <REDACTED>"]}}], "My.Token": "<REDACTED>"}
+    assert json.loads(json.loads(json.loads(got[10])["out"])) == {"secret": "<REDACTED>", "n": [1]}
+    assert got[11].count("k") >= 18 and got[12]
