@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
@@ -15,6 +18,7 @@ from broadloom.operators.splits import MONTH
 from broadloom.plans.arrays import NUMBERS, check_counts, class_rows, moments_of, on_arrays, scan, sparse_features
 from broadloom.plans.feature_plan import FeaturePlan, Node
 from broadloom.session import write_read
+from broadloom.sources.snapshots import create_once, read_small
 
 ISSUES = "severity string, code string, stage string, feature string, count long"
 #: Splits that must hold both classes.
@@ -291,10 +295,16 @@ def stage(df: DataFrame, plan: FeaturePlan, certificate: DataFrame, binding: dic
     sparse_features(df, plan, keep).write.mode("errorifexists").partitionBy("split").parquet(path)
 
 
+def _marker(path: str, audit_id: str) -> str:
+    return f"{path}/committed/{hashlib.sha256(audit_id.encode()).hexdigest()}.json"
+
+
 def publish(spark: SparkSession, observations: DataFrame, path: str, audit_id: str, complete: bool) -> int:
-    """Appends field rows and one completion row of an audit; returns the rows written (0 if it is there already).
+    """Publishes field rows and one completion row of an audit; returns the rows written (0 if it is there already).
 
-    An incomplete or empty scan is refused, and so is another payload under the same id.
+    Rows are staged in a folder of their own and count once the audit's marker, which
+    only one writer can create, names that folder. An incomplete or empty scan is
+    refused, and so is another payload under the same id.
     """
     if not complete or observations.isEmpty():
         raise ValueError("only complete scans with rows are published")
@@ -302,22 +312,42 @@ def publish(spark: SparkSession, observations: DataFrame, path: str, audit_id: s
     fields = fields.withColumn("payload_sha256", F.sha2("payload", 256))
     done = fields.agg(F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("payload_sha256"))), 256).alias("payload_sha256"), F.count(F.lit(1)).cast("string").alias("payload"))
     done = done.select(F.lit(audit_id).alias("audit_id"), F.lit("complete").alias("record_kind"), F.lit(None).cast("string").alias("column_name"), "payload", "payload_sha256")
-    rows = fields.unionByName(done)
+    folder = f"{path}/rows/{uuid.uuid4().hex}"
+    fields.unionByName(done).write.parquet(folder)
+    staged = spark.read.parquet(folder)
+    digest, n = staged.filter("record_kind = 'complete'").first()["payload_sha256"], staged.count()
+    if create_once(spark, _marker(path, audit_id), json.dumps({"audit_id": audit_id, "folder": folder, "digest": digest, "n_rows": n})):
+        return n
+    if json.loads(read_small(spark, _marker(path, audit_id)))["digest"] != digest:
+        raise ValueError("another payload is published under this audit id")
+    return 0
+
+
+def markers(spark: SparkSession, path: str) -> DataFrame:
+    """(audit_id, folder, digest, n_rows, committed_at) of the audits that are published; no folder is an error."""
+    return spark.read.schema("audit_id string, folder string, digest string, n_rows long").json(f"{path}/committed/*.json").withColumn("committed_at", F.col("_metadata.file_modification_time"))
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of published audits, with committed_at; what a writer left without a marker is not seen."""
+    rows = spark.read.schema("audit_id string, record_kind string, column_name string, payload string, payload_sha256 string").parquet(f"{path}/rows/*")
+    rows = rows.withColumn("folder", F.regexp_extract(F.col("_metadata.file_path"), r"/rows/([0-9a-f]{32})/", 1))
+    known = markers(spark, path).select(F.regexp_extract("folder", r"/rows/([0-9a-f]{32})$", 1).alias("folder"), "committed_at")
+    return rows.join(known, "folder").drop("folder")
+
+
+def latest_observations(spark: SparkSession, path: str) -> DataFrame:
+    """The newest published field row of each column."""
+    return latest(published(spark, path).filter("record_kind = 'field'"), "column_name", "committed_at")
+
+
+def publish_or_report(spark: SparkSession, observations: DataFrame, path: str, audit_id: str, complete: bool) -> DataFrame:
+    """Issues of publishing: none, or one OBSERVATION_WRITE error with the kind of the failure as its feature, which keeps an audit from certifying."""
     try:
-        held = spark.read.parquet(path).filter(F.col("audit_id") == audit_id)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        held = None
-    if held is not None and not held.isEmpty():
-        if not held.select("payload_sha256").exceptAll(rows.select("payload_sha256")).isEmpty():
-            raise ValueError("another payload is published under this audit id")
-        return 0
-    rows.write.mode("append").parquet(path)
-    n = spark.read.schema(rows.schema).parquet(path).filter(F.col("audit_id") == audit_id).count()
-    if n != rows.count():
-        raise ValueError("the published rows differ from what was written")
-    return n
+        publish(spark, observations, path, audit_id, complete)
+    except (ValueError, PySparkException, Py4JJavaError) as e:
+        return _rows(spark, [("error", "OBSERVATION_WRITE", "publication", type(e).__name__, 1)])
+    return _rows(spark, [])
 
 
 def latest(history: DataFrame, key: str, order: str) -> DataFrame:

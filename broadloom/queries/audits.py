@@ -185,7 +185,19 @@ def publish_observations(spark, sf_dir):
     path = scratch(spark)
     for audit_id in ("a1", "a1", "a2"):
         A.publish(spark, _observed(spark, sf_dir), path, audit_id, True)
-    return spark.read.parquet(path).groupBy("audit_id", "record_kind").agg(F.count("*").alias("n"))
+    return A.published(spark, path).groupBy("audit_id", "record_kind").agg(F.count("*").alias("n"))
+
+
+def audit_publication(spark, sf_dir):
+    """Publishing one audit twice, another payload under its id, and an incomplete scan: what each reports, and the newest row count of each column."""
+    path, rows = scratch(spark), _observed(spark, sf_dir)
+    more = _observed(spark, sf_dir).withColumn("row_count", F.col("row_count") + 1)
+    out = None
+    for k, (audit_id, observed, complete) in enumerate([("a1", rows, True), ("a1", rows, True), ("a1", more, True), ("a2", more, True), ("a3", rows, False)]):
+        found = A.publish_or_report(spark, observed, path, audit_id, complete).select(F.lit(k).alias("attempt"), "code", F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("long").alias("row_count"))
+        out = found if out is None else out.unionByName(found)
+    newest = A.latest_observations(spark, path).select(F.lit(None).cast("int").alias("attempt"), F.col("audit_id").alias("code"), "column_name", F.get_json_object("payload", "$.row_count").cast("long").alias("row_count"))
+    return out.unionByName(newest)
 
 
 def observation_history(spark, sf_dir):
@@ -205,7 +217,7 @@ def observation_gate(spark, sf_dir):
     return spark.createDataFrame(rows, "complete boolean, published long")
 
 
-QUERIES = {f.__name__: f for f in [audit_schema, audit_type, assemble_sparse, audit_tensor, audit_required_null, audit_identity, contract_audit, audit_coverage, audit_examples, audit_split, audit_outliers, certify, stage_features, publish_observations, observation_history, observation_gate]} | {
+QUERIES = {f.__name__: f for f in [audit_schema, audit_type, assemble_sparse, audit_tensor, audit_required_null, audit_identity, contract_audit, audit_coverage, audit_examples, audit_split, audit_outliers, certify, stage_features, publish_observations, audit_publication, observation_history, observation_gate]} | {
     "audit_label": _row("LABEL_DOMAIN"), "audit_dataset": _row("DATASET_MISMATCH"), "audit_null": _some("UNHANDLED_NULL", "NULL_POLICY"),
     "audit_finite": _some("NON_FINITE"), "audit_domain": _some("BINARY_DOMAIN", "RANGE_MIN", "RANGE_MAX", "CATEGORY_DOMAIN"), "audit_transform": _some("TRANSFORM_FAILED"),
     "audit_model_input": _some("TENSOR_NON_FINITE", "TENSOR_PRECISION", "MODEL_DOMAIN"),
@@ -266,6 +278,8 @@ SELECT code, feature, count(*) AS count, string_agg(source_file || ':' || row_nu
     "certify": "SELECT * FROM (VALUES ('feat_0.presence@1', 'passed', true, false), ('f0@1', 'failed', false, true)) AS t(contract, status, certified, has_errors) WHERE EXISTS (SELECT 1 FROM orders)",
     "stage_features": f"WITH {SAMPLES_SQL} SELECT {_SPLIT} AS split, label, count(*) AS n_rows, CAST(sum(CAST(feat_0 > 0 AS INTEGER) + CAST(feat_1 > 0 AS INTEGER) + CAST(feat_2 > 0 AS INTEGER)) AS BIGINT) AS present FROM samples WHERE config_name = 'wide' GROUP BY 1, 2",
     "publish_observations": "SELECT audit_id, record_kind, n FROM (VALUES ('a1', 'field', CAST(4 AS BIGINT)), ('a1', 'complete', 1), ('a2', 'field', 4), ('a2', 'complete', 1)) AS t(audit_id, record_kind, n) WHERE EXISTS (SELECT 1 FROM orders)",
+    "audit_publication": """SELECT attempt, code, NULL AS column_name, CAST(NULL AS BIGINT) AS row_count FROM (VALUES (2, 'OBSERVATION_WRITE'), (4, 'OBSERVATION_WRITE')) AS t(attempt, code) WHERE EXISTS (SELECT 1 FROM orders)
+ UNION ALL SELECT NULL, 'a2', unnest(['label', 'feat_0', 'feat_1', 'feat_2']), count(*) + 1 FROM orders""",
     "observation_history": "SELECT unnest(['label', 'feat_0', 'feat_1', 'feat_2']) AS column_name, count(*) + 1 AS row_count, CAST(2 AS INTEGER) AS at FROM orders",
     "audit_schema": "SELECT severity, code, stage, feature, CAST(1 AS BIGINT) AS count, (SELECT count(*) FROM orders) AS n_rows FROM (VALUES ('error', 'MISSING_COLUMN', 'schema', 'feat_9'), ('error', 'METADATA_TYPE', 'schema', 'label')) AS t(severity, code, stage, feature)",
     "observation_gate": "SELECT complete, published FROM (VALUES (true, CAST(5 AS BIGINT)), (false, 0)) AS t(complete, published) WHERE EXISTS (SELECT 1 FROM orders)",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from broadloom.session import scratch, table, write_read
 from broadloom.sources import copies, scans
+from broadloom.sources.snapshots import SnapshotTable
 from broadloom.sources.views import LOG_SQL, SAMPLES_SQL, device_events, log_lines, samples
 
 #: Rows of a table in scan order with their physical position, as the oracle sees them.
@@ -57,6 +58,16 @@ def schema_evolution_scan(spark, sf_dir):
     return scans.evolve(old, {"balance": "c_acctbal"}, {"c_region": "unknown"})
 
 
+def snapshot_scan(spark, sf_dir):
+    """Two snapshots of customers: the second renames a column and adds rows and a column."""
+    t = SnapshotTable(spark, scratch(spark))
+    rows = table(spark, sf_dir, "customer")
+    t.commit(rows.filter("c_custkey % 3 > 0").select("c_custkey", F.col("c_acctbal").alias("balance")))
+    t.commit(rows.filter("c_custkey % 3 = 0").select("c_custkey", "c_acctbal", "c_mktsegment"), {"balance": "c_acctbal"})
+    first = t.read(1, ["c_custkey", "balance"]).select(F.lit(1).alias("snapshot"), "c_custkey", F.col("balance").alias("c_acctbal"), F.lit(None).cast("string").alias("c_mktsegment"))
+    return first.unionByName(t.read(2).select(F.lit(2).alias("snapshot"), "c_custkey", "c_acctbal", "c_mktsegment"))
+
+
 def drop_loader_columns(spark, sf_dir):
     return scans.drop_loader_columns(table(spark, sf_dir, "supplier").withColumns({"_dlt_load_id": F.lit("x"), "_dlt_id": F.lit(1)}))
 
@@ -189,11 +200,12 @@ def scored_output(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in [
-    file_manifest, ingest_provenance, limit_per_file, max_files, hub_rows_stream, pinned_scan, audit_scan, delete_aware_scan, schema_evolution_scan, drop_loader_columns, log_scan, predict_scan,
+    file_manifest, ingest_provenance, limit_per_file, max_files, hub_rows_stream, pinned_scan, audit_scan, delete_aware_scan, schema_evolution_scan, snapshot_scan, drop_loader_columns, log_scan, predict_scan,
     replace_table, grouped_replace_append, chunked_copy, copy_verify, key_inventory, foreign_keys, missing_keys, missing_ranges, key_range_filter, recover_rows, keys_equal, load_dictionary, load_log_table, scored_output,
 ]}
 
 SQL = {
+    "snapshot_scan": "SELECT 1 AS snapshot, c_custkey, c_acctbal, NULL AS c_mktsegment FROM customer WHERE c_custkey % 3 > 0 UNION ALL SELECT 2, c_custkey, c_acctbal, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END FROM customer",
     "ingest_provenance": "SELECT 'shop' AS dataset_id, 'wide' AS config_name, 'train' AS split_name, row_number() OVER () - 1 AS row_number, 'orders.parquet' AS source_file, o_orderkey FROM orders",
     "limit_per_file": f"WITH {_EV} SELECT source_file, row_number, event_id FROM ev WHERE row_number < 100",
     "max_files": f"WITH {_EV} SELECT source_file, count(*) AS n_rows FROM ev GROUP BY 1",

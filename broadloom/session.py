@@ -52,3 +52,9 @@ def write_read(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sized_files(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """(path, length, modified) of the Parquet files in some folders, from the listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folders)
+    return files.selectExpr("path", "length", "modificationTime AS modified")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from broadloom.session import sized_files
+
 PROVENANCE = ["dataset_id", "config_name", "split_name", "row_number", "source_file"]
 
 
@@ -70,6 +72,14 @@ def first_rows_per_split(rows: DataFrame, n: int, order: list[str], splits: list
     return rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
 
 
+def _fingerprint(spark: SparkSession, files: tuple[str, ...], schema: StructType) -> str:
+    """SHA-256 of the files' names, lengths and times, from the listing, and the schema."""
+    import hashlib
+
+    listed = sorted((r.path, r.length, str(r.modified)) for r in sized_files(spark, list(files)).collect())
+    return hashlib.sha256("\n".join([*map(str, listed), schema.json()]).encode()).hexdigest()
+
+
 @dataclass(frozen=True)
 class PinnedTable:
     """A table as of one moment: its files, schema and fingerprint. Later files are not seen."""
@@ -81,18 +91,19 @@ class PinnedTable:
     @classmethod
     def of(cls, table: DataFrame) -> PinnedTable:
         """Pins the files of a Parquet table; a table without files is an error."""
-        import hashlib
-
         files = tuple(sorted(table.inputFiles()))
         if not files:
             raise ValueError("no snapshot: the table has no files")
-        return cls(files, table.schema, hashlib.sha256("\n".join([*files, table.schema.json()]).encode()).hexdigest())
+        return cls(files, table.schema, _fingerprint(table.sparkSession, files, table.schema))
 
     def read(self, spark: SparkSession, columns: list[str] | None = None, dataset_id: str | None = None, config_name: str | None = None) -> DataFrame:
         """The pinned rows of one dataset and config; an identity column that the table lacks filters nothing.
 
-        Filters and the column list reach the Parquet scan. A missing column is an error.
+        Filters and the column list reach the Parquet scan. A missing column is an error,
+        and so is a file that was rewritten under its name since.
         """
+        if _fingerprint(spark, self.files, self.schema) != self.fingerprint:
+            raise ValueError("the pinned files are not what they were")
         df = spark.read.schema(self.schema).parquet(*self.files)
         for name, value in (("dataset_id", dataset_id), ("config_name", config_name)):
             if value is not None and name in df.columns:
