@@ -146,6 +146,7 @@ def test_wide_contract_in_bounded_time(spark, tmp_path):
     per = -(-ROWS // 8)
     bad = [k for k in range(3 * per, 4 * per) if k % 50 == 0]
     assert found.pop(("BINARY_DOMAIN", "feat_17.raw@1")) == (len(bad), [f"f3:{k}:2" for k in bad[:2]])
+    found.pop(("STATISTICAL_OUTLIER", "feat_17"), None)  # with many rows the twos are far from the mean
     assert found == {}
     assert took < 90 + ROWS * 0.004, took
     print(f"audit of {ROWS} rows and {WIDTH} features: {took:.1f} s")
