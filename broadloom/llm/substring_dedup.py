@@ -1,8 +1,10 @@
 """Substring dedup by compact windows.
 
 Tokens are runs of 15 words (11 shingles of five words); of every 11 successive
-tokens the one of least hash is a window. They come from the Cartesian tree of
-the hashes, cut to nodes that span 11 tokens or more, about 2/12 for each token.
+tokens the one of least hash is a window: the nodes of the Cartesian tree of the
+hashes that span 11 tokens or more, about 2/12 for each token. Detection needs
+these nodes' places only, which a sliding minimum gives; how far each reaches to
+the left and right, the tree itself, is computed where ``bounds`` asks for it.
 Texts that share 25 words share a window hash. A passage of 50 words or more and
 a similarity of 0.8 has an unbroken run of 21 shingles (25 words): a changed,
 added or left out word costs nine shingles of both sides together, which 36 equal
