@@ -3,11 +3,12 @@
 Documents become token pieces of at most ``capacity`` tokens. Only the histogram
 of piece lengths, of at most ``capacity`` rows, goes to the driver. There a
 configuration (a multiset of lengths that fits one sequence) is a column of a
-covering program over all of the demand, solved by multiplicative weights: the
-weight of a length falls as its demand is met, and knapsack dynamic programming
-prices, for every length, the best configuration that holds it. Columns gather
-fractional multiplicities, which are rounded down; what that leaves is covered
-again in whole steps, and best fit on the histogram packs the few pieces left.
+covering program over all of the demand, solved by multiplicative weights: prices
+of lengths fall as configurations that are best at these prices cover them, until
+they agree, which is also a lower bound; knapsack dynamic programming prices, for
+every length, the best configuration that holds it. At those prices columns gather
+multiplicities, which are rounded down; what that leaves is covered again in whole
+steps, and best fit on the histogram packs the few pieces left.
 Pieces then take their places by rank in their length, in one distributed pass.
 """
 
@@ -18,9 +19,9 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import islice
-from unicodedata import is_normalized
+from unicodedata import category, is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,13 @@ from pyspark.sql import functions as F
 from broadloom.llm.common import stored
 
 CAPACITY = 2048
-#: Rounds of multiplicative weights in a pass over the program, the part of a length's demand that one round may cover, and passes.
-ROUNDS, ROUND_SHARE, PASSES = 63, 1 / 16, 4
-#: (rate of the weights, preference for long pieces, how far below the best price a column may lie), tried in turn.
-SETTINGS = ((3e-3, 1e-2, 1e-3), (2e-3, 6e-3, 1.5e-3), (0.1, 0.1, 0.03))
+#: Rounds of a pass over the program, and the part of a length's demand that one round may cover.
+ROUNDS, ROUND_SHARE = 63, 1 / 16
+#: The passes, each (rate of the weights inside the cover, preference for long pieces, how far below the best price a column may lie): at prices by length, and at prices that weights have moved, tried in turn.
+FILLING = ((3e-3, 1e-2, 1e-3),) * 4
+PRICED = tuple(tuple((rate, 0.0, 2e-3 * 2**n) for n in range(8)) for rate in (1e-2, 1e-1)) + (((0.1, 0.1, 0.03),) * 4,)
+#: Rounds of multiplicative weights on prices at most, the first step, the width of a loss, rounds without a better bound before the step is halved, how far below the best a configuration taken may be worth, and rounds that raise prices.
+WEIGHT_ROUNDS, STEP, STEP_WIDTH, PATIENCE, STEP_GAP, RAISES = 1_000, 0.1, 4.0, 40, 0.01, 2
 #: A solution this close to the lower bound is taken without a further try.
 CLOSE = 1e-4
 #: Pieces of one length that are ranked in one group, about.
@@ -45,6 +49,13 @@ _SIGNS = ".,;:!?#$%&*"
 _MARK = "\x01"
 #: Final sigma and dotted I are lowered by context; \\x1c-\\x1f separate words for Python alone.
 _ODD = re.compile("[\u03a3\u0130\x01\x1c-\x1f]")
+#: Python knows every character up to this one.
+_BEYOND = re.compile("[^\x00-\u02ff]")
+
+
+def _unknown(text: str) -> bool:
+    """Whether a code point stands in the text that Python's tables do not know and the tokenizer's newer ones may lower."""
+    return _BEYOND.search(text) is not None and any(category(c) == "Cn" for c in set(text))
 
 
 class WordTokens:
@@ -54,8 +65,8 @@ class WordTokens:
     over white space, so a text's ids are its words' ids in turn; the file's own
     model is run on the words that are not known, many in one call, told apart by a
     mark. Texts whose lower-casing depends on more than the single character, whose
-    separators Python and the tokenizer see differently, or that hold the mark or one
-    of the file's added tokens, go to the tokenizer whole.
+    separators Python and the tokenizer see differently, or that hold the mark, one of
+    the file's added tokens or a code point newer than Python's tables, go to the tokenizer whole.
     """
 
     def __init__(self, path: str, memory: int = MEMORY_WORDS):
@@ -87,7 +98,7 @@ class WordTokens:
         for text in texts:
             low = text.lower()
             plain = text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", low))
-            split.append(None if not plain or _ODD.search(text) or any(a in low for a in self.added) else low.split())
+            split.append(None if not plain or _ODD.search(text) or _unknown(text) or any(a in low for a in self.added) else low.split())
         if len(self.words) > self.memory:
             self.older, self.words = self.words, {}
         fresh = set().union(*[s for s in split if s]).difference(self.words)
@@ -151,6 +162,19 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     return scan.mapInArrow(run, _PIECES)
 
 
+def _picks(values: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The knapsack's greatest values for each room, and the length that a best choice of a room begins with (-1: none fits)."""
+    best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+    for room in range(int(lengths[0]), capacity + 1):
+        n = fits[room]
+        worth = best[room - lengths[:n]] + values[:n]
+        k = int(worth.argmax())
+        # as good with less room: the rest stays open
+        best[room], pick[room] = (worth[k], k) if worth[k] > best[room - 1] else (best[room - 1], pick[room - 1])
+    return best, pick
+
+
 def knapsack(values: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
     """The greatest value of a multiset of pieces for each room from 0 to ``capacity``; lengths rise."""
     best = np.zeros(capacity + 1)
@@ -186,24 +210,80 @@ def _column(first: int, lengths: np.ndarray, values: np.ndarray, open_: np.ndarr
     return counts if value >= need else None
 
 
-def cover(lengths: np.ndarray, demand: np.ndarray, capacity: int, rate: float, long_first: float, gap: float, whole: bool) -> dict[tuple[tuple[int, int], ...], float]:
+def _raised(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """Prices raised by what the best configuration around each length lacks to 1, times the part of a sequence it fills.
+
+    The pieces of a configuration fill a sequence at most, so none becomes worth more than 1.
+    """
+    for _ in range(RAISES):
+        best, _ = _picks(prices, lengths, capacity)
+        prices = prices / best[capacity]
+        prices = prices + np.maximum(1 - (prices + best[capacity - lengths] / best[capacity]), 0) * lengths / capacity
+    return prices / _picks(prices, lengths, capacity)[0][capacity]
+
+
+def weights(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
+    """(prices, bound) of the program's dual by multiplicative weights: no configuration's pieces are worth more than 1.
+
+    Prices begin in proportion to the length. In a round one knapsack gives the best
+    configuration around every length; those within STEP_GAP of the best are taken as
+    often as their length is demanded, and a length's price falls by the exponential of
+    how far it is covered, relative to the mean by value and bounded by STEP_WIDTH
+    (cheap partners are covered many times over). Prices times demand are a lower
+    bound of any packing. Where it has not risen for PATIENCE rounds, weights go on
+    from the best prices, raised, with half the step.
+    """
+    total, prices, step = demand.astype(np.float64), lengths / capacity, STEP
+    top, bound, since = prices, 0.0, 0
+    for _ in range(WEIGHT_ROUNDS):
+        best, pick = _picks(prices, lengths, capacity)
+        prices = prices / best[capacity]
+        since += 1
+        if (got := float((total * prices).sum())) > bound * (1 + 1e-6):
+            top, bound, since = prices, got, 0
+        elif since > PATIENCE:
+            step, since = step / 2, 0
+            if step < STEP / 100:
+                break
+            top = prices = _raised(top, lengths, capacity)
+            bound = float((total * top).sum())
+            best, pick = _picks(prices, lengths, capacity)
+        near = np.flatnonzero(prices + best[capacity - lengths] / best[capacity] >= 1 - STEP_GAP)
+        covered = np.zeros(len(lengths))
+        covered[near] = total[near]
+        room, times = capacity - lengths[near], total[near]
+        while len(room):
+            k = pick[room]
+            on = k >= 0
+            room, times, k = room[on], times[on], k[on]
+            np.add.at(covered, k, times)
+            room = room - lengths[k]
+        covered /= total
+        mean = (covered * total * prices).sum() / (total * prices).sum()
+        prices = prices * np.exp(-step * np.minimum(covered / mean, STEP_WIDTH))
+    top = _raised(top, lengths, capacity)
+    return top, float((total * top).sum())
+
+
+def cover(lengths: np.ndarray, demand: np.ndarray, capacity: int, rate: float, long_first: float, gap: float, whole: bool, prices: np.ndarray | None = None, rounds: int = ROUNDS) -> dict[tuple[tuple[int, int], ...], float]:
     """Columns ((length number, pieces), ..) of the covering program and how often each is taken.
 
-    The weight of a length is exp(-rate x the part of its demand that is covered); its
-    price is its part of a sequence times that weight, a little more for long pieces,
+    A length is worth its price (its part of a sequence unless given) times a weight
+    exp(-rate x the part of its demand that is covered), a little more for long pieces,
     so that short ones stay to fill the last gaps. In a round the columns of all
     lengths are priced by one knapsack, those within ``gap`` of the best are taken as
     often as ROUND_SHARE of every demand allows, and weights change after. Demand is
     never covered twice. With ``whole`` multiplicities are whole numbers.
     """
+    prices = lengths / capacity if prices is None else prices
     total, left = demand.astype(np.float64), demand.astype(np.float64)
     taken: dict[tuple[tuple[int, int], ...], float] = {}
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         live = np.flatnonzero(left >= 1)
         if not len(live):
             break
         own = lengths[live]
-        values = own / capacity * np.exp(-rate * (1 - left[live] / total[live])) * (1 + long_first * own / capacity)
+        values = prices[live] * np.exp(-rate * (1 - left[live] / total[live])) * (1 + long_first * own / capacity)
         best = knapsack(values, own, capacity)
         need = (1 - gap) * best[capacity]
         allowed = np.minimum(np.maximum(total[live] * ROUND_SHARE, 1), left[live])
@@ -250,53 +330,56 @@ def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple
 
 @dataclass(frozen=True)
 class Packing:
-    """Configurations ((length number, pieces), ..) with their multiplicities, and how many sequences are columns of the program."""
+    """Configurations ((length number, pieces), ..) with their multiplicities, how many sequences are columns of the program, and a lower bound of any packing."""
 
     plans: list[tuple[tuple[tuple[int, int], ...], int]]
     by_program: int
+    bound: int
 
     @property
     def sequences(self) -> int:
         return sum(times for _, times in self.plans)
 
 
-def _solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, setting: tuple[float, float, float]) -> Packing:
+def _solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, passes: tuple[tuple[float, float, float], ...], bound: int, prices: np.ndarray | None = None) -> Packing:
+    """A packing by ``passes`` (the settings of each) over the program at ``prices``: the first fractional and over all of the demand, the others whole."""
     left = demand.astype(np.int64)
     plans: list = []
-    for number in range(PASSES):
+    for number, setting in enumerate(passes):
         live = np.flatnonzero(left)
         if not len(live):
             break
-        columns = cover(lengths[live], left[live], capacity, *setting, whole=number > 0)
+        columns = cover(lengths[live], left[live], capacity, *setting, whole=number > 0, prices=None if prices is None else prices[live])
         whole = [(tuple((int(live[k]), n) for k, n in key), int(times + 1e-9)) for key, times in columns.items() if times + 1e-9 >= 1]
         for key, times in whole:
             for k, n in key:
                 left[k] -= n * times
         plans += whole
-        if not whole:
-            break
-    return Packing(plans + best_fit(lengths, left, capacity), sum(times for _, times in plans))
+    return Packing(plans + best_fit(lengths, left, capacity), sum(times for _, times in plans), bound)
 
 
 def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY) -> Packing:
     """Configurations that hold every piece of the histogram exactly once; ``lengths`` rise.
 
-    The first pass of the program is fractional and over all of the demand; the
-    others are over what rounding down left. SETTINGS are tried in turn until the
-    sequences are as few as the lower bound (all tokens over the capacity) but for
-    CLOSE; else the fewest are taken.
+    The first prices are the lengths, whose bound is all tokens over the capacity.
+    Where the packing is not as small as that but for CLOSE, multiplicative weights
+    move the prices, which gives a higher bound, and PRICED are tried in turn at
+    those. The fewest sequences are taken.
     """
     if not len(lengths):
-        return Packing([], 0)
+        return Packing([], 0, 0)
     bound = -(-int((lengths * demand).sum()) // capacity)
-    found = None
-    for setting in SETTINGS:
-        got = _solve(lengths, demand, capacity, setting)
-        if found is None or got.sequences < found.sequences:
-            found = got
-        if found.sequences <= bound * (1 + CLOSE):
+    found = _solve(lengths, demand, capacity, FILLING, bound)
+    if found.sequences <= bound * (1 + CLOSE):
+        return found
+    prices, dual = weights(lengths, demand, capacity)
+    bound = max(bound, int(np.ceil(dual * (1 - 1e-9))))
+    tried = [found]
+    for passes in PRICED:
+        if tried[-1].sequences <= bound * (1 + CLOSE):
             break
-    return found
+        tried.append(_solve(lengths, demand, capacity, passes, bound, prices))
+    return replace(min(tried, key=lambda p: p.sequences), bound=bound)
 
 
 def _slots(packing: Packing, lengths: np.ndarray) -> dict[int, np.ndarray]:

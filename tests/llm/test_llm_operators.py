@@ -202,6 +202,16 @@ def test_word_tokens_equal_the_tokenizer():
             assert np.frombuffer(got, "<u4").tolist() == tokens.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_word_tokens_of_code_points_newer_than_python():
+    import public_tokenizers
+
+    tokens = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    newer = [0x1C89, 0xA7CB, 0xA7CC, 0xA7CE, 0xA7D2, 0xA7D4, 0xA7DA, 0xA7DC, *range(0x10D50, 0x10D66), *range(0x16EA0, 0x16EB9)]
+    texts = [f"a word {chr(i)} and x{chr(i)}y" for i in newer] + [f"Ünï {chr(i)} {chr(i)}b" for i in range(0x250, 0x3000, 7)]
+    for text, got in zip(texts, tokens(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == tokens.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def packed_right(lengths, demand, got):
     held = np.zeros(len(lengths), np.int64)
     for counts, times in got.plans:
@@ -245,6 +255,72 @@ def test_packing_solver_without_full_sequences(n):
     assert n <= got.sequences <= n + 1  # weights 1/4, 1/4, 1/2 fill no sequence beyond 1, so n is the least
 
 
+def configurations(lengths, capacity):
+    """Every multiset that fits and to which no piece can be added."""
+    found = []
+
+    def grow(first, room, held):
+        if room < lengths[0]:
+            found.append(held)
+        for k in range(first, len(lengths)):
+            if lengths[k] <= room:
+                grow(k, room - int(lengths[k]), held + (k,))
+        if room >= lengths[0] and held and room < lengths[held[-1]]:
+            found.append(held)
+
+    grow(0, capacity, ())
+    return found
+
+
+def least_sequences(lengths, demand, capacity):
+    """The fewest sequences, by trying all configurations around the longest piece left."""
+    best = {}
+
+    def least(left):
+        if not any(left):
+            return 0
+        if left not in best:
+            longest = max(k for k, n in enumerate(left) if n)
+            options = set()
+
+            def grow(k, room, now):
+                options.add(now)
+                for j in range(k, -1, -1):
+                    if now[j] and lengths[j] <= room:
+                        grow(j, room - int(lengths[j]), now[:j] + (now[j] - 1,) + now[j + 1 :])
+
+            grow(longest, capacity - int(lengths[longest]), left[:longest] + (left[longest] - 1,) + left[longest + 1 :])
+            best[left] = 1 + min(map(least, options))
+        return best[left]
+
+    return least(tuple(int(d) for d in demand))
+
+
+def test_packing_solver_against_an_exact_program():
+    rng = np.random.default_rng(8)
+    for _ in range(40):
+        lengths = np.sort(rng.choice(np.arange(8, 60), 4, replace=False))
+        demand = rng.integers(1, 5, 4)
+        got, least = packing.solve(lengths, demand, 100), least_sequences(lengths, demand, 100)
+        assert got.bound <= least <= got.sequences <= least + 1
+
+
+def test_packing_bound_holds_for_every_configuration():
+    lengths, demand = np.array([13, 19, 27, 34, 41, 52]), np.array([5, 90, 11, 40, 60, 33])
+    prices, bound = packing.weights(lengths, demand, 100)
+    assert max(sum(prices[k] for k in held) for held in configurations(lengths, 100)) <= 1 + 1e-9
+    assert abs(bound - (prices * demand).sum()) < 1e-9 and packing.solve(lengths, demand, 100).bound >= bound - 1e-6
+
+
+@pytest.mark.parametrize("step, count, most", [(1, 100, 22_300), (5, 500, 22_400)])
+def test_packing_where_weights_must_move_prices(step, count, most):
+    lengths = np.arange(600, 1100, step)
+    demand = np.full(len(lengths), count)
+    got = packing.solve(lengths, demand)
+    assert packed_right(lengths, demand, got)
+    assert got.bound > 22_100 and got.bound <= got.sequences <= most and got.by_program >= 0.98 * got.sequences
+
+
 # language ID
 
 
