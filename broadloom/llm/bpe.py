@@ -169,6 +169,16 @@ class ByteBPE:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
+#: One coder for each file and pattern in a Python worker, kept with its bounded memory over the tasks that it runs.
+_OPENED: dict[tuple[str, str], ByteBPE] = {}
+
+
+def _opened(path: str, pattern: str) -> ByteBPE:
+    if (path, pattern) not in _OPENED:
+        _OPENED[path, pattern] = ByteBPE(path, pattern)
+    return _OPENED[path, pattern]
+
+
 def _tokenizer(path: str | None, pattern: str | None) -> tuple[str, str]:
     import public_tokenizers
 
@@ -180,7 +190,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     path, pattern = _tokenizer(path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(path, pattern)
+        bpe = _opened(path, pattern)
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
@@ -198,7 +208,7 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     schema = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes) + ", decoded binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(path, pattern)
+        bpe = _opened(path, pattern)
         for batch in batches:
             ids = batch.column("ids")
             values, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
@@ -217,7 +227,7 @@ def bpe_digests(docs: DataFrame, path: str | None = None, pattern: str | None =
     path, pattern = _tokenizer(path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(path, pattern)
+        bpe = _opened(path, pattern)
         decimal = [str(i) for i in range(len(bpe.tokens))]
         for batch in batches:
             n, ids_sha, out_sha = [], [], []
