@@ -12,8 +12,10 @@ from broadloom.operators import profile as P
 from broadloom.operators import splits, windows
 from broadloom.plans import audit as A
 from broadloom.plans import feature_plan as G
+from broadloom.queries import sources
 from broadloom.session import scratch
 from broadloom.sources import copies, scans
+from tests.oracle import connect, difference
 
 
 def col(df, c):
@@ -288,3 +290,22 @@ def test_nested_redaction(spark):
     assert json.loads(got[9]) == {"a": [{"b": {"api_key": "<REDACTED>", "d": [None, True, 1.5, "Bearer <REDACTED>"]}}], "My.Token": "<REDACTED>"}
     assert json.loads(json.loads(json.loads(got[10])["out"])) == {"secret": "<REDACTED>", "n": [1]}
     assert got[11].count("k") >= 18 and got[12]
+
+
+def test_manifest_counts_the_parts_of_a_shard_together(spark, tmp_path):
+    rows = spark.range(40)
+    top = tmp_path / "all.parquet"  # the folder's own name is not a shard's
+    rows.repartition(4).write.parquet(f"{top}/wide/2013_train.parquet")
+    rows.withColumn("k", F.col("id") % 2).write.partitionBy("k").parquet(f"{top}/wide/2014_test.parquet")
+    rows.coalesce(1).toPandas().to_parquet(f"{top}/one.parquet")
+    got = {r.file_name: r for r in scans.file_manifest(spark, str(top)).collect()}
+    assert {n: (r.config_name, r.split_name) for n, r in got.items()} == {"2013_train.parquet": ("wide", "train"), "2014_test.parquet": ("wide", "test"), "one.parquet": ("all.parquet", None)}
+    assert got["2013_train.parquet"].n_files == 4 and got["one.parquet"].n_files == 1
+    assert got["2014_test.parquet"].bytes == sum(p.stat().st_size for p in (top / "wide" / "2014_test.parquet").rglob("*.parquet"))
+    assert [r.file_name for r in scans.file_manifest(spark, f"file://{top}/", ["wide"]).collect()] == ["2013_train.parquet", "2014_test.parquet"]
+
+
+def test_manifest_equals_sql_on_tables_in_parts(spark, tmp_path):
+    spark.range(30).repartition(3).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(5).coalesce(1).toPandas().to_parquet(f"{tmp_path}/extra.parquet")
+    assert difference(spark, connect(str(tmp_path)), str(tmp_path), sources.file_manifest, sources.SQL["file_manifest"]) is None
