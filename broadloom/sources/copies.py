@@ -137,15 +137,21 @@ def recover(spark: SparkSession, source: DataFrame, path: str, fingerprint: str,
     return {"before": found["before"], "appended": found["missing"], "after": found["before"] + found["missing"]}
 
 
-def load_dictionary(spark: SparkSession, mapping_csv: str, payload_json: str, stamp: dict[str, str]) -> dict[str, DataFrame]:
+def load_dictionary(spark: SparkSession, mapping_csv: str, payload_json: str, stamp: dict[str, str], payload_schema: str | None = None, mapping_schema: str | None = None) -> dict[str, DataFrame]:
     """Three tables, each row stamped: features (token mapping with descriptions), categories, columns.
 
     The payload holds arrays ``features``, ``categories`` and ``columns`` of objects.
+    Schemas that are not given are found by a pass over all files, of JSON in tasks of
+    as many files as 128 MB hold. Given ones must name the fields as the files do; a
+    payload that does not parse is an error then, and so is a mapping whose header
+    says something else.
     """
-    payload = spark.read.option("multiLine", "true").json(payload_json)
+    json = spark.read.option("multiLine", "true")
+    payload = (json.schema(payload_schema).option("mode", "FAILFAST") if payload_schema else json).json(payload_json)
     stamps = {n: F.lit(v) for n, v in stamp.items()}
     tables = {name: payload.select(F.explode(name).alias("x")).select("x.*").withColumns(stamps) for name in ("features", "categories", "columns")}
-    mapping = spark.read.option("header", "true").csv(mapping_csv)
+    csv = spark.read.option("header", "true").option("enforceSchema", mapping_schema is None)
+    mapping = (csv.schema(mapping_schema).option("mode", "FAILFAST") if mapping_schema else csv).csv(mapping_csv)
     return tables | {"features": mapping.join(tables["features"], "token", "left")}
 
 

@@ -248,6 +248,25 @@ def test_dictionary_payloads_are_bounded(spark):
     assert sum(sizes) == 4000 and max(sizes) <= 500 and sorted(c.name for r in got for c in r.categories or []) == ["b0", "b1"]
 
 
+def test_dictionary_files_follow_rows_not_brands(spark):
+    parts = spark.range(4000).selectExpr("concat('Part_', id) token", "'n' p_name", "'t' p_type", "concat('b', id % 50) p_brand")
+    got = sources._payloads(parts, 500)
+    sizes = [len(r.features) for r in got.collect() if r.features]
+    assert sum(sizes) == 4000 and max(sizes) <= 500 and len(sizes) <= 12
+    # payloads are dealt over tasks, however few bytes they have
+    assert got.filter("features IS NOT NULL").groupBy(F.spark_partition_id()).count().count() > 1
+
+
+def test_dictionary_with_schemas_equals_one_without(spark, tmp_path):
+    parts = spark.range(300).selectExpr("concat('Part_', id) token", "concat('n', id) p_name", "'t' p_type", "concat('b', id % 3) p_brand")
+    sources._payloads(parts, 100).write.option("maxRecordsPerFile", 1).json(f"{tmp_path}/json")
+    parts.selectExpr("token", "concat('feat_', token) column_name").write.option("header", "true").csv(f"{tmp_path}/csv")
+    plain = copies.load_dictionary(spark, f"{tmp_path}/csv", f"{tmp_path}/json", {"v": "1"})
+    given = copies.load_dictionary(spark, f"{tmp_path}/csv", f"{tmp_path}/json", {"v": "1"}, sources._PAYLOAD, "token string, column_name string")
+    for name, n in (("features", 300), ("categories", 3), ("columns", 3)):
+        assert given[name].count() == n and plain[name].select(*given[name].columns).exceptAll(given[name]).isEmpty()
+
+
 def test_asof_in_cells_equals_plain(spark):
     rng = __import__("random").Random(4)
     points = [(i, rng.randrange(3), rng.randrange(1000)) for i in range(300)] + [(900, None, 5), (901, 1, None)]
