@@ -76,13 +76,18 @@ def _sums(at: np.ndarray, value: np.ndarray, width_us: int) -> np.ndarray:
 
 #: Cells of a trailing window's width that a device's state is cut into.
 CELLS = 4
+#: Events up to which neighbouring cells that come in one batch are kept as one entry.
+PACKED = 12
 
 
 class TrailingSums(StatefulProcessor):
     """Events of one device by cells of time; a batch reads and writes the cells around its events only.
 
-    A cell is dropped by its timer once the watermark has passed all events that it
-    could still meet, so an idle device ends with no state.
+    An entry of the state is a cell of time, or a run of cells that hold few events
+    together: a call to the state costs more than the sums. A device with entries has
+    one timer, for the first that could go when the timer was set. It drops the
+    entries whose events the watermark has passed for good and is set anew for what is
+    left, so an idle device ends with no state.
     """
 
     def __init__(self, width_us: int):
@@ -90,47 +95,81 @@ class TrailingSums(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.cells = handle.getMapState("cells", "cell long", "at array<long>, id array<long>, value array<long>")
-
-    def _read(self, cell: int) -> np.ndarray:
-        held = self.cells.getValue((cell,)) if self.cells.containsKey((cell,)) else None
-        return np.array(held, np.int64).T if held is not None else np.empty((0, 3), np.int64)
+        self.cells = handle.getMapState("cells", "first long, last long", "at array<long>, id array<long>, value array<long>")
+
+    def _expiry(self, entry: tuple[int, int]) -> int:
+        """After the last microsecond that a window over this entry can start before, in milliseconds."""
+        return ((entry[1] + 1) * self.cell + self.width) // 1000 + 1
+
+    def _around(self, own: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
+        """The entries that windows of, or over, events in these cells can touch."""
+        near = np.unique(np.unique(own)[:, None] + np.arange(-CELLS - 1, CELLS + 2))
+        keys = [(int(first), int(last)) for first, last in self.cells.keys()]
+        touched = [k for k in keys if np.searchsorted(near, k[0]) < np.searchsorted(near, k[1], side="right")]
+        return {k: np.array(self.cells.getValue(k), np.int64).T for k in touched}
+
+    def _deal(self, new: np.ndarray, held: dict[tuple[int, int], np.ndarray]) -> dict[tuple[int, int], list[np.ndarray]]:
+        """New events, in order of time, by the entry that they go to: one that is there, or runs of cells that no entry covers."""
+        own, starts = np.unique(new[:, 0] // self.cell, return_index=True)
+        out: dict[tuple[int, int], list[np.ndarray]] = {}
+        run: list[np.ndarray] = []
+        first = last = 0
+        for c, part in zip(own.tolist(), np.split(new, starts[1:]), strict=True):
+            over = [k for k in held if k[0] <= c <= k[1]] if held else []
+            if over:
+                entry = next((k for k in over if k == (c, c) or len(held[k]) < 4 * PACKED), (c, c))
+                out.setdefault((c, c) if (c, c) in over else entry, []).append(part)
+                continue
+            if run and sum(map(len, run)) >= PACKED:
+                out[first, last] = run
+                run = []
+            if not run:
+                first = c
+            run, last = [*run, part], c
+        if run:
+            out[first, last] = run
+        return out
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        new = np.concatenate([np.empty((0, 3), np.int64), *(b[["at", "event_id", "value"]].to_numpy(np.int64) for b in rows)])
+        new = np.concatenate([np.empty((0, 3), np.int64), *(np.column_stack([b[c].to_numpy(np.int64) for c in ("at", "event_id", "value")]) for b in rows)])
         new = new[np.unique(new[:, 1], return_index=True)[1]]  # a repeated event counts once
-        own = new[:, 0] // self.cell
-        near = np.unique(own[:, None] + np.arange(-CELLS - 1, CELLS + 2))
         some = self.cells.exists()  # a new device has nothing to look up
-        held = {int(c): self._read(int(c)) if some else np.empty((0, 3), np.int64) for c in near}
-        known = np.concatenate([h[:, 1] for h in held.values()])
-        fresh = ~np.isin(new[:, 1], known)
-        new, own = new[fresh], own[fresh]
+        held = self._around(new[:, 0] // self.cell) if some else {}
+        if held:
+            new = new[~np.isin(new[:, 1], np.concatenate([h[:, 1] for h in held.values()]))]
         if not len(new):
             return
-        for c in np.unique(own).tolist():
-            if not len(held[c]):  # the last microsecond that a window over this cell can start before, in milliseconds
-                self.handle.registerTimer(((c + 1) * self.cell + self.width) // 1000 + 1)
-            held[c] = np.concatenate([held[c], new[own == c]])
-            self.cells.updateValue((c,), tuple(x.tolist() for x in held[c].T))
-        out = []
-        # stretches of cells without a gap: sums in one do not reach into another
-        for part in np.split(near, np.flatnonzero(np.diff(near) > 1) + 1):
-            rows_ = np.concatenate([held[int(c)] for c in part])
-            rows_ = rows_[np.lexsort((rows_[:, 1], rows_[:, 0]))]
-            total = _sums(rows_[:, 0], rows_[:, 2], self.width)
-            # an event's sum is new if the event is, or if a new one stands in its window
-            times = np.sort(new[np.isin(own, part), 0])
-            behind = np.searchsorted(times, rows_[:, 0], "left") > np.searchsorted(times, rows_[:, 0] - self.width, "left")
-            some = behind | np.isin(rows_[:, 1], new[:, 1])
-            out.append(pd.DataFrame({"device_id": key[0], "event_id": rows_[some, 1], "total": total[some]}))
-        yield pd.concat(out)
+        new = new[np.argsort(new[:, 0], kind="stable")]
+        dealt = self._deal(new, held)
+        if not some:
+            self.handle.registerTimer(min(map(self._expiry, dealt)))
+        for entry, parts in dealt.items():
+            held[entry] = np.concatenate([held[entry], *parts] if entry in held else parts)
+            self.cells.updateValue(entry, tuple(held[entry].T.tolist()))
+        # what is sent lies in a window's reach of a new event, and all entries there are held
+        rows_ = np.concatenate(list(held.values()))
+        rows_ = rows_[np.lexsort((rows_[:, 1], rows_[:, 0]))]
+        total = _sums(rows_[:, 0], rows_[:, 2], self.width)
+        # an event's sum is new if the event is, or if a new one stands in its window
+        times = new[:, 0]
+        behind = np.searchsorted(times, rows_[:, 0], "left") > np.searchsorted(times, rows_[:, 0] - self.width, "left")
+        sent = behind | np.isin(rows_[:, 1], new[:, 1])
+        yield pd.DataFrame({"device_id": np.full(sent.sum(), key[0], np.int64), "event_id": rows_[sent, 1], "total": total[sent]})
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        end = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        for (cell,) in list(self.cells.keys()):
-            if ((cell + 1) * self.cell + self.width) // 1000 * 1000 < end:
-                self.cells.removeKey((cell,))
+        passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        entries = [(int(first), int(last)) for first, last in self.cells.keys()]
+        left = [e for e in entries if self._expiry(e) > passed]
+        if len(left) <= 2 < len(entries):  # fewer calls than by removing each
+            kept = [(e, self.cells.getValue(e)) for e in left]
+            self.cells.clear()
+            for e, held in kept:
+                self.cells.updateValue(e, held)
+        else:
+            for e in set(entries).difference(left):
+                self.cells.removeKey(e)
+        if left:
+            self.handle.registerTimer(min(map(self._expiry, left)))
         return iter(())
 
     def close(self) -> None:

@@ -56,6 +56,21 @@ def test_state_follows_new_events_and_timers_empty_it(spark, tmp_path, rocksdb):
     assert total[-1] < total[0] / 4, total
 
 
+def test_sparse_history_takes_few_entries_and_one_timer(spark, tmp_path, rocksdb):
+    # 60 events in cells of their own, then events among them, then another device's that moves the watermark past all but the last
+    history = [(1, k, T0 + 5400 * k, k + 1) for k in range(60)]
+    more = [(1, 1000 + k, T0 + 5400 * k + 600 * (k % 9), 7) for k in range(0, 60, 4)]
+    batches = [history, more, [(2, 2000, T0 + 5400 * 60, 1)], [(2, 2001, T0 + 5400 * 60 + 1, 1)], [(2, 2002, T0 + 5400 * 60 + 2, 1)]]
+    stream = stream_of(spark, tmp_path, batches, "device_id long, event_id long, s long, value long").withColumn("event_time", F.timestamp_seconds("s"))
+    got = {}
+    query = S.trailing_stream(stream, HOUR, 100 * HOUR).writeStream.outputMode("update").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True)
+    query = query.foreachBatch(lambda df, n: got.update({r.event_id: r.total for r in df.collect()})).start()
+    query.awaitTermination()
+    rows = [r for b in batches for r in b]
+    assert got == {i: sum(v for e, _, s, v in rows if e == d and t - 3600 <= s < t) for d, i, t, _ in rows}
+    assert [p for p in query.recentProgress if p.numInputRows][0].stateOperators[0].numRowsUpdated < 20
+
+
 def late_table(spark, tmp_path, batches):
     schema = "event_id long, device_id long, event_time timestamp, arrival timestamp, value long"
     made = [[(i, d, t, a, v) for i, d, t, a, v in rows] for rows in batches]
