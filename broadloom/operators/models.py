@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterator
+from math import exp
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -190,6 +192,10 @@ def _train(rows: DataFrame, sizes: list[int], autoencoder: bool, epochs: int, ra
     return best[1] if best else state.params
 
 
+#: Row widths up to which a step in plain numbers is cheaper than one in arrays.
+NARROW = 64
+
+
 class AveragedSGD:
     """Averaged stochastic gradient descent of the logistic loss for a grid of L2 penalties at once, row by row.
 
@@ -217,6 +223,33 @@ class AveragedSGD:
         self.mean_bias += (self.bias - self.mean_bias) / self.t
 
 
+    def steps(self, batch: pa.RecordBatch, order: np.ndarray) -> None:
+        """A step for every row of a batch, in this order; narrow rows in plain numbers, penalty by penalty."""
+        labels, weights = batch.column("label").to_numpy(), batch.column("weight").to_numpy()
+        width = self.weights.shape[1]
+        if width > NARROW:
+            listed = list(_sparse(batch))
+            for i in order:
+                self.step(*listed[i], labels[i], weights[i])
+            return
+        rows = list(zip(dense_rows(batch, width)[order].tolist(), labels[order].tolist(), weights[order].tolist(), strict=True))
+        for k, alpha in enumerate(self.alphas.tolist()):
+            t0, t, bias, mean_bias = float(self.t0[k]), self.t, float(self.bias[k]), float(self.mean_bias[k])
+            own, mean = self.weights[k].tolist(), self.mean_weights[k].tolist()
+            for x, label, weight in rows:
+                rate = 1 / (alpha * (t0 + t))
+                t += 1
+                margin = min(max(sum(map(mul, own, x)) + bias, -40.0), 40.0)
+                move = rate * (1 / (1 + exp(-margin)) - label) * weight
+                keep = max(0.0, 1 - rate * alpha)
+                own = [keep * a - move * v for a, v in zip(own, x)]
+                bias -= move
+                mean = [m + (a - m) / t for m, a in zip(mean, own)]
+                mean_bias += (bias - mean_bias) / t
+            self.weights[k], self.bias[k], self.mean_weights[k], self.mean_bias[k] = own, bias, mean, mean_bias
+        self.t += len(rows)
+
+
 def _sparse(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     if "features" in batch.schema.names:
         for x in _matrix(batch.column("features")):
@@ -248,9 +281,7 @@ def fit_sgd(train: DataFrame, width: int, alphas: tuple[float, ...] = (1e-4, 1e-
         def run(batches: Iterator[pa.RecordBatch], shared=shared, epoch=epoch) -> Iterator[pa.RecordBatch]:
             own, n = pickle.loads(shared.value), 0
             for b in batches:
-                listed, labels, weights = list(_sparse(b)), b.column("label").to_numpy(), b.column("weight").to_numpy()
-                for i in np.random.default_rng([seed, epoch, n]).permutation(b.num_rows):
-                    own.step(*listed[i], labels[i], weights[i])
+                own.steps(b, np.random.default_rng([seed, epoch, n]).permutation(b.num_rows))
                 n += b.num_rows
             if n:
                 yield pa.RecordBatch.from_pydict({"state": pa.array([pickle.dumps([*(getattr(own, f) for f in fields), np.array([own.t])])], pa.binary()), "n": [n], "loss": [0.0]})
@@ -265,12 +296,21 @@ def fit_sgd(train: DataFrame, width: int, alphas: tuple[float, ...] = (1e-4, 1e-
     return {a: _linear(state.mean_weights[k].copy(), float(state.mean_bias[k])) for k, a in enumerate(alphas)}
 
 
+def _products(batch: pa.RecordBatch, weights: np.ndarray) -> np.ndarray:
+    """Each row's features times the weights."""
+    if "features" in batch.schema.names:
+        return _matrix(batch.column("features")) @ weights
+    lists = batch.column("indices")
+    row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+    return np.bincount(row, weights[lists.flatten().to_numpy()] * batch.column("values").flatten().to_numpy(), minlength=batch.num_rows)
+
+
 def _linear(weights: np.ndarray, bias: float) -> Scorer:
     def score(df: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if b.num_rows:
-                    z = np.array([weights[index] @ value for index, value in _sparse(b)]) + bias
+                    z = _products(b, weights) + bias
                     yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], [*b.schema.names, "score"])
 
         return df.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", score double")

@@ -1,8 +1,10 @@
 """Models: slopes against finite differences, scores that rank, and features that are scores of models."""
 
 import pickle
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +101,28 @@ def test_averaged_sgd_is_as_good_as_on_one_machine(spark):
         assert mixed > alone - 0.01 and mixed > 0.9, (mixed, alone)
 
 
+@pytest.mark.parametrize("layout", ["dense", "sparse"])
+def test_narrow_steps_equal_steps_in_arrays_and_cost_less(layout):
+    rng = np.random.default_rng(6)
+    n = 20_000
+    x = ((rng.random((n, 3)) < 0.6) * rng.random((n, 3))).astype(np.float32)
+    listed = [np.flatnonzero(r) for r in x]
+    columns = {"features": pa.array(x.tolist(), pa.list_(pa.float32()))} if layout == "dense" else {"indices": pa.array([i.tolist() for i in listed], pa.list_(pa.int32())), "values": pa.array([r[i].tolist() for r, i in zip(x, listed)], pa.list_(pa.float32()))}
+    batch = pa.RecordBatch.from_pydict(columns | {"label": rng.integers(0, 2, n), "weight": 0.5 + rng.random(n)})
+    order = rng.permutation(n)
+    one, other = M.AveragedSGD((1e-4, 1e-3), 3), M.AveragedSGD((1e-4, 1e-3), 3)
+    began = time.process_time()
+    one.steps(batch, order)
+    narrow = time.process_time() - began
+    began = time.process_time()
+    for i in order:
+        other.step(listed[i], x[i, listed[i]].astype(float), batch.column("label")[int(i)].as_py(), batch.column("weight")[int(i)].as_py())
+    assert narrow < (time.process_time() - began) / 3 and one.t == other.t == n
+    assert all(np.allclose(getattr(one, f), getattr(other, f), rtol=1e-6, atol=1e-9) for f in ("weights", "bias", "mean_weights", "mean_bias"))
+    weights = rng.random(3)
+    assert np.allclose(M._products(batch, weights), x.astype(float) @ weights)
+
+
 def test_the_best_epoch_on_validation_is_kept(rows):
     every = [M.fit_mlp(rows.filter("id % 3 = 1"), 3, (4,), epochs=n, rate=0.3, validation=rows.filter("id % 3 = 2")) for n in (1, 4)]
     ap = [E.average_precision(E.score_curve(s(rows.filter("id % 3 = 2")).select("score", "label"))).first()[0] for s in every]
