@@ -1,8 +1,8 @@
 """Byte-level BPE with a hierarchical-bitmap rank queue.
 
-Merge candidates wait in one bucket per merge rank. Three levels of 64-bit words
-mark the buckets in use, so that find-first-set on three words gives the lowest
-rank, whatever the length of the pre-token. A bucket holds positions of a linked
+Merge candidates wait in one bucket per merge rank. A bit for each bucket in use, in
+words of 64, and above them a number with a bit for each word in use give the lowest
+rank by find-first-set on both levels, whatever the length of the pre-token. A bucket holds positions of a linked
 list of parts; a position whose pair has changed since it was queued is stale
 and skipped. A pre-token of n bytes costs O(n log n) at worst.
 """
@@ -22,8 +22,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Pre-tokens whose ids a task remembers; the memory is cleared when full.
-_CACHE_WORDS = 500_000
+#: Pieces of text, and pre-tokens, whose ids a worker remembers; a memory is cleared when full.
+_CACHE_WORDS = 600_000
+_CACHE_TOKENS = 1_200_000
 _CACHE_CHARS = 64
 # Fixed value: the pre-token pattern of the rank file, under which texts may be cut at single spaces.
 SPACE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -33,14 +34,12 @@ _SPACES = re.compile(r"\s\s|^\s|\s$").search
 class RankQueue:
     """Buckets of positions by merge rank, and the bitmap words that mark the buckets in use.
 
-    ``low`` has a bit for each rank, ``mid`` one for each word of ``low``; the third
-    level, one for each word of ``mid``, is a local number of the merge. All are
-    empty between merges.
+    ``low`` has a bit for each rank; the level above, a bit for each word of ``low``, is
+    a local number of the merge. All are empty between merges.
     """
 
     def __init__(self, ranks: int):
         self.low = [0] * (ranks // 64 + 1)
-        self.mid = [0] * (ranks // 4096 + 1)
         self.buckets: list[list[int]] = [[] for _ in range(ranks)]
 
 
@@ -66,7 +65,7 @@ class ByteBPE:
         if (whole := get(data)) is not None:
             return [whole]
         n = len(data)
-        low, mid, buckets, top = self.queue.low, self.queue.mid, self.queue.buckets, 0
+        low, buckets, top = self.queue.low, self.queue.buckets, 0
         after = list(range(1, n + 1))  # where the part that begins here ends, and the next begins
         before = list(range(-1, n - 1))
         pair = [get(data[i : i + 2], -1) for i in range(n - 1)]  # rank of the part that begins here joined with the next
@@ -80,28 +79,25 @@ class ByteBPE:
                 else:
                     bucket.append(i)
                     a = rank >> 6
-                    if not low[a]:
-                        b = rank >> 12
-                        if not mid[b]:
-                            top |= 1 << b
-                        mid[b] |= 1 << (a & 63)
-                    low[a] |= 1 << (rank & 63)
+                    word = low[a]
+                    if not word:
+                        top |= 1 << a
+                    low[a] = word | 1 << (rank & 63)
             if not top:
                 break
-            b = (top & -top).bit_length() - 1  # find-first-set on each level
-            word = mid[b]
-            a = (b << 6) + (word & -word).bit_length() - 1
+            first = top & -top  # find-first-set on each level
+            a = first.bit_length() - 1
             word = low[a]
             bit = word & -word
             rank = (a << 6) + bit.bit_length() - 1
             bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket.pop()
                 low[a] = word ^ bit
                 if word == bit:
-                    mid[b] ^= 1 << (a & 63)
-                    if not mid[b]:
-                        top ^= 1 << b
+                    top ^= first
             new = []
             if pair[i] != rank:
                 continue  # stale
@@ -156,7 +152,7 @@ class ByteBPE:
         except KeyError:
             if len(known) > _CACHE_WORDS:
                 known.clear()
-            if len(self.words) > _CACHE_WORDS:
+            if len(self.words) > _CACHE_TOKENS:
                 self.words.clear()
             long: dict[str, bytes] = {}
             for word in set(found).difference(known):
